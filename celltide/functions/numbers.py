@@ -34,34 +34,35 @@ def frequency_mid(c: Column) -> Column:
     return F.coalesce(F.when(F.contains(c, F.lit("-")), ranged).otherwise(to_number(c)), F.lit(0.0))
 
 
-def fixed2(c: Column) -> Column:
-    """Two decimals as `'{:.2f}'` writes them.
+def fixed2(name: str) -> Column:
+    """Two decimals of the column `name` as `'{:.2f}'` writes them.
 
     The JVM rounds the shortest decimal form half up; the exact binary value decides here. They
     can only differ when 200*x is an odd integer in floating point, i.e. the decimal form ends in
     a bare 5. The exact remainder of that product (error-free splitting) tells the side.
     """
-    x = c.cast("double")
-    p = x * 200.0
-    big = x * 134217729.0
-    hi = big - (big - x)
-    err = (hi * 200.0 - p) + (x - hi) * 200.0
-    tie = (F.abs(p) < 1e15) & (F.abs(p % 2.0) == 1.0)
-    toward_zero = F.when(x >= 0, err < 0).otherwise(err > 0) | (
-        (err == 0) & ((F.floor(F.abs(p) / 2.0) % 2) == 0)
-    )
-    nudged = F.format_string("%.2f", x - F.signum(x) * 0.0025)
-    return F.when(tie & toward_zero, nudged).otherwise(F.format_string("%.2f", x))
-
-
-def shown(c: Column) -> Column:
-    """A double as `'{}'` writes it: the JVM turns to exponents at 1e7 and below 1e-3."""
-    x = c.cast("double")
-    size = F.abs(x)
-    large = F.regexp_replace(x.cast("decimal(38,4)").cast("string"), r"(\.\d+?)0+$", "$1")
-    small = F.regexp_replace(x.cast("decimal(38,22)").cast("string"), "0+$", "")
-    return (
-        F.when((size >= 1e7) & (size < 1e16), large)
-        .when((size >= 1e-4) & (size < 1e-3), small)
-        .otherwise(x.cast("string"))
-    )
+    x = f"cast(`{name}` as double)"
+    p = f"({x} * 200D)"
+    hi = f"({x} * 134217729D - ({x} * 134217729D - {x}))"
+    err = f"(({hi} * 200D - {p}) + ({x} - {hi}) * 200D)"
+    return F.expr(f"""
+        case when abs({p}) < 1e15D and abs({p} % 2D) = 1D and (
+            {err} * signum({x}) < 0D or ({err} = 0D and floor(abs({p}) / 2D) % 2 = 0)
+        ) then format_string('%.2f', {x} - signum({x}) * 0.0025D)
+        else format_string('%.2f', {x}) end
+    """)
+
+
+def shown(name: str) -> Column:
+    """The double in column `name` as `'{}'` writes it.
+
+    The JVM turns to exponents at 1e7 and below 1e-3; Python does at 1e16 and below 1e-4.
+    """
+    x = f"cast(`{name}` as double)"
+    return F.expr(f"""
+        case when abs({x}) >= 1e7D and abs({x}) < 1e16D
+            then regexp_replace(cast(cast({x} as decimal(38,4)) as string), '([.]\\\\d+?)0+$', '$1')
+        when abs({x}) >= 1e-4D and abs({x}) < 1e-3D
+            then regexp_replace(cast(cast({x} as decimal(38,22)) as string), '0+$', '')
+        else cast({x} as string) end
+    """)

@@ -83,16 +83,20 @@ def prior_n(
     """Each row with `name`: the up to n newest readings of its key that are strictly older.
 
     Newest last; every row counts, with missing values too. `history` names another frame to look
-    in, such as an archive that holds these rows.
+    in, such as an archive; it has to hold these rows as well.
     """
-    keys = list(keys)
-    table = history_table(
-        df if history is None else history, n, keys, ts, values, name, slice_seconds
-    )
-    kind = table.schema[name].dataType
-    joined = df.join(table, [*keys, ts], "left")
-    ordered = [c for c in df.columns if c != name]
-    return joined.select(*ordered, F.coalesce(name, F.array().cast(kind)).alias(name))
+    source = df if history is None else history
+    table = history_table(source, n, keys, ts, values, name, slice_seconds)
+    joined = join_history(df, table, keys, ts)
+    empty = F.array().cast(table.schema[name].dataType)
+    return joined.withColumn(name, F.coalesce(name, empty))
+
+
+def join_history(df: DataFrame, table: DataFrame, keys, ts) -> DataFrame:
+    """Rows with what is known about their key and time. Summarize the table before, not after."""
+    added = [c for c in table.columns if c not in (*keys, ts)]
+    kept = [c for c in df.columns if c not in added]
+    return df.select(*kept).join(table, [*keys, ts], "left").select(*kept, *added)
 
 
 def prior_mean(prior: Column, field: str) -> Column:

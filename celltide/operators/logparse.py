@@ -58,10 +58,20 @@ def text_lines(c: Column) -> Column:
 
 def parse_lines(df: DataFrame, text="event", keep=("id",)) -> DataFrame:
     """Numbered, stripped lines of each text (`line_no` from 1)."""
-    lines = df.select(*keep, F.posexplode(text_lines(F.col(text))).alias("pos", "line"))
+    lines = _unnest(df.withColumn("_lines", text_lines(F.col(text))), "_lines", "line", keep)
     return lines.select(*keep, (F.col("pos") + 1).alias("line_no"), "line")
 
 
+def _unnest(df: DataFrame, array: str, name: str, keep) -> DataFrame:
+    """One row per element, with its position.
+
+    A plain explode makes the planner filter on the array's size first, below this step, which
+    would compute the array twice.
+    """
+    rows = df.select(*keep, F.posexplode_outer(array).alias("pos", name))
+    return rows.where("pos IS NOT NULL")
+
+
 def _blocks(df: DataFrame, text: str) -> DataFrame:
     """`_blocks`: array of (block_no, cell_id, band, start, lines) per text."""
     out = df.withColumn("_lines", text_lines(F.col(text)))
@@ -94,10 +104,8 @@ def _blocks(df: DataFrame, text: str) -> DataFrame:
 
 def parse_blocks(df: DataFrame, text="event", keep=("id",)) -> DataFrame:
     """Lines with the block they belong to; lines before the first header are left out."""
-    blocks = _blocks(df, text).select(*keep, F.explode("_blocks").alias("b"))
-    lines = blocks.select(*keep, "b.*").select(
-        *keep, "block_no", "cell_id", "band", "start", F.posexplode("lines").alias("pos", "line")
-    )
+    blocks = _unnest(_blocks(df, text), "_blocks", "b", keep).select(*keep, "b.*")
+    lines = _unnest(blocks, "lines", "line", (*keep, "block_no", "cell_id", "band", "start"))
     return lines.select(
         *keep, "block_no", "cell_id", "band",
         (F.col("start") + F.col("pos") + 1).alias("line_no"), "line",
@@ -189,17 +197,15 @@ def parse_anomalies(
         ),
         (F.col(created) if created in df.columns else F.lit(None)).alias("creation_date"),
     ]
-    parsed = _blocks(df.where(F.col(text).isNotNull()), text).select(*meta, rows.alias("_rows"))
+    parsed = _blocks(df, text).select(*meta, rows.alias("_rows"))
+    keep = ("source_id", "creation_date")
     if dedupe:
         # Texts hash, structs do not: distinct over JSON keeps the first of each in linear time.
         signature = F.transform("_rows", lambda r: F.to_json(r))
-        parsed = parsed.withColumn("_sig", F.array_distinct(signature)).select(
-            "source_id", "creation_date", F.posexplode("_sig").alias("pos", "sig")
-        ).withColumn("r", F.from_json("sig", ROW)).drop("sig")
+        texts = parsed.withColumn("_sig", F.array_distinct(signature))
+        parsed = _unnest(texts, "_sig", "sig", keep).withColumn("r", F.from_json("sig", ROW))
     else:
-        parsed = parsed.select(
-            "source_id", "creation_date", F.posexplode("_rows").alias("pos", "r")
-        )
+        parsed = _unnest(parsed, "_rows", "r", keep)
     return parsed.select(
         "r.*", "source_id", "creation_date", (F.col("pos") + 1).alias("item_no")
     )
@@ -223,8 +229,5 @@ def parse_fixes(df: DataFrame, text="event", keep=("id",)) -> DataFrame:
             F.when(n["i"] < last["i"], fix).alias("recommended_fix"),
         ))
 
-    return (
-        _blocks(df, text)
-        .select(*keep, F.explode(F.flatten(F.transform("_blocks", rows))).alias("r"))
-        .select(*keep, "r.*")
-    )
+    fixed = _blocks(df, text).withColumn("_rows", F.flatten(F.transform("_blocks", rows)))
+    return _unnest(fixed, "_rows", "r", keep).select(*keep, "r.*")

@@ -139,7 +139,7 @@ def batch_report(reconciled: DataFrame) -> DataFrame:
     The blocks are never joined into one value: a batch has no size limit.
     """
     return (
-        reconciled.where(F.col("event_text").isNotNull())
+        reconciled.where("is_anomaly")
         .select("cell_id", "band", "event_time", F.col("event_text").alias("report_text"))
         .orderBy("event_time", "cell_id", "band")
     )
@@ -262,12 +262,17 @@ def remediation(detected: DataFrame, azimuth=5, downtilt=3) -> DataFrame:
     unit = lookup(UNITS, "")
     rows = detected.where("is_anomaly").select(
         "cell_id", "band", "event_time", kind.alias("anomaly_type"),
-        F.concat(shown(F.round(first["value"], 2)), unit).alias("anomaly_value"),
-        F.concat(shown(F.round(first["threshold"], 2)), unit).alias("threshold_value"),
+        F.round(first["value"], 2).alias("_value"),
+        F.round(first["threshold"], 4).alias("_limit"),
+        unit.alias("_unit"),
         lookup(ACTIONS, "Inspect the cell").alias("action"),
         F.when(kind == R.RSRP, F.lit(azimuth)).alias("azimuth_change"),
         F.when(kind == R.RSRP, F.lit(downtilt)).alias("downtilt_change"),
     )
+    rows = rows.withColumns({
+        "anomaly_value": F.concat(shown("_value"), "_unit"),
+        "threshold_value": F.concat(shown("_limit"), "_unit"),
+    }).drop("_value", "_limit", "_unit")
     tilts = F.col("azimuth_change").isNotNull()
     body = F.struct(
         F.col("cell_id").cast("string").alias("cell_id"),

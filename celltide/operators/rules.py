@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from celltide.functions.numbers import drop_nan, fixed2, shown
-from celltide.operators.history import prior_n, with_prior_means
+from celltide.operators.history import history_table, join_history, with_prior_means
 
 
 @dataclass(frozen=True)
@@ -41,24 +41,44 @@ FLAGS = {
     THROUGHPUT: "is_throughput", UES: "is_ues", OUTAGE: "is_outage",
 }
 
+HISTORY_KEYS = ("cell_id", "band")
 KPIS = ("ues_usage", "rsrp", "sinr", "throughput_mbps", "rsrq")
 
 
 def with_history(df: DataFrame, t: Thresholds = Thresholds(), history=None) -> DataFrame:
-    """Rows with their prior readings, means, and `prior_bad_*` when the history held bad text.
+    """Rows with the count and means of their prior readings.
 
-    Optional boolean columns `bad_ues` and `bad_throughput` mark readings whose text was no number.
+    The readings are summarized once per key and time, before they meet the rows. Optional boolean
+    columns `bad_ues` and `bad_throughput` mark readings whose text was no number; a history with
+    one of them has no mean.
     """
     source = df if history is None else history
     marks = [c for c in ("bad_ues", "bad_throughput") if c in source.columns]
     values = ("ues_usage", "throughput_mbps", *marks)
-    out = with_prior_means(prior_n(df, t.history, values=values, history=history))
+    table = with_prior_means(history_table(source, t.history, values=values))
+    table = table.withColumns({f"prior_{m}": _any_bad(m) for m in marks}).drop("prior")
+    out = join_history(df, table, HISTORY_KEYS, "event_time")
     return out.withColumns({
-        f"prior_{m}": (
-            F.exists("prior", lambda r, m=m: F.coalesce(r[m], F.lit(False)))
-            if m in marks else F.lit(False)
-        )
-        for m in ("bad_ues", "bad_throughput")
+        "prior_count": F.coalesce("prior_count", F.lit(0)),
+        **{
+            f"prior_{m}": F.coalesce(f"prior_{m}", F.lit(False)) if m in marks else F.lit(False)
+            for m in ("bad_ues", "bad_throughput")
+        },
+    })
+
+
+def _any_bad(mark: str) -> Column:
+    return F.exists("prior", lambda reading: F.coalesce(reading[mark], F.lit(False)))
+
+
+def without_history(df: DataFrame) -> DataFrame:
+    """Rows as if nothing came before them: for the rules that look at one reading only."""
+    return df.withColumns({
+        "prior_count": F.lit(0),
+        "avg_prior_throughput": F.lit(None).cast("double"),
+        "avg_prior_ues": F.lit(None).cast("double"),
+        "prior_bad_ues": F.lit(False),
+        "prior_bad_throughput": F.lit(False),
     })
 
 
@@ -95,25 +115,24 @@ def flag(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
 
 def rule_text(rule: str, t: Thresholds = Thresholds()) -> Column:
     """The sentence of one rule. The wording of these texts."""
-    ues, tput = F.col("ues_usage"), F.col("throughput_mbps")
     parts = {
-        PRB: [f"{PRB}: ", fixed2(F.col("prb_percent")), f"% > {t.prb_percent}%"],
-        PRB_ERROR: [f"{PRB_ERROR}: UEs Usage (", shown(ues), ") with Zero Max Capacity (0)."],
-        RSRP: [f"{RSRP}: ", shown(F.col("rsrp")), f" dBm < {t.rsrp_dbm:g} dBm"],
-        SINR: [f"{SINR}: ", shown(F.col("sinr")), f" dB < {t.sinr_db:g} dB"],
+        PRB: [f"{PRB}: ", fixed2("prb_percent"), f"% > {t.prb_percent}%"],
+        PRB_ERROR: [f"{PRB_ERROR}: UEs Usage (", shown("ues_usage"), ") with Zero Max Capacity (0)."],
+        RSRP: [f"{RSRP}: ", shown("rsrp"), f" dBm < {t.rsrp_dbm:g} dBm"],
+        SINR: [f"{SINR}: ", shown("sinr"), f" dB < {t.sinr_db:g} dB"],
         THROUGHPUT: [
-            f"{THROUGHPUT}: ", fixed2(tput), " Mbps (Current) vs. ",
-            fixed2(F.col("avg_prior_throughput")),
+            f"{THROUGHPUT}: ", fixed2("throughput_mbps"), " Mbps (Current) vs. ",
+            fixed2("avg_prior_throughput"),
             f" Mbps (Avg Prior {t.history}) - drop > {t.throughput_drop * 100:g}%",
         ],
         UES: [
-            f"{UES}: ", shown(ues), " UEs (Current) vs. ", fixed2(F.col("avg_prior_ues")),
+            f"{UES}: ", shown("ues_usage"), " UEs (Current) vs. ", fixed2("avg_prior_ues"),
             f" UEs (Avg Prior {t.history}) - change > {t.ues_change * 100:g}%",
         ],
         OUTAGE: [
-            f"{OUTAGE}: UEs=0, Tput=0, SINR<={t.outage_sinr:g} (", shown(F.col("sinr")),
-            f"), RSRP<={t.outage_rsrp:g} (", shown(F.col("rsrp")),
-            f"), RSRQ<={t.outage_rsrq:g} (", shown(F.col("rsrq")), ")",
+            f"{OUTAGE}: UEs=0, Tput=0, SINR<={t.outage_sinr:g} (", shown("sinr"),
+            f"), RSRP<={t.outage_rsrp:g} (", shown("rsrp"),
+            f"), RSRQ<={t.outage_rsrq:g} (", shown("rsrq"), ")",
         ],
     }[rule]
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
@@ -143,11 +162,13 @@ def violation(rule: str, t: Thresholds = Thresholds()) -> Column:
 
 
 def apply_rules(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
-    """Flags plus `anomalies`, the violated rules in rule order as structs."""
-    flagged = flag(df, t)
-    return flagged.withColumn("anomalies", F.array_compact(
-        F.array(*[violation(r, t) for r in RULES])
-    )).withColumn("is_anomaly", F.size("anomalies") > 0)
+    """Flags, `is_anomaly`, and `anomalies`: the violated rules in rule order as structs."""
+    hit = F.lit(False)
+    for r in RULES:
+        hit = hit | F.col(FLAGS[r])
+    return flag(df, t).withColumn("is_anomaly", hit).withColumn(
+        "anomalies", F.array_compact(F.array(*[violation(r, t) for r in RULES]))
+    )
 
 
 def detect(df: DataFrame, thresholds: Thresholds = Thresholds(), history=None) -> DataFrame:
@@ -156,5 +177,10 @@ def detect(df: DataFrame, thresholds: Thresholds = Thresholds(), history=None) -
 
 
 def anomalies_long(detected: DataFrame, keep=("cell_id", "band", "event_time")) -> DataFrame:
-    """One row per violation."""
-    return detected.select(*keep, F.explode("anomalies").alias("a")).select(*keep, "a.*")
+    """One row per violation.
+
+    Rows are chosen by flag; the outer explode then needs no filter on the array, which would be
+    pushed down and compute every text twice.
+    """
+    rows = detected.where("is_anomaly").select(*keep, F.explode_outer("anomalies").alias("a"))
+    return rows.select(*keep, "a.*")

@@ -47,6 +47,14 @@ def sequences(
     return past.withColumn("sequence", whole).drop("_past")
 
 
+def _known(field: str):
+    return F.filter(F.transform("sequence", lambda s: s[field]), lambda x: x.isNotNull())
+
+
+def _errors(array: str, baseline: str):
+    return F.transform(array, lambda x: F.abs(x - F.col(baseline)))
+
+
 def _mean(array: str):
     total = F.aggregate(array, F.lit(0.0), lambda acc, v: acc + v)
     return F.when(F.size(array) > 0, total / F.size(array))
@@ -59,12 +67,9 @@ def sequence_score(df: DataFrame, fields=("throughput_mbps",), cut=None) -> Data
     """
     out, scores = df, []
     for f in fields:
-        numbers = F.transform("sequence", lambda r, f=f: r[f])
-        out = out.withColumn(f"_v_{f}", F.filter(numbers, lambda v: v.isNotNull()))
+        out = out.withColumn(f"_v_{f}", _known(f))
         out = out.withColumn(f"baseline_{f}", _mean(f"_v_{f}"))
-        out = out.withColumn(f"_e_{f}", F.transform(
-            f"_v_{f}", lambda v, f=f: F.abs(v - F.col(f"baseline_{f}"))
-        ))
+        out = out.withColumn(f"_e_{f}", _errors(f"_v_{f}", f"baseline_{f}"))
         scores.append(_mean(f"_e_{f}"))
     total = scores[0]
     for s in scores[1:]:

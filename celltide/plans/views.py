@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from celltide.functions.lookups import band_frequency, literal_map
+from celltide.operators.clean import filter_valid_bands
+from celltide.operators.reports import END, NONE_FOUND, START, reconcile, render_report
+from celltide.operators.rules import anomalies_long, detect
+from celltide.schemas import DU_COLUMNS
 from celltide.session import pin
+from celltide.sinks.files import text_columns
+from celltide.sinks.messages import csv_line, encode_kpi_lines
+from celltide.sources.topology import normalize_towers
 
 BAND_OF_TYPE = {
     "view": "Band 29", "click": "Band 26", "signup": "Band 71", "purchase": "Band 66",
@@ -19,6 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a file stream; it may be one file or a folder of files."""
+    path = f"{sf_dir}/{name}.parquet"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    if system.getFileStatus(target).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def kpi_of(events: DataFrame) -> DataFrame:
     """Telemetry from events; also used on a stream of them."""
     e, u = F.col("event_id"), F.col("user_id")
@@ -114,3 +132,149 @@ def du(spark, sf_dir) -> DataFrame:
         (F.lit(30.0) + ((e * 41) % 6000) / 100.0).alias("temperature_c"),
         (F.lit(100.0) + ((e * 43) % 40000) / 100.0).alias("power_w"),
     )
+
+
+def valid_kpi(spark, sf_dir) -> DataFrame:
+    return filter_valid_bands(kpi(spark, sf_dir))
+
+
+def detected(spark, sf_dir) -> DataFrame:
+    return detect(valid_kpi(spark, sf_dir))
+
+
+def answered(spark, sf_dir) -> DataFrame:
+    """Detected rows with an answer of each kind: none, loose text, unnamed block, good block."""
+    rows = render_report(detected(spark, sf_dir))
+    kind = F.col("event_id") % 5
+    unnamed = F.concat(
+        F.lit(f"{START}\n1. Cell ID "), F.col("cell_id").cast("string"),
+        F.lit(", "), F.col("band"), F.lit(f"\n{END}"),
+    )
+    anomalous = (
+        F.when(kind == 1, "The cell looks degraded.")
+        .when(kind == 2, unnamed)
+        .when(kind >= 3, F.col("report_text"))
+    )
+    quiet = F.when(F.col("event_id") % 7 == 0, "All figures are fine.").otherwise(NONE_FOUND)
+    return rows.withColumn(
+        "raw_response", F.when(F.col("is_anomaly"), anomalous).otherwise(quiet)
+    )
+
+
+def event_texts(spark, sf_dir) -> DataFrame:
+    """(id, event, creation_date) of every anomalous row, as the event store holds them."""
+    return reconcile(answered(spark, sf_dir)).where("is_anomaly").select(
+        F.col("event_id").alias("id"), F.col("event_text").alias("event"),
+        F.col("event_time").alias("creation_date"),
+    )
+
+
+def anomaly_rows(spark, sf_dir) -> DataFrame:
+    """Anomalies in the parsed form, straight from the rules."""
+    long = anomalies_long(detected(spark, sf_dir), ("event_id", "cell_id", "band", "event_time"))
+    return long.select(
+        "cell_id",
+        F.regexp_extract("band", r"(\d+)", 1).cast("int").alias("band"),
+        "anomaly_type",
+        F.col("text").alias("anomaly"),
+        F.lit(None).cast("string").alias("recommended_fix"),
+        F.col("event_id").cast("string").alias("source_id"),
+        F.col("event_time").alias("creation_date"),
+        F.col("rule_no").alias("item_no"),
+    )
+
+
+def kpi_text(spark, sf_dir) -> DataFrame:
+    """Telemetry as raw text with every kind of defect the cleaning step handles."""
+    e = F.col("event_id")
+    rows = kpi(spark, sf_dir)
+    text = rows.select("event_id", *text_columns(rows))
+    return text.withColumns({
+        "cell_id": F.when(e % 50 == 1, "abc").otherwise(F.col("cell_id")),
+        "event_time": F.when(e % 60 == 3, "not a time").otherwise(F.col("event_time")),
+        "ues_usage": F.when(e % 40 == 2, "bad").when(e % 40 == 7, "nan").otherwise(
+            F.col("ues_usage")
+        ),
+        "band": F.when(e % 30 != 4, F.col("band")),
+        "area_type": F.when(e % 35 != 5, F.col("area_type")),
+        "max_capacity": F.when(e % 45 == 6, "none").otherwise(
+            F.concat(F.col("max_capacity"), F.lit(".5"))
+        ),
+    })
+
+
+def payloads(spark, sf_dir) -> DataFrame:
+    """One message per reading: its line as bytes between blank lines.
+
+    Every tenth line lacks its last field, and every tenth has one too many.
+    """
+    e = F.col("event_id")
+    lines = encode_kpi_lines(kpi(spark, sf_dir), ("event_id",))
+    short = F.regexp_replace("value", ',"[^"]*"$', "")
+    line = F.when(e % 10 == 0, short).when(
+        e % 10 == 5, F.concat("value", F.lit(',"more"'))
+    ).otherwise(F.col("value"))
+    return lines.select(
+        "event_id",
+        F.concat(F.lit("\r\n"), line, F.lit(" \n\n")).cast("binary").alias("value"),
+    )
+
+
+def du_payloads(spark, sf_dir) -> DataFrame:
+    rows = du(spark, sf_dir)
+    return rows.select("event_id", csv_line(text_columns(rows, DU_COLUMNS)).alias("value"))
+
+
+def towers(spark, sf_dir) -> DataFrame:
+    return normalize_towers(cells(spark, sf_dir))
+
+
+def remediations(spark, sf_dir) -> DataFrame:
+    """Remediation records from sign-ups, with gaps."""
+    e = F.col("event_id")
+    return table(spark, sf_dir, "events").where("event_type = 'signup'").select(
+        F.when(e % 3 == 0, "remediation-completed").alias("event_type"),
+        F.when(e % 5 != 0, F.col("ts").cast("timestamp")).alias("event_time"),
+        F.when(e % 2 == 0, F.concat(F.lit("Step "), e.cast("string"))).alias("description"),
+        F.col("user_id").alias("cell_id"),
+    )
+
+
+def updown(spark, sf_dir) -> DataFrame:
+    """Tower feed: errors take a tower down, purchases bring it up."""
+    kind = F.when(F.col("event_type") == "error", "tower-down").when(
+        F.col("event_type") == "purchase", "tower-up"
+    )
+    return table(spark, sf_dir, "events").select(
+        kind.alias("type"), F.col("ts").cast("timestamp").alias("timestamp"),
+        F.col("user_id").alias("tower_id"),
+    )
+
+
+def resolutions(spark, sf_dir) -> DataFrame:
+    """A sign-up resolves its cell at that time."""
+    return table(spark, sf_dir, "events").where("event_type = 'signup'").select(
+        F.col("user_id").alias("cell_id"), F.col("ts").cast("timestamp").alias("resolved_at")
+    )
+
+
+def as_of():
+    return F.lit("2024-01-31 00:00:00").cast("timestamp")
+
+
+def requests(spark, sf_dir) -> DataFrame:
+    """Request texts of every shape, one per conversation turn."""
+    cell = F.col("conv_id").cast("string")
+    item = F.concat(
+        F.lit("{'Cell ID': '"), cell, F.lit("', 'Datetime_ts': '2024-01-31T12:00:00'}")
+    )
+    kind = F.col("turn") % 4
+    text = (
+        F.when(kind == 0, F.concat(F.lit("Call ["), item, F.lit(", "), item, F.lit("] now")))
+        .when(kind == 1, F.concat(
+            F.lit("["), F.array_join(F.array_repeat(item, 7), ", "), F.lit("]")
+        ))
+        .when(kind == 2, F.concat(F.lit("cell "), cell))
+        .otherwise(F.concat(F.lit("[{'Cell ID': "), item, F.lit("]")))
+    )
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.alias("text"))

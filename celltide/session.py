@@ -19,6 +19,8 @@ def build_session(app="celltide", master=None, partitions=None, **conf) -> Spark
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call-site capture costs more than building the plans themselves.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if partitions:
         settings["spark.sql.shuffle.partitions"] = str(partitions)

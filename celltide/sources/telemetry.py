@@ -104,12 +104,13 @@ def type_du(df: DataFrame) -> DataFrame:
 
 
 def read_archive(
-    spark: SparkSession, path: str, glob="*ran-combined-metrics*", columns=tuple(KPI_COLUMNS)
+    spark: SparkSession, path: str, name="ran-combined-metrics", glob="*.csv",
+    columns=tuple(KPI_COLUMNS),
 ) -> DataFrame:
-    """Every archived CSV below `path` whose file name matches, as text columns.
+    """Every archived CSV below `path` with `name` somewhere in its path, as text columns.
 
     Adds the file and its age, drops header rows repeated inside a file, and fills columns that an
-    older format lacks.
+    older format lacks. Files of other names are pruned by their path, not read.
     """
     df = (
         spark.read.schema(string_schema(columns))
@@ -125,6 +126,8 @@ def read_archive(
     df = df.where(
         F.col("cell_id").isNull() | (strip(F.col("cell_id")) != KPI_SOURCE_NAMES[0])
     )
+    if name:
+        df = df.where(F.contains(F.col("_metadata.file_path"), F.lit(name)))
     missing = [c for c in KPI_COLUMNS if c not in columns]
     return df.select(
         *[F.lit(None).cast("string").alias(c) if c in missing else F.col(c) for c in KPI_COLUMNS],
