@@ -6,15 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+INFINITIES = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
+
+
 def drop_nan(c: Column) -> Column:
     """Missing is NULL only: Spark ranks NaN above every number, so `NaN > 95` would be true."""
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(c, F.lit(None).cast("double"))
 
 
 def to_number(c: Column) -> Column:
-    """Text to double; unparsable text and NaN become NULL (the JVM also takes '1.0d': refused)."""
-    text = F.trim(c.cast("string"))
-    plain = ~F.coalesce(text.rlike(r"(?i)[0-9.][df]$|^[+-]?0x"), F.lit(False))
+    """Text to double; unparsable text and NaN become NULL.
+
+    The JVM also reads '1.0d', '1f' and hexadecimal forms; those are refused.
+    """
+    text = c.cast("string")
+    plain = (F.translate(text, "dDfFxX", "") == text) | F.lower(F.trim(text)).isin(INFINITIES)
     return drop_nan(F.when(plain, text.try_cast("double")))
 
 

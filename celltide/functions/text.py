@@ -15,9 +15,14 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, EDGE_SPACE, "")
 
 
+def lines_of(c: Column) -> Column:
+    """Array of stripped lines, blank ones included."""
+    return F.transform(F.split(c, LINE_END), lambda line: strip(line))
+
+
 def decode_utf8(value: Column) -> Column:
     """Bytes to text, leaving out what is not UTF-8."""
-    return F.regexp_replace(F.make_valid_utf8(value.cast("string")), "�", "")
+    return F.replace(F.make_valid_utf8(value.cast("string")), F.lit("�"), F.lit(""))
 
 
 def int_list(c: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from celltide.functions.numbers import to_number
-from celltide.functions.text import LINE_END, strip
+from celltide.functions.text import lines_of, strip
 from celltide.operators import rules as R
 
 # The line patterns of an event text. Headers come as
@@ -52,13 +52,9 @@ def clean_text(c: Column, legacy_sign=False) -> Column:
     return F.regexp_replace(c, r"[.,;:]\s*$", "")
 
 
-def text_lines(c: Column) -> Column:
-    return F.transform(F.split(c, LINE_END), lambda line: strip(line))
-
-
 def parse_lines(df: DataFrame, text="event", keep=("id",)) -> DataFrame:
     """Numbered, stripped lines of each text (`line_no` from 1)."""
-    lines = _unnest(df.withColumn("_lines", text_lines(F.col(text))), "_lines", "line", keep)
+    lines = _unnest(df.withColumn("_lines", lines_of(F.col(text))), "_lines", "line", keep)
     return lines.select(*keep, (F.col("pos") + 1).alias("line_no"), "line")
 
 
@@ -73,8 +69,12 @@ def _unnest(df: DataFrame, array: str, name: str, keep) -> DataFrame:
 
 
 def _blocks(df: DataFrame, text: str) -> DataFrame:
-    """`_blocks`: array of (block_no, cell_id, band, start, lines) per text."""
-    out = df.withColumn("_lines", text_lines(F.col(text)))
+    """`_blocks`: array of (block_no, cell_id, band, start, lines, last_fix) per text.
+
+    A fix line holds for every anomaly above it and a later one overwrites, so what counts is a
+    block's last fix line: anomalies before it carry it, anomalies after it carry none.
+    """
+    out = df.withColumn("_lines", lines_of(F.col(text)))
     heads = F.filter(
         F.transform("_lines", lambda line, i: F.struct(
             (i + 1).alias("at"), F.regexp_extract(line, HEADER, 0).alias("head")
@@ -91,89 +91,107 @@ def _blocks(df: DataFrame, text: str) -> DataFrame:
     def block(h, i):
         following = F.get("_heads", i + 1)
         end = F.coalesce(following["at"], F.size("_lines") + 1)
+        lines = F.slice("_lines", h["at"] + 1, end - h["at"] - 1)
         return F.struct(
             (i + 1).alias("block_no"),
             number(h["head"], 1, 3).alias("cell_id"),
             number(h["head"], 2, 4).cast("int").alias("band"),
             h["at"].alias("start"),
-            F.slice("_lines", h["at"] + 1, end - h["at"] - 1).alias("lines"),
+            F.transform(lines, lambda line, k: F.struct(
+                k.alias("i"), line.alias("line"), F.regexp_extract(line, FIX, 1).alias("fix")
+            )).alias("lines"),
         )
 
-    return out.withColumn("_blocks", F.transform("_heads", block)).drop("_lines", "_heads")
+    def with_fix(b):
+        fixes = F.filter(b["lines"], lambda n: n["fix"] != "")
+        return F.struct(
+            b["block_no"].alias("block_no"), b["cell_id"].alias("cell_id"),
+            b["band"].alias("band"), b["start"].alias("start"), b["lines"].alias("lines"),
+            F.try_element_at(fixes, F.lit(-1)).alias("last_fix"),
+        )
+
+    return out.withColumn(
+        "_blocks", F.transform(F.transform("_heads", block), with_fix)
+    ).drop("_lines", "_heads")
 
 
 def parse_blocks(df: DataFrame, text="event", keep=("id",)) -> DataFrame:
     """Lines with the block they belong to; lines before the first header are left out."""
     blocks = _unnest(_blocks(df, text), "_blocks", "b", keep).select(*keep, "b.*")
-    lines = _unnest(blocks, "lines", "line", (*keep, "block_no", "cell_id", "band", "start"))
+    lines = _unnest(blocks, "lines", "n", (*keep, "block_no", "cell_id", "band", "start"))
     return lines.select(
         *keep, "block_no", "cell_id", "band",
-        (F.col("start") + F.col("pos") + 1).alias("line_no"), "line",
+        (F.col("start") + F.col("n.i") + 1).alias("line_no"), F.col("n.line").alias("line"),
     )
 
 
-def _is_fix(line: Column) -> Column:
-    return line.rlike(FIX)
+def _kind_of(piece: Column, labels, pattern) -> Column:
+    """The first label, in table order, whose pattern the piece matches."""
+    kind = F
+    for name, rx in labels.items():
+        kind = kind.when(piece.rlike(pattern.format(rx)), F.lit(name))
+    return kind.otherwise(F.lit(None))
+
+
+def _body_of(kind: Column, piece: Column, labels) -> Column:
+    body = F
+    for name, rx in labels.items():
+        body = body.when(kind == name, F.regexp_extract(piece, rf"(?i){rx}\s*(.+)", 1))
+    return body.otherwise(F.lit(None))
 
 
 def _block_rows(b: Column, labels, legacy_sign, legacy_inline) -> Column:
     """The anomaly structs of one block, in line order.
 
-    A fix line holds for every anomaly above it and a later one overwrites, so what counts is the
-    block's last fix line: anomalies before it carry it, anomalies after it carry none.
+    Worked out in steps, each an array of its own, so that nothing is matched twice: pieces, their
+    kinds, their texts, the rows.
     """
-    numbered = F.transform(b["lines"], lambda line, i: F.struct(i.alias("i"), line.alias("line")))
-    fixes = F.filter(numbered, lambda n: _is_fix(n["line"]))
-    last = F.get(fixes, F.size(fixes) - 1)
-    fix = clean_text(F.regexp_extract(last["line"], FIX, 1), legacy_sign)
-    any_label = "(?:" + "|".join(labels[k] for k in labels) + ")"
+    any_label = "(?:" + "|".join(labels.values()) + ")"
     inline = INLINE + "(" + any_label + r"\s*.+)$"
+    plain = F.filter(b["lines"], lambda n: n["fix"] == "")
 
-    def found(piece, n):
-        kind, body = F, F
-        for name, rx in labels.items():
-            hit = piece.rlike("(?i)" + rx + r"\s*.+")
-            kind = kind.when(hit, F.lit(name))
-            body = body.when(hit, F.regexp_extract(piece, "(?i)" + rx + r"\s*(.+)", 1))
-        kind, body = kind.otherwise(F.lit(None)), body.otherwise(F.lit(None))
+    def pieces(n):
+        tail = F.regexp_extract(n["line"], inline, 1)
+        if legacy_inline:
+            parts = F.array(tail)
+        else:
+            parts = F.split(F.regexp_replace(tail, TAIL, ""), r";\s+")
+        texts = F.when(F.contains(F.lower(n["line"]), F.lit("llm_format_error")) & (tail != ""),
+                       parts).otherwise(F.array(n["line"]))
+        return F.transform(texts, lambda p: F.struct(n["i"].alias("i"), p.alias("text")))
+
+    def kinds(p):
+        first = "(?i)^{0}" if legacy_inline else r"(?i){0}\s*.+"
+        kind = _kind_of(p["text"], labels, r"(?i){0}\s*.+")
+        if legacy_inline:
+            kind = F.coalesce(_kind_of(p["text"], labels, first), kind)
+        gate = p["text"].rlike("(?i)" + any_label)
         return F.struct(
-            b["cell_id"].alias("cell_id"),
-            b["band"].alias("band"),
-            kind.alias("anomaly_type"),
-            F.concat(kind, F.lit(": "), clean_text(body, legacy_sign)).alias("anomaly"),
-            F.when(n["i"] < last["i"], fix).alias("recommended_fix"),
-            to_number(F.regexp_extract(body, MEASURED, 1)).alias("measured_value"),
+            p["i"].alias("i"), p["text"].alias("text"), F.when(gate, kind).alias("kind")
+        )
+
+    def bodies(k):
+        return F.struct(
+            k["i"].alias("i"), k["kind"].alias("kind"),
+            _body_of(k["kind"], k["text"], labels).alias("body"),
         )
 
-    def first_label(tail, n):
-        """The inline text under its first label, whole."""
-        kind = F
-        for name, rx in labels.items():
-            kind = kind.when(tail.rlike("(?i)^" + rx), F.lit(name))
-        kind = kind.otherwise(F.lit(None))
-        body = F.regexp_extract(tail, "(?i)^" + any_label + r"\s*(.+)$", 1)
+    def rows(k):
         return F.struct(
             b["cell_id"].alias("cell_id"),
             b["band"].alias("band"),
-            kind.alias("anomaly_type"),
-            F.concat(kind, F.lit(": "), clean_text(body, legacy_sign)).alias("anomaly"),
-            F.when(n["i"] < last["i"], fix).alias("recommended_fix"),
-            to_number(F.regexp_extract(body, MEASURED, 1)).alias("measured_value"),
+            k["kind"].alias("anomaly_type"),
+            F.concat(k["kind"], F.lit(": "), clean_text(k["body"], legacy_sign)).alias("anomaly"),
+            F.when(
+                k["i"] < b["last_fix"]["i"], clean_text(b["last_fix"]["fix"], legacy_sign)
+            ).alias("recommended_fix"),
+            to_number(F.regexp_extract(k["body"], MEASURED, 1)).alias("measured_value"),
         )
 
-    def line_rows(n):
-        tail = F.regexp_extract(n["line"], inline, 1)
-        if legacy_inline:
-            inline_rows = F.array(first_label(tail, n))
-        else:
-            pieces = F.split(F.regexp_replace(tail, TAIL, ""), r";\s+")
-            inline_rows = F.transform(pieces, lambda p: found(p, n))
-        return F.when(tail != "", inline_rows).otherwise(F.array(found(n["line"], n)))
-
-    plain = F.filter(numbered, lambda n: ~_is_fix(n["line"]))
-    return F.filter(
-        F.flatten(F.transform(plain, line_rows)), lambda r: r["anomaly_type"].isNotNull()
+    named = F.filter(
+        F.transform(F.flatten(F.transform(plain, pieces)), kinds), lambda k: k["kind"].isNotNull()
     )
+    return F.transform(F.transform(named, bodies), rows)
 
 
 def parse_anomalies(
@@ -214,19 +232,16 @@ def parse_anomalies(
 def parse_fixes(df: DataFrame, text="event", keep=("id",)) -> DataFrame:
     """Every non-fix line with the fix that holds for it, if any."""
     def rows(b):
-        numbered = F.transform(
-            b["lines"], lambda line, i: F.struct(i.alias("i"), line.alias("line"))
-        )
-        fixes = F.filter(numbered, lambda n: _is_fix(n["line"]))
-        last = F.get(fixes, F.size(fixes) - 1)
-        fix = clean_text(F.regexp_extract(last["line"], FIX, 1))
-        return F.transform(F.filter(numbered, lambda n: ~_is_fix(n["line"])), lambda n: F.struct(
+        plain = F.filter(b["lines"], lambda n: n["fix"] == "")
+        return F.transform(plain, lambda n: F.struct(
             b["block_no"].alias("block_no"),
             b["cell_id"].alias("cell_id"),
             b["band"].alias("band"),
             (b["start"] + n["i"] + 1).alias("line_no"),
             n["line"].alias("line"),
-            F.when(n["i"] < last["i"], fix).alias("recommended_fix"),
+            F.when(n["i"] < b["last_fix"]["i"], clean_text(b["last_fix"]["fix"])).alias(
+                "recommended_fix"
+            ),
         ))
 
     fixed = _blocks(df, text).withColumn("_rows", F.flatten(F.transform("_blocks", rows)))

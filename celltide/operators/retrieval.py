@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,36 +42,42 @@ def chunk_documents(
     )
 
 
-def _pieces(text: str, size: int, separators) -> list[str]:
-    """The text in parts of at most `size`, cut at the best separator each part allows."""
-    if len(text) <= size:
-        return [text]
-    level = next(i for i, s in enumerate(separators) if s == "" or s in text)
-    mark = separators[level]
-    if mark == "":
-        return [text[i:i + 1] for i in range(len(text))]
-    raw = text.split(mark)
-    parts = [raw[0], *(mark + p for p in raw[1:])]
-    out = []
-    for p in parts:
-        if p:
-            out.extend(_pieces(p, size, separators[level + 1:]) if len(p) > size else [p])
-    return out
-
-
-def split_text(text: str, size: int, overlap: int, separators=tuple(SEPARATORS)) -> list[str]:
-    """Parts joined up to `size`; each chunk repeats trailing parts of the last up to `overlap`."""
-    chunks, held, length = [], [], 0
-    for part in _pieces(text, size, list(separators)):
+def _merge(parts: list[str], size: int, overlap: int) -> list[str]:
+    """Neighbouring parts joined up to `size`; a chunk repeats up to `overlap` of the last one."""
+    chunks, held, length = [], deque(), 0
+    for part in parts:
         if held and length + len(part) > size:
-            chunks.append("".join(held).strip())
+            chunks.append("".join(held))
             while held and (length > overlap or length + len(part) > size):
-                length -= len(held.pop(0))
+                length -= len(held.popleft())
         held.append(part)
         length += len(part)
-    if held:
-        chunks.append("".join(held).strip())
-    return [c for c in chunks if c]
+    return [*chunks, "".join(held)]
+
+
+def split_text(text: str, size: int, overlap: int, separators=tuple(SEPARATORS)) -> list[str]:
+    """Cut at the best separator the text has; a part still too long is cut at finer ones.
+
+    A separator stays at the start of the part after it. Chunks are stripped, empty ones dropped.
+    """
+    mark, finer = next(
+        (s, separators[i + 1:]) for i, s in enumerate(separators) if s == "" or s in text
+    )
+    if mark:
+        first, *rest = text.split(mark)
+        parts = [first, *(mark + p for p in rest)]
+    else:
+        parts = list(text)
+    chunks, run = [], []
+    for part in filter(None, parts):
+        if len(part) < size:
+            run.append(part)
+            continue
+        chunks += _merge(run, size, overlap)
+        run = []
+        chunks += split_text(part, size, overlap, finer) if finer else [part]
+    chunks += _merge(run, size, overlap)
+    return [c for c in (chunk.strip() for chunk in chunks) if c]
 
 
 def chunk_at_separators(

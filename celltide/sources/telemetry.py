@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from celltide.functions.numbers import to_number
-from celltide.functions.text import LINE_END, decode_utf8, int_list, strip
+from celltide.functions.text import decode_utf8, int_list, lines_of, strip
 from celltide.functions.times import parse_time
 from celltide.schemas import DU_COLUMNS, KPI_COLUMNS, KPI_SOURCE_NAMES, string_schema
 
@@ -39,17 +39,22 @@ def read_kpi_stream(
 
 
 def split_payload(df: DataFrame, value="value") -> DataFrame:
-    """One row per non-blank line of each message; the other columns stay."""
-    text = decode_utf8(F.col(value))
+    """One row per non-blank line of each message; the other columns stay.
+
+    Lines are stripped before the explode: a filter on a computed line would be pushed below and
+    compute it twice. The outer explode keeps the planner from filtering on the array likewise.
+    """
     rest = [c for c in df.columns if c != value]
-    lines = df.select(*rest, F.explode(F.split(text, LINE_END)).alias("raw"))
-    return lines.withColumn("line", strip(F.col("raw"))).drop("raw").where("line <> ''")
+    lines = lines_of(decode_utf8(F.col(value)))
+    return df.select(*rest, F.explode_outer(lines).alias("line")).where("line <> ''")
 
 
 def _parse(df: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
     schema = string_schema(columns) + ", `_corrupt_record` STRING"
     rest = [c for c in df.columns if c != "line"]
-    parsed = df.select(*rest, "line", F.from_csv("line", schema, LINE_OPTIONS).alias("f"))
+    # The one-element explode is a barrier: the filter below would parse every line a second time.
+    fields = F.array(F.from_csv("line", schema, LINE_OPTIONS))
+    parsed = df.select(*rest, "line", F.explode_outer(fields).alias("f"))
     good = parsed.where(F.col("f._corrupt_record").isNull()).select(
         *rest, *[F.col(f"f.`{c}`").alias(c) for c in columns]
     )
