@@ -43,17 +43,18 @@ def frequency_mid(c: Column) -> Column:
 def fixed2(name: str) -> Column:
     """Two decimals of the column `name` as `'{:.2f}'` writes them.
 
-    The JVM rounds the shortest decimal form half up; the exact binary value decides here. They
-    can only differ when 200*x is an odd integer in floating point, i.e. the decimal form ends in
-    a bare 5. The exact remainder of that product (error-free splitting) tells the side.
+    The JVM rounds the shortest decimal form half up; the exact binary value decides here. Half a
+    cent is an odd multiple of 1/200, so where the nearest such multiple is odd, the side of it is
+    the sign of x*200 less that integer, taken without rounding error by splitting x in two.
     """
     x = f"cast(`{name}` as double)"
     p = f"({x} * 200D)"
+    n = f"rint({p})"
     hi = f"({x} * 134217729D - ({x} * 134217729D - {x}))"
-    err = f"(({hi} * 200D - {p}) + ({x} - {hi}) * 200D)"
+    rest = f"(({p} - {n}) + (({hi} * 200D - {p}) + ({x} - {hi}) * 200D))"
     return F.expr(f"""
-        case when abs({p}) < 1e15D and abs({p} % 2D) = 1D and (
-            {err} * signum({x}) < 0D or ({err} = 0D and floor(abs({p}) / 2D) % 2 = 0)
+        case when abs({p}) < 1e15D and abs({n} % 2D) = 1D and (
+            {rest} * signum({x}) < 0D or ({rest} = 0D and floor(abs({n}) / 2D) % 2 = 0)
         ) then format_string('%.2f', {x} - signum({x}) * 0.0025D)
         else format_string('%.2f', {x}) end
     """)

@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Line ends as Python's str.splitlines knows them.
-LINE_END = "\\r\\n|[\\n\\x0B\\f\\r\\x1C-\\x1E\\x85\\u2028\\u2029]"
-EDGE_SPACE = "(?U)^[\\s\\x1C-\\x1F]+|[\\s\\x1C-\\x1F]+$"
+# Line ends besides \n and \r\n, and white space, as Python's str knows them.
+LINE_ENDS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
-    """Remove white space of every kind at both ends (`trim` removes blanks only)."""
-    return F.regexp_replace(c, EDGE_SPACE, "")
+    """Remove white space of every kind at both ends (`trim` alone removes blanks only)."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def lines_of(c: Column) -> Column:
     """Array of stripped lines, blank ones included."""
-    return F.transform(F.split(c, LINE_END), lambda line: strip(line))
+    one_kind = F.translate(
+        F.replace(c, F.lit("\r\n"), F.lit("\n")), LINE_ENDS, "\n" * len(LINE_ENDS)
+    )
+    return F.transform(F.split(one_kind, "\n"), strip)
 
 
 def decode_utf8(value: Column) -> Column:

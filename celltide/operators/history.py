@@ -6,8 +6,8 @@ is cut into slices of one day:
 1. Readings that share a key and second are first reduced to the n that can matter. The ranking
    filter also runs before the shuffle, so a second with any number of copies ships at most n rows
    per input partition.
-2. Inside a slice a rows-frame window gives the history. At second resolution a slice has at most
-   86,400 instants of n readings: a bound that does not grow with the data.
+2. Inside a slice a window looks back n readings. At second resolution a slice has at most 86,400
+   instants of n readings: a bound that does not grow with the data.
 3. Each slice's last n readings are carried to the slices after it: one small row per slice and
    key, so the window over a key is as long as its number of days.
 4. The history, one row per key and second, is joined to the full rows. A hot second is on the
@@ -30,8 +30,8 @@ def _slice_of(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_timestamp(ts.cast("timestamp")) / seconds)
 
 
-def instants(df: DataFrame, n, keys, ts, values, slice_seconds=SLICE_SECONDS) -> DataFrame:
-    """One row per key and time: `_at`, its up to n greatest readings in value order."""
+def recent_points(df: DataFrame, n, keys, ts, values, slice_seconds=SLICE_SECONDS) -> DataFrame:
+    """Keys, time, values and `_slice`: at most the n greatest readings of a key and time."""
     points = (
         df.select(*keys, F.col(ts), *values)
         .dropna(subset=[*keys, ts])
@@ -40,13 +40,9 @@ def instants(df: DataFrame, n, keys, ts, values, slice_seconds=SLICE_SECONDS) ->
     ties = Window.partitionBy(*keys, "_slice", ts).orderBy(
         *[F.col(v).desc_nulls_last() for v in values]
     )
-    reading = F.struct(F.col(ts), *[F.col(v) for v in values])
-    return (
-        points.withColumn("_rank", F.row_number().over(ties))
-        .where(F.col("_rank") <= n)
-        .groupBy(*keys, "_slice", ts)
-        .agg(F.array_sort(F.collect_list(reading)).alias("_at"))
-    )
+    return points.withColumn("_rank", F.row_number().over(ties)).where(
+        F.col("_rank") <= n
+    ).drop("_rank")
 
 
 def history_table(
@@ -55,22 +51,30 @@ def history_table(
 ) -> DataFrame:
     """(keys, ts, `name`): the up to n readings strictly before each time of each key."""
     keys = list(keys)
-    points = instants(df, n, keys, ts, values, slice_seconds)
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy(ts)
-    within = F.flatten(F.collect_list("_at").over(in_slice.rowsBetween(-n, -1)))
+    points = recent_points(df, n, keys, ts, values, slice_seconds)
+    in_slice = Window.partitionBy(*keys, "_slice").orderBy(
+        ts, *[F.col(v).asc_nulls_first() for v in values]
+    )
+    reading = F.struct(F.col(ts), *[F.col(v) for v in values])
     told = points.select(
-        *keys, "_slice", ts, "_at",
-        within.alias("_within"),
+        *keys, "_slice", ts, reading.alias("_reading"),
+        F.array(*[F.lag(reading, k).over(in_slice) for k in range(n, 0, -1)]).alias("_lags"),
+        F.lag(ts).over(in_slice).alias("_before"),
         F.lead(ts).over(in_slice).isNull().alias("_closes"),
     )
+    # The first reading of an instant sees strictly older ones only; the others share its history.
+    opening = told.where(F.col("_before").isNull() | (F.col("_before") < F.col(ts))).select(
+        *keys, "_slice", ts, F.array_compact("_lags").alias("_within")
+    )
     tails = told.where("_closes").select(
-        *keys, "_slice", last_n(F.concat("_within", "_at"), n).alias("_tail")
+        *keys, "_slice",
+        last_n(F.concat(F.array_compact("_lags"), F.array("_reading")), n).alias("_tail"),
     )
     by_slice = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(-n, -1)
     carried = tails.select(
         *keys, "_slice", F.flatten(F.collect_list("_tail").over(by_slice)).alias("_carried")
     )
-    return told.join(carried, [*keys, "_slice"], "left").select(
+    return opening.join(carried, [*keys, "_slice"], "left").select(
         *keys, ts, last_n(F.concat("_carried", "_within"), n).alias(name)
     )
 

@@ -221,15 +221,18 @@ def parse_request(df: DataFrame, text="text", limit=5) -> DataFrame:
 
 
 def full_outer(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """Full outer join as a left join plus the right rows without a partner.
+    """Full outer join as the matches plus the rows of either side without a partner.
 
-    Both parts keep the large side on the left, where adaptive execution may split a hot key; a
-    plain full outer join cannot be split on either side.
+    A plain full outer join cannot be split on a hot key. An inner join can on both sides, and an
+    anti join on its left, where the rows are.
     """
     keys = list(keys)
-    matched = left.join(right, keys, "left")
-    alone = right.join(left.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    matched = left.join(right, keys)
+    left_alone = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    right_alone = right.join(left.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(left_alone, allowMissingColumns=True).unionByName(
+        right_alone, allowMissingColumns=True
+    )
 
 
 def join_kpi_du(scores: DataFrame, traffic: DataFrame, du: DataFrame) -> DataFrame:

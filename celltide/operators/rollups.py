@@ -181,7 +181,8 @@ def feed(*parts: DataFrame, cell=None, ordered=True) -> DataFrame:
         out = out.unionByName(p, allowMissingColumns=True)
     if cell is not None:
         out = out.where(F.col("cell_id") == str(cell))
-    return out.orderBy(F.desc("timestamp")) if ordered else out
+    # Ties are ordered too, so that rows of one instant spread over the sort's ranges.
+    return out.orderBy(F.desc("timestamp"), "cell_id", "type", "message") if ordered else out
 
 
 def feed_cells(df: DataFrame) -> DataFrame:

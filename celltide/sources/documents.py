@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as (source, text, whole); JSON files are marked to stay in one piece."""
     df = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+        spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text"))
     )
     return mark_whole(df)

@@ -10,30 +10,31 @@ def read_events_json(spark: SparkSession, path: str, ndjson=False) -> DataFrame:
     """Events from a JSON array, a single object, or one object per line.
 
     Items without a text `event` (or `Event`) are left out; the date may come as `creation_date`
-    or `date`.
+    or `date`. Items are read as variants, whose keys keep their case.
     """
-    schema = (
-        "id STRING, cell_id BIGINT, event STRING, Event STRING, data STRING, "
-        "creation_date STRING, date STRING, active INT"
-    )
-    spark_case = spark.conf.get("spark.sql.caseSensitive")
-    spark.conf.set("spark.sql.caseSensitive", "true")
-    try:
-        raw = spark.read.schema(schema).option("multiLine", not ndjson).json(path)
-        named = raw.toDF(
-            "id", "cell_id", "event", "event_upper", "data", "creation_date", "date", "active"
-        )
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", spark_case)
-    text = F.coalesce(F.when(F.col("event") != "", F.col("event")), F.col("event_upper"))
-    return named.withColumn("event", text).where(F.col("event").isNotNull()).select(
-        "id",
-        "cell_id",
-        "event",
-        "data",
-        F.coalesce("creation_date", "date").alias("creation_date"),
-        "active",
+    documents = (
+        spark.read.option("singleVariantColumn", "doc").option("multiLine", not ndjson).json(path)
     )
+    several = F.try_variant_get("doc", "$", "array<variant>")
+    items = documents.select(F.explode(
+        F.when(F.schema_of_variant("doc").startswith("ARRAY"), several).otherwise(F.array("doc"))
+    ).alias("item"))
+
+    def part(name, kind="string"):
+        return F.try_variant_get("item", f"$.{name}", kind)
+
+    def text(name):
+        is_text = F.schema_of_variant(part(name, "variant")) == "STRING"
+        return F.when(is_text & (part(name) != ""), part(name))
+
+    return items.select(
+        part("id").alias("id"),
+        part("cell_id", "bigint").alias("cell_id"),
+        F.coalesce(text("event"), text("Event")).alias("event"),
+        part("data").alias("data"),
+        F.coalesce(part("creation_date"), part("date")).alias("creation_date"),
+        part("active", "int").alias("active"),
+    ).where(F.col("event").isNotNull())
 
 
 def read_event_store(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from celltide.operators.history import instants
+from celltide.operators.history import recent_points
 from celltide.operators.rules import Thresholds, apply_rules, with_history
 from celltide.streaming.ingest import trigger, write_batch
 
@@ -37,9 +37,10 @@ def detect_stream(
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stored = batch.withColumn("event_date", F.to_date("event_time"))
-        stored.write.mode("overwrite").partitionBy("event_date").parquet(
-            f"{archive}/batch_id={batch_id}"
-        )
+        folder = f"{archive}/batch_id={batch_id}"
+        stored.write.mode("overwrite").partitionBy("event_date").parquet(folder)
+        # From here on the batch is read back, so the source is not asked again.
+        batch = spark.read.schema(stored.schema).parquet(folder).select(*batch.columns)
         points = batch.select(*KEYS, "event_time", *VALUES)
         newest = points.agg(F.max("event_time")).scalar()
         schema = T.StructType([*stored.schema.fields, T.StructField("batch_id", T.LongType())])
@@ -62,8 +63,7 @@ def tail(points: DataFrame, n=3) -> DataFrame:
 
     Both rankings also run before the shuffle, so a hot key ships few rows per partition.
     """
-    at = instants(points, n, KEYS, "event_time", VALUES)
-    rows = at.select(*KEYS, F.explode("_at").alias("r")).select(*KEYS, "r.*")
+    rows = recent_points(points, n, KEYS, "event_time", VALUES).drop("_slice")
     newest = Window.partitionBy(*KEYS).orderBy(
         F.desc("event_time"), *[F.col(v).desc_nulls_last() for v in VALUES]
     )
@@ -84,6 +84,7 @@ def detect_with_tail(
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()
         points = batch.select(*KEYS, "event_time", *VALUES)
         known = points
         if batch_id > 0:
@@ -92,6 +93,7 @@ def detect_with_tail(
         write_batch(score_batch(batch, known, t), out, batch_id)
         write_batch(tail(known, t.history), state, batch_id)
         drop_path(spark, f"{state}/batch_id={batch_id - 2}")
+        batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(run)

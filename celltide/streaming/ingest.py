@@ -36,13 +36,15 @@ def ingest(
     partitioned by date inside a batch, so later scans prune by time.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
-        good, bad = parse_kpi_lines(split_payload(batch.select(value), value))
+        messages = batch.select(value).persist()
+        good, bad = parse_kpi_lines(split_payload(messages, value))
         typed = type_kpi(good).select(*KPI_COLUMNS)
         dated = typed.withColumn("event_date", F.to_date("event_time"))
         dated.write.mode("overwrite").partitionBy("event_date").parquet(
             f"{archive}/batch_id={batch_id}"
         )
         write_batch(bad, quarantine, batch_id)
+        messages.unpersist()
 
     return (
         stream.writeStream.foreachBatch(store)
