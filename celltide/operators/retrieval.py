@@ -14,6 +14,7 @@ from celltide.functions.text import strip
 from celltide.schemas import REQUEST_SCHEMA
 
 SEPARATORS = ["\n\n", "\n", " ", ""]  # fixed values: where a text may be cut, best first
+QUERY_BLOCK = 256  # queries scored in one matrix product
 MAX_QUERY_FLOATS = 4_000_000  # query vectors one task holds at a time: 32 MB of doubles
 
 
@@ -22,24 +23,28 @@ def chunk_documents(
 ) -> DataFrame:
     """Chunks of `size` characters, each starting `overlap` before the end of the last.
 
-    Documents for which `whole` holds stay in one piece. No chunk is made of overlap alone.
+    Documents for which `whole` holds stay in one piece. No chunk is made of overlap alone. The
+    text is read once, into blocks as long as the step between chunks; a chunk is its block and the
+    start of what follows. Cutting each chunk out of the whole text would count characters from
+    the beginning every time.
     """
-    length = F.length(text)
-    starts = F.sequence(
-        F.lit(1), F.greatest(F.lit(1), length - overlap), F.lit(size - overlap)
-    )
-    if whole is not None:
-        starts = F.when(whole, F.array(F.lit(1))).otherwise(starts)
-    cut = F.substring(F.col(text), F.col("start"), F.lit(size))
+    step = size - overlap
+    following = -(-overlap // step)
+    blocks = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
     if whole is not None:
-        cut = F.when(F.col("_whole"), F.col(text)).otherwise(cut)
-    marked = df.withColumn("_whole", F.lit(False) if whole is None else whole)
-    pieces = marked.where(length > 0).select(
-        F.col(key), F.col(text), "_whole", F.posexplode(starts).alias("pos", "start")
+        blocks = F.when(whole, F.array(text)).otherwise(blocks)
+    cut = df.where(F.length(text) > 0).select(
+        key, blocks.alias("_blocks"),
+        F.floor((F.greatest(F.lit(1), F.length(text) - overlap) - 1) / step).alias("_last"),
     )
-    return pieces.select(
-        key, (F.col("pos") + 1).alias("chunk_no"), cut.alias("chunk_text")
+    chunks = F.transform(
+        F.slice("_blocks", 1, F.col("_last").cast("int") + 1),
+        lambda b, i: F.concat(b, F.substring(
+            F.array_join(F.slice("_blocks", i + 2, F.lit(following)), ""), 1, overlap
+        )),
     )
+    rows = cut.select(key, F.posexplode_outer(chunks).alias("pos", "chunk_text"))
+    return rows.select(key, (F.col("pos") + 1).alias("chunk_no"), "chunk_text")
 
 
 def _merge(parts: list[str], size: int, overlap: int) -> list[str]:
@@ -114,36 +119,60 @@ def label_centroids(df: DataFrame, vector="embedding", label="label") -> DataFra
 
 def _nearest_block(vectors: DataFrame, ids, matrix, k, vector, key, metric, digits) -> DataFrame:
     shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+    cosine = metric == "cosine"
+
+    def unit(rows):
+        return rows / np.sqrt((rows * rows).sum(1, keepdims=True)) if cosine else rows
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, queries = shared.value
+        queries = unit(queries)
         for batch in batches:
-            column = batch.column(1)
-            keep = np.asarray(column.is_valid())
-            rows = column.drop_null()
+            keep = np.asarray(batch.column(1).is_valid())
+            rows = batch.column(1).drop_null()
             if len(rows) == 0:
                 continue
             keys = np.asarray(batch.column(0))[keep]
-            points = np.asarray(rows.flatten(), dtype="float64").reshape(len(rows), -1)
-            for i, q in enumerate(queries):
-                if metric == "cosine":
-                    norms = np.sqrt((points * points).sum(1)) * np.sqrt((q * q).sum())
-                    far = 1.0 - (points * q).sum(1) / norms
-                else:
-                    far = np.sqrt(((points - q) ** 2).sum(1))
-                far = np.round(far, digits)
-                best = np.lexsort((keys, far))[:k]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[i]] * len(best), pa.int64()),
-                     pa.array(keys[best], pa.int64()), pa.array(far[best], pa.float64())],
-                    names=["query_id", key, "distance"],
-                )
+            points = unit(np.asarray(rows.flatten(), dtype="float64").reshape(len(rows), -1))
+            for start in range(0, len(queries), QUERY_BLOCK):
+                asked = queries[start:start + QUERY_BLOCK]
+                for j, near in enumerate(_candidates(points, asked, k, cosine, digits)):
+                    q, p = asked[j], points[near]
+                    # Row by row, so equal vectors get equal distances whatever their batch.
+                    far = 1.0 - (p * q).sum(1) if cosine else np.sqrt(((p - q) ** 2).sum(1))
+                    far = np.round(far, digits)
+                    best = np.lexsort((keys[near], far))[:k]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([names[start + j]] * len(best), pa.int64()),
+                         pa.array(keys[near][best], pa.int64()), pa.array(far[best], pa.float64())],
+                        names=["query_id", key, "distance"],
+                    )
 
     return vectors.select(F.col(key).cast("bigint").alias(key), vector).mapInArrow(
         score, f"query_id BIGINT, {key} BIGINT, distance DOUBLE"
     )
 
 
+def _candidates(points, asked, k, cosine, digits):
+    """Per query, the rows that can be among its k best.
+
+    One matrix product gives distances with a small error; every row within that error and the
+    rounding of the k-th best stays in.
+    """
+    product = points @ asked.T
+    if cosine:
+        far = 1.0 - product
+    else:
+        square = (points * points).sum(1)[:, None] + (asked * asked).sum(1)[None, :]
+        far = np.sqrt(np.maximum(square - 2.0 * product, 0.0))
+    norms = np.linalg.norm(points, axis=1).max() + np.linalg.norm(asked, axis=1).max()
+    error = 4.0 * np.sqrt(points.shape[1] * np.finfo(float).eps) * norms
+    slack = 2.0 * 10.0 ** -digits + error
+    limit = far.max(0) if len(far) <= k else np.partition(far, k - 1, axis=0)[k - 1]
+    for j in range(far.shape[1]):
+        yield np.flatnonzero(far[:, j] <= limit[j] + slack)
+
+
 def nearest(
     vectors: DataFrame, queries: DataFrame, k=4, vector="embedding", key="vec_id",
     query_id="query_id", query_vector="query_vector", metric="l2", digits=6,
