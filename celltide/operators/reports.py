@@ -19,7 +19,7 @@ NONE_FOUND = "NO_ANOMALY"
 NONE_LISTED = "NO_ANOMALIES_DETECTED"
 CALL_FAILED = "LLM_CALL_FAILED"
 FORMAT_ERROR = "LLM_FORMAT_ERROR"
-BLOCK = r"(?s)\*{4} START_EVENT \*{4}(.*?)\*{4} END_EVENT \*{4}"
+BLOCK = r"(?s)\*{4} START_EVENT \*{4}.*?\*{4} END_EVENT \*{4}"
 
 DEFAULT_FIX = "Refer to the radio unit documentation"
 
@@ -69,13 +69,13 @@ def request_text(df: DataFrame, template=REQUEST_TEMPLATE) -> DataFrame:
     return df.withColumn("request_text", text)
 
 
-def has_block(response: Column) -> Column:
-    return F.coalesce(response.rlike(BLOCK), F.lit(False))
-
-
 def extract_block(response: Column) -> Column:
     """The text between the markers, across lines; NULL without markers."""
-    return F.when(has_block(response), strip(F.regexp_extract(response, BLOCK, 1)))
+    found = F.regexp_substr(response, F.lit(BLOCK))
+    inside = F.substring(
+        found, F.lit(len(START) + 1), F.length(found) - len(START) - len(END)
+    )
+    return strip(inside)
 
 
 def block_body(response: Column) -> Column:
@@ -99,8 +99,7 @@ def with_responses(detected: DataFrame, responses: DataFrame) -> DataFrame:
 
 def reconcile(df: DataFrame) -> DataFrame:
     """`outcome`, `reason` and `event_text` of rows with `raw_response`. The rules are the truth."""
-    response = F.coalesce("raw_response", F.lit(CALL_FAILED))
-    block = extract_block(response)
+    response, block = F.col("raw_response"), F.col("_block")
     formatted = F.coalesce(F.contains(block, F.lit(FOUND)), F.lit(False))
     listed = F.array_join(texts(), "; ")
     unformatted = F.concat(
@@ -111,7 +110,8 @@ def reconcile(df: DataFrame) -> DataFrame:
         F.lit(f"{FORMAT_ERROR}: Python found no anomalies, but LLM responded: "), response
     )
     quiet = strip(response) == NONE_FOUND
-    out = df.withColumns({"raw_response": response}).withColumns({
+    answered = df.withColumn("raw_response", F.coalesce("raw_response", F.lit(CALL_FAILED)))
+    out = answered.withColumn("_block", extract_block(response)).withColumns({
         "outcome": F.when(F.col("is_anomaly") & formatted, "FORMATTED")
         .when(F.col("is_anomaly"), FORMAT_ERROR)
         .when(quiet, NONE_FOUND)
@@ -126,7 +126,7 @@ def reconcile(df: DataFrame) -> DataFrame:
         F.when(F.col("outcome") == "FORMATTED", F.concat(event_header(), F.col("reason")))
         .when(F.col("outcome") == FORMAT_ERROR,
               F.concat(event_header(" (FORMAT ERROR)"), F.col("reason"))),
-    )
+    ).drop("_block")
 
 
 def anomaly_results(reconciled: DataFrame) -> DataFrame:
