@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from celltide.functions.numbers import drop_nan, fixed2, shown
-from celltide.operators.history import history_table, join_history, with_prior_means
+from celltide.operators.history import (
+    history_table,
+    join_history,
+    prior_n,
+    with_prior_means,
+)
 
 
 @dataclass(frozen=True)
@@ -45,19 +50,29 @@ HISTORY_KEYS = ("cell_id", "band")
 KPIS = ("ues_usage", "rsrp", "sinr", "throughput_mbps", "rsrq")
 
 
-def with_history(df: DataFrame, t: Thresholds = Thresholds(), history=None) -> DataFrame:
+def with_history(
+    df: DataFrame, t: Thresholds = Thresholds(), history=None, split=True
+) -> DataFrame:
     """Rows with the count and means of their prior readings.
 
-    The readings are summarized once per key and time, before they meet the rows. Optional boolean
-    columns `bad_ues` and `bad_throughput` mark readings whose text was no number; a history with
-    one of them has no mean.
+    With split keys the readings are summarized once per key and time, before they meet the rows.
+    Optional boolean columns `bad_ues` and `bad_throughput` mark readings whose text was no number;
+    a history with one of them has no mean.
     """
     source = df if history is None else history
     marks = [c for c in ("bad_ues", "bad_throughput") if c in source.columns]
     values = ("ues_usage", "throughput_mbps", *marks)
-    table = with_prior_means(history_table(source, t.history, values=values))
-    table = table.withColumns({f"prior_{m}": _any_bad(m) for m in marks}).drop("prior")
-    out = join_history(df, table, HISTORY_KEYS, "event_time")
+
+    def summary(told):
+        return with_prior_means(told).withColumns(
+            {f"prior_{m}": _any_bad(m) for m in marks}
+        ).drop("prior")
+
+    if history is None and not split:
+        out = summary(prior_n(df, t.history, values=values, split=False))
+    else:
+        table = summary(history_table(source, t.history, values=values))
+        out = join_history(df, table, HISTORY_KEYS, "event_time")
     return out.withColumns({
         "prior_count": F.coalesce("prior_count", F.lit(0)),
         **{
@@ -171,9 +186,11 @@ def apply_rules(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     )
 
 
-def detect(df: DataFrame, thresholds: Thresholds = Thresholds(), history=None) -> DataFrame:
-    """History, rules, flags and texts of every row."""
-    return apply_rules(with_history(df, thresholds, history), thresholds)
+def detect(
+    df: DataFrame, thresholds: Thresholds = Thresholds(), history=None, split=True
+) -> DataFrame:
+    """History, rules, flags and texts of every row. `split=False` is for keys of a checked size."""
+    return apply_rules(with_history(df, thresholds, history, split), thresholds)
 
 
 def anomalies_long(detected: DataFrame, keep=("cell_id", "band", "event_time")) -> DataFrame:

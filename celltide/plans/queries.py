@@ -11,7 +11,7 @@ from celltide.functions.lookups import band_frequency
 from celltide.functions.numbers import frequency_mid
 from celltide.operators import clean, eventstore, features, forecast, matching, reports
 from celltide.operators import logparse, retrieval, rollups, rules, sequences, topology
-from celltide.operators.history import prior_n, with_prior_means
+from celltide.operators.history import needs_split, prior_n, with_prior_means
 from celltide.plans import views as v
 from celltide.schemas import KPI_COLUMNS
 from celltide.session import scratch_path
@@ -313,7 +313,8 @@ def _flags(df):
 
 @query
 def prior3(spark, sf):
-    told = with_prior_means(prior_n(v.valid_kpi(spark, sf)))
+    rows = v.valid_kpi(spark, sf)
+    told = with_prior_means(prior_n(rows, split=needs_split(rows)))
     return told.select(
         "event_id", "prior_count", r("avg_prior_throughput", 6), r("avg_prior_ues", 6),
         F.array_join(F.transform("prior", lambda p: p["throughput_mbps"].cast("string")), ",").alias(
@@ -385,9 +386,22 @@ def minmax(spark, sf):
     )
 
 
+@query
+def prior3_split(spark, sf):
+    """The same history by slices, whatever the size of the keys."""
+    return with_prior_means(prior_n(v.valid_kpi(spark, sf))).select(
+        "event_id", "prior_count", r("avg_prior_throughput", 6), r("avg_prior_ues", 6)
+    )
+
+
+def _sequences(spark, sf):
+    rows = v.valid_kpi(spark, sf)
+    return sequences.sequences(rows, split=needs_split(rows))
+
+
 @query
 def sequence_rows(spark, sf):
-    return sequences.sequences(v.valid_kpi(spark, sf)).select(
+    return _sequences(spark, sf).select(
         "event_id",
         F.size("sequence").alias("steps"),
         epoch(F.get("sequence", F.lit(0))["event_time"], "oldest_ts"),
@@ -399,7 +413,7 @@ def sequence_rows(spark, sf):
 
 @query
 def sequence_score(spark, sf):
-    scored = sequences.sequence_score(sequences.sequences(v.valid_kpi(spark, sf)))
+    scored = sequences.sequence_score(_sequences(spark, sf))
     return scored.select("event_id", r("baseline_throughput_mbps"), r("score"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from celltide.functions.lookups import band_frequency, literal_map
 from celltide.operators.clean import filter_valid_bands
+from celltide.operators.history import needs_split
 from celltide.operators.reports import END, NONE_FOUND, START, reconcile, render_report
 from celltide.operators.rules import anomalies_long, detect
 from celltide.schemas import DU_COLUMNS
@@ -139,7 +140,9 @@ def valid_kpi(spark, sf_dir) -> DataFrame:
 
 
 def detected(spark, sf_dir) -> DataFrame:
-    return detect(valid_kpi(spark, sf_dir))
+    """Scored rows; keys are split only where the largest one calls for it."""
+    rows = valid_kpi(spark, sf_dir)
+    return detect(rows, split=needs_split(rows))
 
 
 def answered(spark, sf_dir) -> DataFrame:

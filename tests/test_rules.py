@@ -7,7 +7,7 @@ from tests.conftest import SMALL, plan, rows
 
 from celltide.operators import clean, features, sequences
 from celltide.operators import rules as R
-from celltide.operators.history import prior_n
+from celltide.operators.history import needs_split, prior_n
 from celltide.plans import views
 
 SCHEMA = (
@@ -71,8 +71,9 @@ def test_history_with_equal_times(spark):
 def test_bad_text_in_history_skips_its_rule(spark):
     data = [(*reading(i, 50.0, 200.0), i == 1) for i in range(3)] + [(*reading(3, 5.0, 5.0), False)]
     df = spark.createDataFrame(data, SCHEMA + ", bad_throughput boolean")
-    row = R.detect(df).orderBy(F.desc("event_time")).first()
-    assert [a.anomaly_type for a in row.anomalies] == [R.UES]
+    for split in (True, False):
+        row = R.detect(df, split=split).orderBy(F.desc("event_time")).first()
+        assert [a.anomaly_type for a in row.anomalies] == [R.UES]
 
 
 def test_texts(spark):
@@ -113,8 +114,9 @@ def brute_prior(data, n):
     return sorted(out, key=repr)
 
 
+@pytest.mark.parametrize("split", [True, False])
 @pytest.mark.parametrize("seed,n,spread", [(1, 3, 400_000), (2, 3, 40), (3, 9, 500_000), (4, 1, 8)])
-def test_prior_n_against_brute_force(spark, seed, n, spread):
+def test_prior_n_against_brute_force(spark, seed, n, spread, split):
     rng = random.Random(seed)
     data = []
     for _ in range(400):
@@ -123,17 +125,27 @@ def test_prior_n_against_brute_force(spark, seed, n, spread):
         data.append((cell, t, rng.choice([None, float(rng.randint(0, 9))]), float(rng.randint(0, 3))))
     data += data[:30]
     df = spark.createDataFrame(data, "cell_id long, event_time timestamp, a double, b double")
-    got = prior_n(df, n, ("cell_id",), "event_time", ("a", "b"))
+    got = prior_n(df, n, ("cell_id",), "event_time", ("a", "b"), split=split)
     told = sorted(((r.cell_id, r.event_time, r.a, r.b, [(p.a, p.b) for p in r.prior])
                    for r in got.collect()), key=repr)
     assert told == brute_prior(data, n)
 
 
-def test_rows_without_key_or_time_stay(spark):
-    df = spark.createDataFrame([(None, T0, 1.0), (1, None, 2.0), (1, T0, 3.0)],
+@pytest.mark.parametrize("split", [True, False])
+def test_rows_without_key_or_time_stay(spark, split):
+    df = spark.createDataFrame([(None, T0, 1.0), (None, T0 + dt.timedelta(1), 1.0), (1, None, 2.0), (1, T0, 3.0)],
                                "cell_id long, event_time timestamp, a double")
-    got = prior_n(df, 3, ("cell_id",), "event_time", ("a",))
-    assert sorted(len(r.prior) for r in got.collect()) == [0, 0, 0]
+    got = prior_n(df, 3, ("cell_id",), "event_time", ("a",), split=split)
+    assert sorted(len(r.prior) for r in got.collect()) == [0, 0, 0, 0]
+
+
+def test_small_keys_need_one_shuffle(spark):
+    rows_in = views.valid_kpi(spark, SMALL)
+    assert not needs_split(rows_in) and needs_split(rows_in, limit=10)
+    text = plan(R.with_history(rows_in, split=False))
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("Sort [") == 1
+    assert rows(R.with_history(rows_in, split=False), "event_id", "prior_count") == rows(
+        R.with_history(rows_in), "event_id", "prior_count")
 
 
 def test_history_plan(spark):
