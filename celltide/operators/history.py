@@ -92,18 +92,16 @@ def history_table(
 def prior_n(
     df: DataFrame, n=3, keys=("cell_id", "band"), ts="event_time",
     values=("ues_usage", "throughput_mbps"), name="prior", slice_seconds=SLICE_SECONDS,
-    history: DataFrame | None = None, split=True,
+    split=True,
 ) -> DataFrame:
     """Each row with `name`: the up to n newest readings of its key that are strictly older.
 
-    Newest last; every row counts, with missing values too. `history` names another frame to look
-    in, such as an archive; it has to hold these rows as well. `split=False` is for keys of a
-    checked size.
+    Newest last; every row counts, with missing values too. `split=False` is for keys of a checked
+    size.
     """
-    if history is None and not split:
+    if not split:
         return _prior_in_place(df, n, list(keys), ts, values, name)
-    source = df if history is None else history
-    table = history_table(source, n, keys, ts, values, name, slice_seconds)
+    table = history_table(df, n, keys, ts, values, name, slice_seconds)
     joined = join_history(df, table, keys, ts)
     empty = F.array().cast(table.schema[name].dataType)
     return joined.withColumn(name, F.coalesce(name, empty))

@@ -50,17 +50,14 @@ HISTORY_KEYS = ("cell_id", "band")
 KPIS = ("ues_usage", "rsrp", "sinr", "throughput_mbps", "rsrq")
 
 
-def with_history(
-    df: DataFrame, t: Thresholds = Thresholds(), history=None, split=True
-) -> DataFrame:
+def with_history(df: DataFrame, t: Thresholds = Thresholds(), split=True) -> DataFrame:
     """Rows with the count and means of their prior readings.
 
     With split keys the readings are summarized once per key and time, before they meet the rows.
     Optional boolean columns `bad_ues` and `bad_throughput` mark readings whose text was no number;
     a history with one of them has no mean.
     """
-    source = df if history is None else history
-    marks = [c for c in ("bad_ues", "bad_throughput") if c in source.columns]
+    marks = [c for c in ("bad_ues", "bad_throughput") if c in df.columns]
     values = ("ues_usage", "throughput_mbps", *marks)
 
     def summary(told):
@@ -68,11 +65,11 @@ def with_history(
             {f"prior_{m}": _any_bad(m) for m in marks}
         ).drop("prior")
 
-    if history is None and not split:
-        out = summary(prior_n(df, t.history, values=values, split=False))
-    else:
-        table = summary(history_table(source, t.history, values=values))
+    if split:
+        table = summary(history_table(df, t.history, values=values))
         out = join_history(df, table, HISTORY_KEYS, "event_time")
+    else:
+        out = summary(prior_n(df, t.history, values=values, split=False))
     return out.withColumns({
         "prior_count": F.coalesce("prior_count", F.lit(0)),
         **{
@@ -186,11 +183,9 @@ def apply_rules(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     )
 
 
-def detect(
-    df: DataFrame, thresholds: Thresholds = Thresholds(), history=None, split=True
-) -> DataFrame:
+def detect(df: DataFrame, thresholds: Thresholds = Thresholds(), split=True) -> DataFrame:
     """History, rules, flags and texts of every row. `split=False` is for keys of a checked size."""
-    return apply_rules(with_history(df, thresholds, history, split), thresholds)
+    return apply_rules(with_history(df, thresholds, split), thresholds)
 
 
 def anomalies_long(detected: DataFrame, keep=("cell_id", "band", "event_time")) -> DataFrame:

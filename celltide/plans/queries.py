@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from celltide.operators import logparse, retrieval, rollups, rules, sequences, t
 from celltide.operators.history import needs_split, prior_n, with_prior_means
 from celltide.plans import views as v
 from celltide.schemas import KPI_COLUMNS
-from celltide.session import scratch_path
+from celltide.session import materialize, scratch_path
 from celltide.sinks.files import text_columns, write_archive
 from celltide.sinks.messages import csv_line, encode_kpi_lines
 from celltide.sources.documents import mark_whole
@@ -246,10 +247,8 @@ def adj_flags(spark, sf):
 
 @query
 def feature_matrix(spark, sf):
-    matrix = forecast.feature_matrix(features.traffic_features(v.kpi(spark, sf), wide=True),
-                                     wide=True)
-    from pyspark.ml.functions import vector_to_array
-
+    table = features.traffic_features(v.kpi(spark, sf), wide=True)
+    matrix = forecast.feature_matrix(table, wide=True)
     return matrix.select(
         "cell_id", "event_ts", "frequency", "ues_usage", "traffic_class",
         F.array_join(vector_to_array("features").cast("array<string>"), ",").alias("features"),
@@ -263,7 +262,8 @@ def split_counts(spark, sf):
 
 
 def _parts(spark, sf):
-    return features.split(features.traffic_features(v.kpi(spark, sf)))
+    """Train and test parts of a stored table: training goes over it many times."""
+    return features.split(materialize(features.traffic_features(v.kpi(spark, sf)), "traffic"))
 
 
 @query
@@ -613,13 +613,13 @@ def anomaly_summary(spark, sf):
 
 @query
 def network_health(spark, sf):
-    return rollups.network_health(v.towers(spark, sf), v.anomaly_rows(spark, sf))
+    return rollups.network_health(v.towers(spark, sf), v.anomalous(spark, sf))
 
 
 @query
 def marker_status(spark, sf):
     activity = rollups.tower_activity(v.calls(spark, sf))
-    marked = rollups.marker_status(v.towers(spark, sf), v.anomaly_rows(spark, sf), activity)
+    marked = rollups.marker_status(v.towers(spark, sf), v.anomalous(spark, sf), activity)
     return marked.select("id", "status", "has_anomaly", r("drop_rate"), "marker")
 
 

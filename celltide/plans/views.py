@@ -145,6 +145,11 @@ def detected(spark, sf_dir) -> DataFrame:
     return detect(rows, split=needs_split(rows))
 
 
+def anomalous(spark, sf_dir) -> DataFrame:
+    """The cell of every anomalous row; texts are not needed to know it."""
+    return detected(spark, sf_dir).where("is_anomaly").select("cell_id")
+
+
 def answered(spark, sf_dir) -> DataFrame:
     """Detected rows with an answer of each kind: none, loose text, unnamed block, good block."""
     rows = render_report(detected(spark, sf_dir))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from celltide.operators.history import recent_points
+from celltide.operators.history import needs_split, recent_points
 from celltide.operators.rules import Thresholds, apply_rules, with_history
 from celltide.streaming.ingest import trigger, write_batch
 
@@ -20,19 +20,22 @@ KEYS = ["cell_id", "band"]
 VALUES = ["ues_usage", "throughput_mbps"]
 
 
-def score_batch(batch: DataFrame, history: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
-    """The batch with flags and anomalies; `history` holds older readings and the batch itself."""
-    return apply_rules(with_history(batch, t, history), t)
+def score_batch(batch: DataFrame, past: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """The batch with flags and anomalies, its history reaching back into `past`."""
+    older = past.select(*KEYS, "event_time", *VALUES).withColumn("_new", F.lit(False))
+    readings = batch.withColumn("_new", F.lit(True)).unionByName(older, allowMissingColumns=True)
+    told = with_history(readings, t, split=needs_split(readings, KEYS))
+    return apply_rules(told.where("_new").drop("_new"), t)
 
 
 def detect_stream(
     stream: DataFrame, archive: str, out: str, checkpoint: str, t: Thresholds = Thresholds(),
     seconds=None,
 ):
-    """Archive each batch of readings, then score it against the archive that now holds it.
+    """Archive each batch of readings and score it against the archive before it.
 
-    Only archived readings of keys in the batch, up to its newest one, take part; batches stored
-    later than this one do not, so a retry sees the same history.
+    Of the archive only earlier batches' readings of keys in the batch, up to its newest one, take
+    part; so a retry sees the same history.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -41,16 +44,14 @@ def detect_stream(
         stored.write.mode("overwrite").partitionBy("event_date").parquet(folder)
         # From here on the batch is read back, so the source is not asked again.
         batch = spark.read.schema(stored.schema).parquet(folder).select(*batch.columns)
-        points = batch.select(*KEYS, "event_time", *VALUES)
-        newest = points.agg(F.max("event_time")).scalar()
+        newest = batch.agg(F.max("event_time")).scalar()
         schema = T.StructType([*stored.schema.fields, T.StructField("batch_id", T.LongType())])
-        history = (
+        past = (
             spark.read.schema(schema).parquet(archive)
-            .where((F.col("batch_id") <= batch_id) & (F.col("event_date") <= F.to_date(newest)))
-            .select(*points.columns)
-            .join(points.select(*KEYS).distinct(), KEYS, "left_semi")
+            .where((F.col("batch_id") < batch_id) & (F.col("event_date") <= F.to_date(newest)))
+            .join(batch.select(*KEYS).distinct(), KEYS, "left_semi")
         )
-        write_batch(score_batch(batch, history, t), out, batch_id)
+        write_batch(score_batch(batch, past, t), out, batch_id)
 
     return (
         stream.writeStream.foreachBatch(run)
@@ -86,12 +87,11 @@ def detect_with_tail(
         spark = batch.sparkSession
         batch = batch.persist()
         points = batch.select(*KEYS, "event_time", *VALUES)
-        known = points
+        before = points.where("false")
         if batch_id > 0:
             before = spark.read.schema(points.schema).parquet(f"{state}/batch_id={batch_id - 1}")
-            known = before.select(*points.columns).unionByName(points)
-        write_batch(score_batch(batch, known, t), out, batch_id)
-        write_batch(tail(known, t.history), state, batch_id)
+        write_batch(score_batch(batch, before, t), out, batch_id)
+        write_batch(tail(before.unionByName(points), t.history), state, batch_id)
         drop_path(spark, f"{state}/batch_id={batch_id - 2}")
         batch.unpersist()
 

@@ -4,9 +4,13 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import types as T
 from tests.conftest import SMALL
 
 import __spark_entry__ as entry_points
+from celltide import schemas
+from celltide.operators import rollups
+from celltide.plans import views
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -56,6 +60,30 @@ def test_no_pairing_of_everything_with_everything(spark, name):
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
+@pytest.mark.parametrize("view,ddl", [
+    (views.kpi, schemas.KPI_SCHEMA), (views.du, schemas.DU_SCHEMA),
+    (views.event_store, schemas.EVENT_SCHEMA),
+])
+def test_views_have_the_schemas_of_the_data_model(spark, view, ddl):
+    kinds = dict(view(spark, SMALL).dtypes)
+    for field in T._parse_datatype_string(ddl).fields:
+        assert kinds[field.name] == field.dataType.simpleString()
+
+
+def test_feed_has_the_schema_of_the_data_model(spark):
+    parts = [
+        rollups.feed_anomalies(views.anomaly_rows(spark, SMALL), views.as_of()),
+        rollups.feed_calls(views.calls(spark, SMALL)),
+        rollups.feed_remediation(views.remediations(spark, SMALL), views.as_of()),
+    ]
+    kinds = dict(rollups.feed(*parts).dtypes)
+    wanted = T._parse_datatype_string(schemas.FEED_SCHEMA).fields
+    for field in wanted:
+        if field.name in kinds:
+            assert kinds[field.name] == field.dataType.simpleString()
+    assert set(kinds) <= {f.name for f in wanted}
+
+
 def test_forests_learn_something(spark):
     metrics = {(r.model, r.metric): r.value for r in QUERIES["rf_metrics"](spark, SMALL).collect()}
     assert metrics["classifier", "accuracy"] > 0.9
@@ -64,7 +92,6 @@ def test_forests_learn_something(spark):
 
 def test_models_can_be_saved(spark, tmp_path):
     from celltide.operators import features, forecast
-    from celltide.plans import views
 
     table = features.traffic_features(views.kpi(spark, SMALL))
     models = forecast.train_traffic(table, trees=3, depth=3)
