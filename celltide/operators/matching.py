@@ -35,6 +35,9 @@ MAX_CUBE = 256  # open cells a cube of the first ring may hold
 PLACE_CHUNK = 20_000  # lowest ids per band set that one task serves at a time
 DEGREES, KM = 9, 9  # digits kept of coordinates and distances
 
+NEAREST = (
+    "city STRING, cell_id BIGINT, other BIGINT, distance_km DOUBLE, shared INT, rank INT"
+)
 LINK = "city STRING, a BIGINT, b BIGINT, distance_km DOUBLE, shared INT"
 
 
@@ -118,6 +121,124 @@ def match_neighbours(
     return small.unionByName(_match_large(opened, len(bands), max_cube, chunk))
 
 
+def nearest_links(
+    cells: DataFrame, k=3, bands=tuple(VALID_BANDS), max_group=MAX_GROUP, max_cube=MAX_CUBE
+) -> DataFrame:
+    """The k best candidate links of every cell: (city, cell_id, other, distance_km, shared, rank).
+
+    Candidates are the cells of the same city that share a band, in the order of the links. Large
+    cities are searched place by place and ring by ring: of the cells of one place and band set
+    only the lowest ids can be among anyone's best, and a cell leaves the search once it has k.
+    """
+    ready = _prepare(cells.withColumn("_wanted", F.lit(k)), "_wanted", list(bands))
+    sizes = ready.groupBy("city").agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") > max_group).select("city")
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    if most <= max_group:
+        return ready.groupBy("city").applyInPandas(_nearest_in_city(k), NEAREST)
+    small = ready.join(large, "city", "left_anti").groupBy("city").applyInPandas(
+        _nearest_in_city(k), NEAREST
+    )
+    seekers = materialize(ready.join(large, "city", "left_semi").drop("open"), "seekers")
+    return small.unionByName(_nearest_large(seekers, k, max_cube))
+
+
+def _nearest_in_city(k: int):
+    def search(group: pd.DataFrame) -> pd.DataFrame:
+        g = group.sort_values("id")
+        ids, masks = g["id"].to_numpy(), g["mask"].to_numpy()
+        lat, lon = g["lat"].to_numpy(), g["lon"].to_numpy()
+        parts = []
+        for i in range(len(g)):
+            shared = _popcount(masks & masks[i])
+            shared[i] = 0
+            near = np.flatnonzero(shared)
+            km = _km(lat[i], lon[i], lat[near], lon[near])
+            best = np.lexsort((ids[near], -shared[near], km))[:k]
+            parts.append((np.full(len(best), ids[i]), ids[near][best], km[best],
+                          shared[near][best], np.arange(1, len(best) + 1)))
+        own, other, km, shared, rank = (np.concatenate(c) for c in zip(*parts))
+        return pd.DataFrame({
+            "city": np.full(len(own), g["city"].iloc[0], dtype=object), "cell_id": own,
+            "other": other, "distance_km": km.astype("float64"), "shared": shared.astype("int32"),
+            "rank": rank.astype("int32"),
+        })
+
+    return search
+
+
+def _nearest_large(seekers: DataFrame, k: int, max_cube: int) -> DataFrame:
+    place = ["city", "lat", "lon"]
+    lowest = Window.partitionBy(*place, "mask").orderBy("id")
+    offered = materialize(
+        seekers.withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= k + 1)
+        .drop("nth"), "offered",
+    )
+    there = offered.select(*place, F.col("id").alias("id_b"), F.col("mask").alias("mask_b"))
+    here = _linked(seekers.join(there, place).withColumn("distance_km", F.lit(0.0)), k)
+    # Without a hit at its own place a cell may still have some around it.
+    width, widest = _first_ring(offered, max_cube)
+    found, done = [], materialize(here, "links-here")
+    seeking = _unserved(seekers, done, k)
+    while width is not None and seeking.head(1):
+        around = _around(seeking, offered, width).where(
+            (F.col("distance_km") > 0) & (F.col("distance_km") <= width)
+        )
+        at_place = done.join(seeking.select(F.col("id").alias("cell_id")), "cell_id", "left_semi")
+        hits = materialize(_ranked(at_place.drop("rank").unionByName(_linked(around, k).drop("rank")),
+                                   k), "links-around")
+        left = _unserved(seeking, hits, k)
+        if width < widest:
+            served = hits.join(left.select(F.col("id").alias("cell_id")), "cell_id", "left_anti")
+        else:
+            served, left = hits, left.where("false")
+        found.append(served)
+        seeking = materialize(left, "seekers")
+        width *= 2
+    late = reduce(lambda x, y: x.unionByName(y), found, done.where("false"))
+    early = done.join(_unserved(seekers, done, k).select(F.col("id").alias("cell_id")), "cell_id",
+                      "left_anti")
+    columns = ["city", "cell_id", "other", "distance_km", "shared", "rank"]
+    return early.select(*columns).unionByName(late.select(*columns))
+
+
+def _unserved(seekers: DataFrame, links: DataFrame, k: int) -> DataFrame:
+    served = links.where(F.col("rank") == k).select(F.col("cell_id").alias("id"))
+    return seekers.join(served, "id", "left_anti").select(seekers.columns)
+
+
+def _linked(pairs: DataFrame, k: int) -> DataFrame:
+    """Pairs of seekers and offered cells as ranked links."""
+    links = (
+        pairs.where(F.col("id") != F.col("id_b"))
+        .withColumn("shared", F.bit_count(F.col("mask").bitwiseAND(F.col("mask_b"))).cast("int"))
+        .where("shared > 0")
+        .select("city", F.col("id").alias("cell_id"), F.col("id_b").alias("other"), "distance_km",
+                "shared")
+    )
+    return _ranked(links, k)
+
+
+def _ranked(links: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("cell_id").orderBy("distance_km", F.desc("shared"), "other")
+    return links.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+def _around(here: DataFrame, there: DataFrame, width: float) -> DataFrame:
+    """Pairs of `here` and `there` in the same or touching cubes, with their distance."""
+    cube = [c.alias(n) for c, n in zip(_cube(F.lit(width)), "xyz")]
+    near = here.select("city", "id", "lat", "lon", "mask", *cube)
+    for n in "xyz":
+        near = near.withColumn("step", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))).withColumn(
+            n, F.col(n) + F.col("step")
+        ).drop("step")
+    other = there.select(
+        "city", *[F.col(c).alias(f"{c}_b") for c in ("id", "lat", "lon", "mask")], *cube
+    )
+    km = F.round(haversine(F.col("lat"), F.col("lon"), F.col("lat_b"), F.col("lon_b")), KM)
+    return near.join(other, ["city", *"xyz"]).withColumn("distance_km", km)
+
+
 def adjacency(links: DataFrame, cells: DataFrame) -> DataFrame:
     """Cells with `adjacent_cells`, the sorted ids they are linked to; none is an empty list."""
     ends = links.select(F.col("a").alias("cell_id"), F.col("b").alias("other")).unionByName(
@@ -288,27 +409,11 @@ def _first_ring(opened: DataFrame, max_cube: int):
 
 def _match_ring(opened: DataFrame, inner: float, outer: float):
     """Grant every link with inner < distance <= outer: (open cells, link tables)."""
-    cube = [c.alias(n) for c, n in zip(_cube(F.lit(outer)), "xyz")]
-    here = opened.select("city", "id", "lat", "lon", "mask", *cube)
-    around = F.sequence(F.lit(-1), F.lit(1))
-    there = here
-    for n in "xyz":
-        there = there.withColumn("step", F.explode(around)).withColumn(
-            n, F.col(n) + F.col("step")
-        ).drop("step")
-    other = there.select(
-        "city", *"xyz",
-        *[F.col(c).alias(f"{c}_b") for c in ("id", "lat", "lon", "mask")],
-    )
-    km = F.round(
-        haversine(F.col("lat"), F.col("lon"), F.col("lat_b"), F.col("lon_b")), KM
-    )
     pairs = (
-        here.join(other, ["city", *"xyz"])
+        _around(opened, opened, outer)
         .where(F.col("id") < F.col("id_b"))
         .withColumn("shared", F.bit_count(F.col("mask").bitwiseAND(F.col("mask_b"))))
         .where("shared > 0")
-        .withColumn("distance_km", km)
         .where((F.col("distance_km") > inner) & (F.col("distance_km") <= outer))
         .select("city", F.col("id").alias("a"), F.col("id_b").alias("b"), "distance_km",
                 F.col("shared").cast("int").alias("shared"))

@@ -548,6 +548,13 @@ def candidate_links(spark, sf):
     return topology.candidate_links(v.cells(spark, sf))
 
 
+@query
+def nearest_links(spark, sf):
+    return matching.nearest_links(v.cells(spark, sf)).withColumn(
+        "distance_km", F.round("distance_km", 6)
+    )
+
+
 @query
 def neighbour_links(spark, sf):
     links = matching.match_neighbours(v.cells(spark, sf))

@@ -83,6 +83,24 @@ def test_cells_without_city_or_partner_have_no_links(spark):
     assert [len(r.adjacent_cells) for r in matching.adjacency(links, df).collect()] == [0] * 4
 
 
+@pytest.mark.parametrize("max_group", [2000, 0])
+def test_nearest_links(spark, max_group):
+    cells = some_cells(120, True)
+    got = matching.nearest_links(
+        spark.createDataFrame(cells, CELLS), 3, max_group=max_group, max_cube=8)
+    want = set()
+    for a in cells:
+        mine = []
+        for b in cells:
+            shared = len(set(a[4]) & set(b[4]))
+            if a[0] != b[0] and a[1] == b[1] and shared:
+                p1, p2, dl = math.radians(a[2]), math.radians(b[2]), math.radians(b[3] - a[3])
+                x = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(dl / 2) ** 2
+                mine.append((round(2 * 6371 * math.atan2(math.sqrt(x), math.sqrt(1 - x)), 9), -shared, b[0]))
+        want |= {(a[0], b, r + 1) for r, (_, _, b) in enumerate(sorted(mine)[:3])}
+    assert {(r.cell_id, r.other, r["rank"]) for r in got.collect()} == want
+
+
 def test_candidate_counts(spark):
     cells = some_cells(80, True)
     df = spark.createDataFrame(cells, CELLS)
