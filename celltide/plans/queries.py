@@ -251,7 +251,9 @@ def feature_matrix(spark, sf):
     matrix = forecast.feature_matrix(table, wide=True)
     return matrix.select(
         "cell_id", "event_ts", "frequency", "ues_usage", "traffic_class",
-        F.array_join(vector_to_array("features").cast("array<string>"), ",").alias("features"),
+        F.array_join(
+            vector_to_array("features").cast("array<bigint>").cast("array<string>"), ","
+        ).alias("features"),
     )
 
 
