@@ -60,22 +60,21 @@ def topn_adjacent(df: DataFrame, n=10) -> DataFrame:
     )
 
 
-def adjacency_flags(df: DataFrame, n=10) -> dict[str, Column]:
-    """0/1 expressions: does the row name the i-th most frequent neighbour?
+def with_adjacency_flags(df: DataFrame, n=10) -> DataFrame:
+    """0/1 columns `adj_top_i`: does the row name the i-th most frequent neighbour?
 
-    The n ids are one small array, read as a scalar subquery.
+    The n ids are one small array, read once as a scalar subquery.
     """
-    ranked = topn_adjacent(df, n).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "adjacent_cell"))),
+    ids = topn_adjacent(df, n).agg(F.transform(
+        F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), "adjacent_cell"))),
         lambda s: s["adjacent_cell"],
-    ).alias("ids"))
-    ids = ranked.scalar()
-    return {
+    ).alias("ids")).scalar()
+    return df.withColumn("_ids", ids).withColumns({
         f"adj_top_{i + 1}": F.coalesce(
-            F.array_contains(F.col("adjacent_cells"), F.get(ids, F.lit(i))).cast("int"), F.lit(0)
+            F.array_contains("adjacent_cells", F.get("_ids", F.lit(i))).cast("int"), F.lit(0)
         )
         for i in range(n)
-    }
+    }).drop("_ids")
 
 
 def traffic_grouped(df: DataFrame, top_n=None) -> DataFrame:
@@ -84,11 +83,9 @@ def traffic_grouped(df: DataFrame, top_n=None) -> DataFrame:
     Rows without a full key are left out. Day name and weekend depend on time alone, so any
     aggregate of them is exact; they are recomputed after grouping instead.
     """
-    flags = adjacency_flags(df, top_n) if top_n else {}
-    rows = df.dropna(subset=GROUP_KEYS).withColumns(flags) if flags else df.dropna(
-        subset=GROUP_KEYS
-    )
-    grouped = rows.groupBy(*GROUP_KEYS).agg(
+    rows = with_adjacency_flags(df, top_n) if top_n else df
+    flags = [f"adj_top_{i + 1}" for i in range(top_n or 0)]
+    grouped = rows.dropna(subset=GROUP_KEYS).groupBy(*GROUP_KEYS).agg(
         F.sum("ues_usage").alias("ues_usage"), *[F.max(f).alias(f) for f in flags]
     )
     return temporal_features(grouped)

@@ -1,6 +1,6 @@
 """Prior-N history of each reading, safe for keys of any size.
 
-Where the largest key is known to be of moderate size (`needs_split` measures it), one window per key
+Where the largest key is known to be of moderate size (`skew.needs_split` measures it), one window per key
 does the work: one shuffle of the rows and one sort.
 
 Otherwise a window over (cell, band) would put a hot key's whole life into one task, so the key's time
@@ -23,13 +23,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_SECONDS = 86_400
-MAX_KEY_ROWS = 2_000_000  # readings of a key that one task may go through
-
-
-def needs_split(df: DataFrame, keys=("cell_id", "band"), limit=MAX_KEY_ROWS) -> bool:
-    """Whether some key has more than `limit` rows. Reads the key columns only; one number returns."""
-    most = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    return (most or 0) > limit
 
 
 def last_n(array: Column, n: int) -> Column:
@@ -61,14 +54,15 @@ def history_table(
 ) -> DataFrame:
     """(keys, ts, `name`): the up to n readings strictly before each time of each key."""
     keys = list(keys)
-    points = recent_points(df, n, keys, ts, values, slice_seconds)
+    reading = F.struct(F.col(ts), *[F.col(v) for v in values])
+    # The readings are built before the windows, so both uses below share one shuffle.
+    points = recent_points(df, n, keys, ts, values, slice_seconds).withColumn("_reading", reading)
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(
         ts, *[F.col(v).asc_nulls_first() for v in values]
     )
-    reading = F.struct(F.col(ts), *[F.col(v) for v in values])
     told = points.select(
-        *keys, "_slice", ts, reading.alias("_reading"),
-        F.array(*[F.lag(reading, k).over(in_slice) for k in range(n, 0, -1)]).alias("_lags"),
+        *keys, "_slice", ts, "_reading",
+        F.array(*[F.lag("_reading", k).over(in_slice) for k in range(n, 0, -1)]).alias("_lags"),
         F.lag(ts).over(in_slice).alias("_before"),
         F.lead(ts).over(in_slice).isNull().alias("_closes"),
     )

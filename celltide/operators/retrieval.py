@@ -249,13 +249,16 @@ def parse_request(df: DataFrame, text="text", limit=5) -> DataFrame:
     }).drop("_found", "_parsed")
 
 
-def full_outer(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """Full outer join as the matches plus the rows of either side without a partner.
+def full_outer(left: DataFrame, right: DataFrame, keys, split=True) -> DataFrame:
+    """Full outer join. Rows without a full key match nothing, and stay.
 
-    A plain full outer join cannot be split on a hot key. An inner join can on both sides, and an
-    anti join on its left, where the rows are.
+    Spark cannot split a hot key of a full outer join. With `split` it is written as the matches
+    plus the rows of either side without a partner: an inner join can be split on both sides, an
+    anti join on its left, where the rows are. `split=False` is for sides without a hot key.
     """
     keys = list(keys)
+    if not split:
+        return left.join(right, keys, "full")
     matched = left.join(right, keys)
     left_alone = left.join(right.select(*keys).distinct(), keys, "left_anti")
     right_alone = right.join(left.select(*keys).distinct(), keys, "left_anti")
@@ -264,10 +267,10 @@ def full_outer(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     )
 
 
-def join_kpi_du(scores: DataFrame, traffic: DataFrame, du: DataFrame) -> DataFrame:
+def join_kpi_du(scores: DataFrame, traffic: DataFrame, du: DataFrame, split=True) -> DataFrame:
     """Anomaly score, predicted traffic and host resources on (cell, time); missing stays NULL."""
     keys = ["cell_id", "event_time"]
-    return full_outer(full_outer(scores, traffic, keys), du, keys)
+    return full_outer(full_outer(scores, traffic, keys, split), du, keys, split)
 
 
 # Status lines, with the column behind each, its digits and its unit.

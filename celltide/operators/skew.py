@@ -1,0 +1,30 @@
+"""Is a way that keeps each key in one task good enough?"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_KEY_ROWS = 2_000_000  # rows of a key that one task may go through
+BUCKETS = 4096
+
+
+def needs_split(df: DataFrame, keys=("cell_id", "band"), limit=MAX_KEY_ROWS) -> bool:
+    """Whether some key has more than `limit` rows. Reads the key columns only; one number returns.
+
+    For keys that are few beside the rows.
+    """
+    most = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    return (most or 0) > limit
+
+
+def has_hot_key(df: DataFrame, keys, limit=MAX_KEY_ROWS, share=1 / 1000) -> bool:
+    """Whether some key may hold more than `limit` rows and a `share` of all of them.
+
+    Rows are counted by hash bucket before any shuffle, so it costs a scan of the key columns even
+    where keys are as many as rows. Never misses such a key; a crowded bucket may raise it in vain.
+    """
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(BUCKETS))
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    most, total = counts.agg(F.max("n"), F.sum("n")).first()
+    return (most or 0) > max(limit, share * (total or 0))

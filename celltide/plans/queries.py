@@ -12,7 +12,8 @@ from celltide.functions.lookups import band_frequency
 from celltide.functions.numbers import frequency_mid
 from celltide.operators import clean, eventstore, features, forecast, matching, reports
 from celltide.operators import logparse, retrieval, rollups, rules, sequences, topology
-from celltide.operators.history import needs_split, prior_n, with_prior_means
+from celltide.operators.history import prior_n, with_prior_means
+from celltide.operators.skew import has_hot_key, needs_split
 from celltide.plans import views as v
 from celltide.schemas import KPI_COLUMNS
 from celltide.session import materialize, scratch_path
@@ -849,7 +850,9 @@ def _outer(spark, sf):
     traffic = rows.where("event_id % 5 <> 0").select(
         "cell_id", "event_time", F.col("ues_usage").alias("predicted_traffic")
     )
-    return retrieval.join_kpi_du(scores, traffic, v.du(spark, sf).drop("event_id"))
+    sides = (scores, traffic, v.du(spark, sf).drop("event_id"))
+    split = any(has_hot_key(side, ["cell_id", "event_time"]) for side in sides)
+    return retrieval.join_kpi_du(*sides, split=split)
 
 
 @query

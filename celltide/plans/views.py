@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from celltide.functions.lookups import band_frequency, literal_map
 from celltide.operators.clean import filter_valid_bands
-from celltide.operators.history import needs_split
 from celltide.operators.reports import END, NONE_FOUND, START, reconcile, render_report
 from celltide.operators.rules import anomalies_long, detect
+from celltide.operators.skew import needs_split
 from celltide.schemas import DU_COLUMNS
 from celltide.session import pin
 from celltide.sinks.files import text_columns

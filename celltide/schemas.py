@@ -24,11 +24,6 @@ KPI_SCHEMA = """
     max_capacity BIGINT
 """
 
-DU_SOURCE_NAMES = [
-    "Cell ID", "Datetime", "CPU (%)", "Memory (MB)", "Disk Space (GB)", "RTT (ms)",
-    "Temperature (C)", "Power Usage (W)",
-]  # fixed values: field order of a host-resource line
-
 DU_COLUMNS = [
     "cell_id", "event_time", "cpu_pct", "memory_mb", "disk_gb", "rtt_ms", "temperature_c",
     "power_w",

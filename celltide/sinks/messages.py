@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from celltide.sinks.files import text_columns
 
+log = logging.getLogger(__name__)
+
 LINE_WRITE_OPTIONS = {"quoteAll": "true", "escape": '"', "quote": '"', "sep": ","}
 
 
@@ -19,12 +23,17 @@ def csv_line(fields: list[Column]) -> Column:
     return F.to_csv(F.struct(*fields), LINE_WRITE_OPTIONS)
 
 
-def send(df: DataFrame, options: dict, topic: str, value="value") -> None:
-    """Publish `value` to a Kafka topic. Retries are Spark's: a failed send fails the task."""
-    (
-        df.select(F.col(value).cast("string").alias("value"))
-        .write.format("kafka").options(**options).option("topic", topic).save()
-    )
+def send(df: DataFrame, options: dict, topic: str, value="value", strict=False) -> bool:
+    """Publish `value` to a Kafka topic. A failure is logged and the run goes on, unless `strict`."""
+    messages = df.select(F.col(value).cast("string").alias("value"))
+    try:
+        messages.write.format("kafka").options(**options).option("topic", topic).save()
+    except Exception:
+        if strict:
+            raise
+        log.exception("publishing to %s failed", topic)
+        return False
+    return True
 
 
 def append_events(df: DataFrame, options: dict, table="events") -> None:

@@ -151,11 +151,6 @@ def latest_batch(df: DataFrame, by="file_time") -> DataFrame:
     return df.where(F.col(by) == newest)
 
 
-def read_columns_as(df: DataFrame, names) -> DataFrame:
-    """Rename by position, e.g. to KPI_COLUMNS."""
-    return df.toDF(*names)
-
-
 def normalize_names(df: DataFrame) -> DataFrame:
     """Column names without blanks, signs or capitals: 'Disk Space (GB)' -> 'diskspacegb'."""
     return df.toDF(*["".join(ch for ch in c if ch.isascii() and ch.isalnum()).lower()

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from celltide.operators.history import needs_split, recent_points
+from celltide.operators.history import recent_points
 from celltide.operators.rules import Thresholds, apply_rules, with_history
+from celltide.operators.skew import needs_split
 from celltide.streaming.ingest import trigger, write_batch
 
 KEYS = ["cell_id", "band"]

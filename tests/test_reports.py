@@ -90,7 +90,7 @@ def test_verify_by_row(spark, claim, change, verdict):
 def test_remediation_has_at_most_four_parameters(spark):
     for change in (dict(rsrp=-115.0), dict(sinr=-1.0), dict(cap=0)):
         request = json.loads(reports.remediation(detected(spark, **change)).first().value)
-        assert request["cell_id"] == "1" and len(request) <= 4
+        assert request["cell_id"] == "1" and len(request) <= reports.MAX_PARAMETERS
     assert request["anomaly_type"] == R.PRB_ERROR
     assert reports.remediation(detected(spark)).count() == 0
 

@@ -103,8 +103,9 @@ def test_full_outer_and_status(spark):
     b = spark.createDataFrame([(1, t, 10.0), (1, t, 11.0), (2, t, 9.0)],
                               "cell_id long, event_time timestamp, predicted_traffic double")
     keys = ["cell_id", "event_time"]
-    assert rows(retrieval.full_outer(a, b, keys)) == rows(a.join(b, keys, "full").select(
-        *keys, "anomaly_score", "predicted_traffic"))
+    for split in (True, False):
+        assert rows(retrieval.full_outer(a, b, keys, split)) == rows(a.join(b, keys, "full").select(
+            *keys, "anomaly_score", "predicted_traffic"))
     du = spark.createDataFrame([(3, t, 1.0, 2, 3.0, 4.0, 5.0, 6.0)],
                                "cell_id long, event_time timestamp, cpu_pct double, memory_mb long, disk_gb double, "
                                "rtt_ms double, temperature_c double, power_w double")

@@ -7,7 +7,8 @@ from tests.conftest import SMALL, plan, rows
 
 from celltide.operators import clean, features, sequences
 from celltide.operators import rules as R
-from celltide.operators.history import needs_split, prior_n
+from celltide.operators.history import prior_n
+from celltide.operators.skew import has_hot_key, needs_split
 from celltide.plans import views
 
 SCHEMA = (
@@ -148,6 +149,15 @@ def test_small_keys_need_one_shuffle(spark):
         R.with_history(rows_in), "event_id", "prior_count")
 
 
+def test_hot_keys_are_seen(spark):
+    even = spark.range(20_000)
+    hot = even.selectExpr("if(id % 3 = 0, 7, id) AS id")
+    assert not has_hot_key(even, ["id"], limit=100)
+    assert has_hot_key(hot, ["id"], limit=100) and not has_hot_key(hot, ["id"])
+    assert has_hot_key(even.selectExpr("if(id % 3 = 0, null, id) AS id"), ["id"], limit=100)
+    assert not has_hot_key(even.where("false"), ["id"])
+
+
 def test_history_plan(spark):
     text = plan(R.with_history(views.valid_kpi(spark, SMALL)))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from tests.conftest import SMALL, rows
 
@@ -13,7 +14,7 @@ from celltide.sinks.files import (
     write_results,
     write_topology,
 )
-from celltide.sinks.messages import encode_kpi_lines
+from celltide.sinks.messages import encode_kpi_lines, send
 from celltide.sources import telemetry as tel
 from celltide.sources.documents import read_documents
 from celltide.sources.events import read_event_table, read_events_json
@@ -154,7 +155,14 @@ def test_result_files(spark, tmp_path):
     assert "".join(p.read_text() for p in (tmp_path / "report").glob("part*")) == "a\n\nb\n\n"
 
 
-def test_v1_times_are_utc(spark):
+def test_publishing_failures_do_not_stop_the_run(spark):
+    df = spark.createDataFrame([("x",)], "value string")
+    assert send(df, {}, "topic") is False
+    with pytest.raises(Exception, match="(?i)kafka"):
+        send(df, {}, "topic", strict=True)
+
+
+def test_times_are_utc(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     first = views.kpi(spark, SMALL).orderBy("event_time").first().event_time
     assert first.date() == dt.date(2024, 1, 1)
