@@ -162,8 +162,8 @@ def text_violates(text: Column, t: R.Thresholds = R.Thresholds()) -> Column:
 def row_violates(block: Column, t: R.Thresholds = R.Thresholds()) -> Column:
     """The first rule word found in the block decides which rule the row must break.
 
-    `shown_case` words of the older wording differ from the rule names in capitals, so the match
-    ignores case for the last three.
+    Older reports write the last three words in small letters, so their case is ignored. A row
+    without all its figures cannot be verified.
     """
     low = F.lower(block)
 
@@ -229,7 +229,7 @@ def verify_row(df: DataFrame, t: R.Thresholds = R.Thresholds()) -> DataFrame:
     })
 
 
-# What to change for each kind of anomaly, and the default engineering-safe tilt and azimuth.
+# What to do about each kind of anomaly, and the units of its figures.
 ACTIONS = {
     R.PRB: "Shift load to neighbour cells",
     R.PRB_ERROR: "Correct the configured capacity",
