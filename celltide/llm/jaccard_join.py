@@ -309,6 +309,8 @@ class JaccardJoin:
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
+        if pairs.isEmpty():
+            return None
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
         ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
         picks = materialize(
@@ -324,23 +326,23 @@ class JaccardJoin:
         )
         return materialize(full.mapInArrow(_linked(self.words, self.percent), "a BIGINT, b BIGINT"), "links")
 
-    def edges(self) -> DataFrame:
-        """Edges of a graph on set ids with the components of all links."""
-        edges = self._light_edges().toDF("a", "b")
-        edges = materialize(edges, "light")
-        lists = self._lists()
+    def roots(self) -> DataFrame:
+        """(node, root): the components of all links, on set ids."""
+        edges = materialize(self._light_edges().toDF("a", "b"), "light")
+        roots, rows = components(edges), self._lists()
         for turn in range(3):
-            rows = self._labelled(lists, components(edges))
+            rows = self._labelled(rows.drop("comp"), roots)
             rows = materialize(rows.join(self._split(rows), "token", "left_semi"), "open")
-            pairs = self._star_pairs(rows, turn) if turn < 2 else self._rest_pairs(rows)
-            edges = edges.union(self._test(pairs))
-            lists = rows.drop("comp")
-        return edges
+            new = self._test(self._star_pairs(rows, turn) if turn < 2 else self._rest_pairs(rows))
+            if new is not None:
+                edges = edges.union(new)
+                roots = components(edges)
+        return roots
 
     def result(self) -> DataFrame:
         """doc_id, text_id, n_shingles, component_id for each row of the input."""
         sets = self.sets.join(
-            components(self.edges()).withColumnRenamed("node", "set_id"), "set_id", "left"
+            self.roots().withColumnRenamed("node", "set_id"), "set_id", "left"
         ).withColumn("root", F.coalesce("root", "set_id"))
         least = sets.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
         sets = materialize(sets, "rooted")
