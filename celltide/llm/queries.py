@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from celltide.llm import line_dedup, mixing
+from celltide.llm.fingerprints import op2_document_fingerprints
 from celltide.llm.jaccard_join import op4_jaccard_join
 from celltide.llm.line_dedup import op10_line_dedup
 from celltide.llm.mixing import op8_mix_sources
 from celltide.llm.packing import op7_best_fit_packing
+from celltide.llm.quality import op5_quality_classifier
 from celltide.llm.suffix_dedup import op1_suffix_dedup
 
 QUERIES = {q.__name__: q for q in (
     op1_suffix_dedup,
+    op2_document_fingerprints,
     op4_jaccard_join,
+    op5_quality_classifier,
     op7_best_fit_packing,
     op8_mix_sources,
     op10_line_dedup,
