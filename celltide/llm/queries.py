@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from celltide.llm import line_dedup, mixing
 from celltide.llm.fingerprints import op2_document_fingerprints
+from celltide.llm.hash_forest import op3_hash_forest
+from celltide.llm.html_text import op9_html_text
 from celltide.llm.jaccard_join import op4_jaccard_join
+from celltide.llm.licenses import op6_license_scan
 from celltide.llm.line_dedup import op10_line_dedup
 from celltide.llm.mixing import op8_mix_sources
 from celltide.llm.packing import op7_best_fit_packing
@@ -14,10 +17,13 @@ from celltide.llm.suffix_dedup import op1_suffix_dedup
 QUERIES = {q.__name__: q for q in (
     op1_suffix_dedup,
     op2_document_fingerprints,
+    op3_hash_forest,
     op4_jaccard_join,
     op5_quality_classifier,
+    op6_license_scan,
     op7_best_fit_packing,
     op8_mix_sources,
+    op9_html_text,
     op10_line_dedup,
 )}
 
