@@ -139,10 +139,11 @@ def shingles(data, offsets, size, hasher, spaces, fold):
     bounds = runs(row, len(offsets) - 1)
     count = np.diff(bounds)
     h = np.zeros(len(w), np.uint64)
-    for k in range(1, size + 1):
-        h[: len(w) - k + 1] = h[: len(w) - k + 1] * BASE2 + w[k - 1 :]
+    for k in range(1, min(size, len(w)) + 1):
+        m = len(w) - k + 1
+        h[:m] = h[:m] * BASE2 + w[k - 1 :]
         at = (
-            np.flatnonzero(row[: len(w) - k + 1] == row[k - 1 :]) if k == size
+            np.flatnonzero(row[:m] == row[k - 1 :]) if k == size
             else bounds[:-1][count == k]
         )
         if len(at):
