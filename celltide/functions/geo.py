@@ -15,4 +15,6 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     chord = F.pow(F.sin(dlat / 2), F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(
         F.radians(lat2)
     ) * F.pow(F.sin(dlon / 2), F.lit(2.0))
+    # Rounding may carry it past 1 for opposite places.
+    chord = F.least(chord, F.lit(1.0))
     return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(chord), F.sqrt(1 - chord))

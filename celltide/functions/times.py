@@ -23,8 +23,8 @@ def is_weekend(c: Column) -> Column:
 
 
 def daypart(c: Column) -> Column:
-    """'day' for the hours 6 to 18, else 'night'."""
-    return F.when(F.hour(c).between(6, 18), "day").otherwise("night")
+    """'day' from 06:00 to before 18:00, else 'night'."""
+    return F.when(F.hour(c).between(6, 17), "day").otherwise("night")
 
 
 def daytype(c: Column) -> Column:

@@ -1,9 +1,6 @@
 """Prior-N history of each reading, safe for keys of any size.
 
-Where the largest key is known to be of moderate size (`skew.needs_split` measures it), one window per key
-does the work: one shuffle of the rows and one sort.
-
-Otherwise a window over (cell, band) would put a hot key's whole life into one task, so the key's time
+A window over (cell, band) would put a hot key's whole life into one task, so the key's time
 line is cut into slices of one day:
 
 1. Readings that share a key and second are first reduced to the n that can matter. The ranking
@@ -86,45 +83,17 @@ def history_table(
 def prior_n(
     df: DataFrame, n=3, keys=("cell_id", "band"), ts="event_time",
     values=("ues_usage", "throughput_mbps"), name="prior", slice_seconds=SLICE_SECONDS,
-    split=True,
 ) -> DataFrame:
     """Each row with `name`: the up to n newest readings of its key that are strictly older.
 
-    Newest last; every row counts, with missing values too. `split=False` is for keys of a checked
-    size.
+    Newest last; every row counts, with missing values too.
     """
-    if not split:
-        return _prior_in_place(df, n, list(keys), ts, values, name)
     table = history_table(df, n, keys, ts, values, name, slice_seconds)
     joined = join_history(df, table, keys, ts)
     empty = F.array().cast(table.schema[name].dataType)
     return joined.withColumn(name, F.coalesce(name, empty))
 
 
-def _prior_in_place(df: DataFrame, n, keys, ts, values, name) -> DataFrame:
-    by_value = [F.col(v).asc_nulls_first() for v in values]
-    in_key = Window.partitionBy(*keys).orderBy(ts, *by_value)
-    at_once = Window.partitionBy(*keys, ts).orderBy(*by_value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    # Readings without a time sort first; they are nobody's past.
-    reading = F.when(F.col(ts).isNotNull(), F.struct(F.col(ts), *[F.col(v) for v in values]))
-    told = df.withColumns({
-        "_lags": F.array(*[F.lag(reading, k).over(in_key) for k in range(n, 0, -1)]),
-        "_before": F.lag(ts).over(in_key),
-    })
-    opening = F.col("_before").isNull() | (F.col("_before") < F.col(ts))
-    shared = F.first(F.when(opening, F.col("_lags")), ignorenulls=True).over(at_once)
-    whole = F.col(ts).isNotNull()
-    for k in keys:
-        whole = whole & F.col(k).isNotNull()
-    out = told.withColumn("_shared", shared)
-    none = F.slice("_lags", 1, 0)
-    return out.withColumn(
-        name, F.array_compact(F.when(whole, F.col("_shared")).otherwise(none))
-    ).drop("_lags", "_before", "_shared")
-
-
 def join_history(df: DataFrame, table: DataFrame, keys, ts) -> DataFrame:
     """Rows with what is known about their key and time. Summarize the table before, not after."""
     added = [c for c in table.columns if c not in (*keys, ts)]

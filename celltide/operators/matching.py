@@ -68,6 +68,7 @@ def _km(lat1, lon1, lat2, lon2) -> np.ndarray:
     lat1, lon1, lat2, lon2 = (np.radians(v) for v in (lat1, lon1, lat2, lon2))
     chord = np.sin((lat2 - lat1) / 2) ** 2
     chord += np.cos(lat1) * np.cos(lat2) * np.sin((lon2 - lon1) / 2) ** 2
+    chord = np.minimum(chord, 1.0)
     return np.round(2 * EARTH_RADIUS_KM * np.arctan2(np.sqrt(chord), np.sqrt(1 - chord)), KM)
 
 

@@ -244,8 +244,11 @@ UNITS = {R.PRB: "%", R.RSRP: " dBm", R.SINR: " dB", R.THROUGHPUT: " Mbps", R.UES
 MAX_PARAMETERS = 4
 
 
-def remediation(detected: DataFrame, azimuth=5, downtilt=3) -> DataFrame:
-    """One request per anomalous row, about its first violated rule, as JSON in `value`.
+def remediation(reconciled: DataFrame, azimuth=5, downtilt=3) -> DataFrame:
+    """One request per well-formed answer, about the row's first violated rule, as JSON in `value`.
+
+    Nothing is done about anomalies whose answer is missing or has no form: rows whose `outcome` (see
+    `reconcile`) is another.
 
     A request has at most four parameters: antenna changes, where they apply, take the place of
     the anomaly's type and value.
@@ -260,7 +263,7 @@ def remediation(detected: DataFrame, azimuth=5, downtilt=3) -> DataFrame:
         return out.otherwise(default)
 
     unit = lookup(UNITS, "")
-    rows = detected.where("is_anomaly").select(
+    rows = reconciled.where("outcome = 'FORMATTED'").select(
         "cell_id", "band", "event_time", kind.alias("anomaly_type"),
         F.round(first["value"], 2).alias("_value"),
         F.round(first["threshold"], 4).alias("_limit"),

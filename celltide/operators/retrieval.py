@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from celltide.functions.text import strip
 from celltide.schemas import REQUEST_SCHEMA
+from celltide.session import materialize
 
 SEPARATORS = ["\n\n", "\n", " ", ""]  # fixed values: where a text may be cut, best first
-QUERY_BLOCK = 256  # queries scored in one matrix product
-MAX_QUERY_FLOATS = 4_000_000  # query vectors one task holds at a time: 32 MB of doubles
+VECTOR_BLOCK, QUERY_BLOCK = 4096, 256  # rows of one matrix product
 
 
 def chunk_documents(
@@ -117,40 +117,69 @@ def label_centroids(df: DataFrame, vector="embedding", label="label") -> DataFra
     ).alias("query_vector"))
 
 
-def _nearest_block(vectors: DataFrame, ids, matrix, k, vector, key, metric, digits) -> DataFrame:
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
-    cosine = metric == "cosine"
+def _blocks(rows):
+    """Usable vectors of a task in blocks of `rows`: ids, width, components. Vectors that are null,
+    empty or hold a component that is null or not finite are left out one by one."""
 
-    def unit(rows):
-        return rows / np.sqrt((rows * rows).sum(1, keepdims=True)) if cosine else rows
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, queries = shared.value
-        queries = unit(queries)
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = batch.column(1)
+            size = np.diff(vectors.offsets.to_numpy()) if len(vectors) else np.zeros(0, int)
+            size = np.where(vectors.is_valid().to_numpy(zero_copy_only=False), size, 0)
+            flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(float)
+            end = np.cumsum(size)
+            odd = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])
+            good = (size > 0) & (odd[end] == odd[end - size])
+            good &= batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for width in np.unique(size[good]):
+                at = np.flatnonzero(good & (size == width))
+                for lo in range(0, len(at), rows):
+                    part = at[lo:lo + rows]
+                    places = (end - size)[part][:, None] + np.arange(width)
+                    yield pa.record_batch({
+                        "width": pa.array([width], pa.int32()),
+                        "ids": pa.array([ids[part].astype(np.int64).tobytes()], pa.binary()),
+                        "data": pa.array([flat[places].tobytes()], pa.binary()),
+                    })
+
+    return fn
+
+
+def _scorer(k, cosine, digits):
+    """The k best of a block of vectors for each query of a block of queries."""
+
+    def read(width, ids, data):
+        ids = np.frombuffer(ids, np.int64)
+        rows = np.frombuffer(data, np.float64).reshape(len(ids), width)
+        if cosine:  # a zero vector has no direction
+            norm = np.sqrt((rows * rows).sum(1))
+            ids, rows = ids[norm > 0], rows[norm > 0] / norm[norm > 0, None]
+        return ids, rows
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.asarray(batch.column(1).is_valid())
-            rows = batch.column(1).drop_null()
-            if len(rows) == 0:
-                continue
-            keys = np.asarray(batch.column(0))[keep]
-            points = unit(np.asarray(rows.flatten(), dtype="float64").reshape(len(rows), -1))
-            for start in range(0, len(queries), QUERY_BLOCK):
-                asked = queries[start:start + QUERY_BLOCK]
+            for i in range(batch.num_rows):
+                width, ids, data, q_width, q_ids, q_data = (c[i].as_py() for c in batch.columns[:6])
+                if width != q_width:
+                    continue
+                keys, points = read(width, ids, data)
+                names, asked = read(width, q_ids, q_data)
+                if not len(keys) or not len(names):
+                    continue
                 for j, near in enumerate(_candidates(points, asked, k, cosine, digits)):
                     q, p = asked[j], points[near]
-                    # Row by row, so equal vectors get equal distances whatever their batch.
+                    # Row by row, so equal vectors get equal distances whatever their block.
                     far = 1.0 - (p * q).sum(1) if cosine else np.sqrt(((p - q) ** 2).sum(1))
                     far = np.round(far, digits)
                     best = np.lexsort((keys[near], far))[:k]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([names[start + j]] * len(best), pa.int64()),
+                        [pa.array([names[j]] * len(best), pa.int64()),
                          pa.array(keys[near][best], pa.int64()), pa.array(far[best], pa.float64())],
-                        names=["query_id", key, "distance"],
+                        names=["query_id", "key", "distance"],
                     )
 
-    return vectors.select(F.col(key).cast("bigint").alias(key), vector).mapInArrow(
-        score, f"query_id BIGINT, {key} BIGINT, distance DOUBLE"
-    )
+    return fn
 
 
 def _candidates(points, asked, k, cosine, digits):
@@ -176,38 +205,31 @@ def _candidates(points, asked, k, cosine, digits):
 def nearest(
     vectors: DataFrame, queries: DataFrame, k=4, vector="embedding", key="vec_id",
     query_id="query_id", query_vector="query_vector", metric="l2", digits=6,
-    max_floats=MAX_QUERY_FLOATS,
+    vector_block=VECTOR_BLOCK, query_block=QUERY_BLOCK,
 ) -> DataFrame:
     """The k nearest vectors of each query: exact, ties by key.
 
-    Each task scores Arrow batches against the query vectors and keeps k per batch, so what is
-    shuffled is k rows per query and batch. Query sets above `max_floats` are taken in hash blocks
-    that each stay below it; the vectors are then scanned once per block.
+    Vectors and queries are packed into blocks where they are; the blocks of vectors are dealt out
+    evenly and each share gets the blocks of queries. Neither is collected, and a pair of blocks
+    yields k rows per query.
+    Only vectors as long as the query are compared with it. Vectors with null or non-finite
+    components, and for cosine zero vectors, are left out on either side.
     """
-    named = queries.select(
-        F.col(query_id).cast("bigint").alias("query_id"), F.col(query_vector).alias("q")
-    )
-    total, width = named.agg(F.count("*"), F.max(F.size("q"))).first()
-    if not total:
-        return vectors.select(
-            F.lit(None).cast("bigint").alias("query_id"),
-            F.col(key).cast("bigint").alias(key),
-            F.lit(0.0).alias("distance"), F.lit(1).alias("rank"),
-        ).where("false")
-    blocks = max(1, -(-2 * total * width // max_floats)) if total * width > max_floats else 1
-    scored = None
-    for b in range(blocks):
-        part = named if blocks == 1 else named.where(
-            F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b
-        )
-        rows = part.orderBy("query_id").collect()
-        if rows:
-            ids = [r["query_id"] for r in rows]
-            matrix = np.array([r["q"] for r in rows], dtype="float64")
-            found = _nearest_block(vectors, ids, matrix, k, vector, key, metric, digits)
-            scored = found if scored is None else scored.unionByName(found)
-    best = Window.partitionBy("query_id").orderBy("distance", key)
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    kind = "width INT, ids BINARY, data BINARY"
+    points = vectors.select(F.col(key).cast("bigint").alias("i"), F.col(vector).cast("array<double>"))
+    asked = queries.select(
+        F.col(query_id).cast("bigint").alias("i"), F.col(query_vector).cast("array<double>"))
+    shares = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = points.mapInArrow(_blocks(vector_block), kind).withColumn(
+        "share", F.pmod(F.xxhash64("ids"), F.lit(shares)))
+    asked = asked.mapInArrow(_blocks(query_block), kind).toDF("q_width", "q_ids", "q_data").withColumn(
+        "share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint"))))
+    pairs = points.join(asked, "share").drop("share")
+    scored = pairs.mapInArrow(
+        _scorer(k, metric == "cosine", digits), "query_id BIGINT, key BIGINT, distance DOUBLE")
+    best = Window.partitionBy("query_id").orderBy("distance", "key")
+    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
+        "query_id", F.col("key").alias(key), "distance", "rank")
 
 
 def route(df: DataFrame, label="label", query="query") -> DataFrame:
@@ -249,16 +271,14 @@ def parse_request(df: DataFrame, text="text", limit=5) -> DataFrame:
     }).drop("_found", "_parsed")
 
 
-def full_outer(left: DataFrame, right: DataFrame, keys, split=True) -> DataFrame:
+def full_outer(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     """Full outer join. Rows without a full key match nothing, and stay.
 
-    Spark cannot split a hot key of a full outer join. With `split` it is written as the matches
-    plus the rows of either side without a partner: an inner join can be split on both sides, an
-    anti join on its left, where the rows are. `split=False` is for sides without a hot key.
+    Spark cannot split a hot key of a full outer join. So it is written as the matches plus the
+    rows of either side without a partner: an inner join can be split on both sides, an anti join
+    on its left, where the rows are.
     """
     keys = list(keys)
-    if not split:
-        return left.join(right, keys, "full")
     matched = left.join(right, keys)
     left_alone = left.join(right.select(*keys).distinct(), keys, "left_anti")
     right_alone = right.join(left.select(*keys).distinct(), keys, "left_anti")
@@ -267,10 +287,13 @@ def full_outer(left: DataFrame, right: DataFrame, keys, split=True) -> DataFrame
     )
 
 
-def join_kpi_du(scores: DataFrame, traffic: DataFrame, du: DataFrame, split=True) -> DataFrame:
-    """Anomaly score, predicted traffic and host resources on (cell, time); missing stays NULL."""
+def join_kpi_du(scores: DataFrame, traffic: DataFrame, du: DataFrame) -> DataFrame:
+    """Anomaly score, predicted traffic and host resources on (cell, time); missing stays NULL.
+
+    The first join is stored, for the second one reads it three times.
+    """
     keys = ["cell_id", "event_time"]
-    return full_outer(full_outer(scores, traffic, keys, split), du, keys, split)
+    return full_outer(materialize(full_outer(scores, traffic, keys), "outer"), du, keys)
 
 
 # Status lines, with the column behind each, its digits and its unit.

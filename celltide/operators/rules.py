@@ -11,7 +11,6 @@ from celltide.functions.numbers import drop_nan, fixed2, shown
 from celltide.operators.history import (
     history_table,
     join_history,
-    prior_n,
     with_prior_means,
 )
 
@@ -50,10 +49,10 @@ HISTORY_KEYS = ("cell_id", "band")
 KPIS = ("ues_usage", "rsrp", "sinr", "throughput_mbps", "rsrq")
 
 
-def with_history(df: DataFrame, t: Thresholds = Thresholds(), split=True) -> DataFrame:
+def with_history(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Rows with the count and means of their prior readings.
 
-    With split keys the readings are summarized once per key and time, before they meet the rows.
+    The readings are summarized once per key and time, before they meet the rows.
     Optional boolean columns `bad_ues` and `bad_throughput` mark readings whose text was no number;
     a history with one of them has no mean.
     """
@@ -65,11 +64,8 @@ def with_history(df: DataFrame, t: Thresholds = Thresholds(), split=True) -> Dat
             {f"prior_{m}": _any_bad(m) for m in marks}
         ).drop("prior")
 
-    if split:
-        table = summary(history_table(df, t.history, values=values))
-        out = join_history(df, table, HISTORY_KEYS, "event_time")
-    else:
-        out = summary(prior_n(df, t.history, values=values, split=False))
+    table = summary(history_table(df, t.history, values=values))
+    out = join_history(df, table, HISTORY_KEYS, "event_time")
     return out.withColumns({
         "prior_count": F.coalesce("prior_count", F.lit(0)),
         **{
@@ -183,9 +179,9 @@ def apply_rules(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     )
 
 
-def detect(df: DataFrame, thresholds: Thresholds = Thresholds(), split=True) -> DataFrame:
-    """History, rules, flags and texts of every row. `split=False` is for keys of a checked size."""
-    return apply_rules(with_history(df, thresholds, split), thresholds)
+def detect(df: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
+    """History, rules, flags and texts of every row."""
+    return apply_rules(with_history(df, thresholds), thresholds)
 
 
 def anomalies_long(detected: DataFrame, keep=("cell_id", "band", "event_time")) -> DataFrame:

@@ -32,7 +32,7 @@ def minmax(df: DataFrame, columns=tuple(KPI_SCALED)) -> DataFrame:
 
 def sequences(
     df: DataFrame, steps=10, keys=("cell_id", "band"), ts="event_time",
-    values=("throughput_mbps", "ues_usage"), own_row=True, split=True,
+    values=("throughput_mbps", "ues_usage"), own_row=True,
 ) -> DataFrame:
     """Rows with `sequence`: `steps` readings of the key, oldest first.
 
@@ -42,7 +42,7 @@ def sequences(
     """
     older = steps - 1 if own_row else steps
     reading = F.struct(F.col(ts), *[F.col(v) for v in values])
-    past = prior_n(df, older, keys, ts, values, name="_past", split=split).where(
+    past = prior_n(df, older, keys, ts, values, name="_past").where(
         F.size("_past") == older
     )
     whole = F.concat("_past", F.array(reading)) if own_row else F.col("_past")

@@ -13,7 +13,6 @@ from celltide.functions.numbers import frequency_mid
 from celltide.operators import clean, eventstore, features, forecast, matching, reports
 from celltide.operators import logparse, retrieval, rollups, rules, sequences, topology
 from celltide.operators.history import prior_n, with_prior_means
-from celltide.operators.skew import has_hot_key, needs_split
 from celltide.plans import views as v
 from celltide.schemas import KPI_COLUMNS
 from celltide.session import materialize, scratch_path
@@ -35,9 +34,6 @@ from celltide.streaming.ingest import ingest
 
 QUERIES = {}
 
-FOREST_TREES = 10  # trees of the registered forests; the library default is 100
-
-
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -272,7 +268,7 @@ def _parts(spark, sf):
 @query
 def rf_regressor(spark, sf):
     train, test = _parts(spark, sf)
-    model = forecast.train_regressor(train, FOREST_TREES, depth=5)
+    model = forecast.train_regressor(train)
     return forecast.predict_usage(test, model).select(
         "cell_id", "event_ts", "frequency", "ues_usage", r("predicted_usage")
     )
@@ -281,7 +277,7 @@ def rf_regressor(spark, sf):
 @query
 def rf_classifier(spark, sf):
     train, test = _parts(spark, sf)
-    model = forecast.train_classifier(train, FOREST_TREES, depth=5)
+    model = forecast.train_classifier(train)
     return forecast.predict_class(test, model).select(
         "cell_id", "event_ts", "frequency", "traffic_class", "predicted_class", r("confidence")
     )
@@ -290,14 +286,14 @@ def rf_classifier(spark, sf):
 @query
 def rf_metrics(spark, sf):
     train, test = _parts(spark, sf)
-    models = forecast.train_traffic(train, FOREST_TREES, depth=5)
+    models = forecast.train_traffic(train)
     return forecast.evaluate(*models, test)
 
 
 @query
 def forecast_rows(spark, sf):
     train, _ = _parts(spark, sf)
-    models = forecast.train_traffic(train, FOREST_TREES, depth=5)
+    models = forecast.train_traffic(train)
     asked = v.kpi(spark, sf).select("cell_id", "event_time").distinct()
     return forecast.forecast(asked, *models)
 
@@ -317,7 +313,7 @@ def _flags(df):
 @query
 def prior3(spark, sf):
     rows = v.valid_kpi(spark, sf)
-    told = with_prior_means(prior_n(rows, split=needs_split(rows)))
+    told = with_prior_means(prior_n(rows))
     return told.select(
         "event_id", "prior_count", r("avg_prior_throughput", 6), r("avg_prior_ues", 6),
         F.array_join(F.transform("prior", lambda p: p["throughput_mbps"].cast("string")), ",").alias(
@@ -332,7 +328,14 @@ def _single(spark, sf):
 
 @query
 def rule_prb(spark, sf):
-    return _single(spark, sf).select("event_id", r("prb_percent"), "is_prb", "is_prb_error")
+    rows = rules.without_history(v.with_capacities(v.valid_kpi(spark, sf)))
+    return rules.flag(rows).select("event_id", r("prb_percent"), "is_prb", "is_prb_error")
+
+
+@query
+def rules_from_text(spark, sf):
+    good, _ = parse_kpi_lines(split_payload(v.defective_lines(spark, sf)))
+    return _flags(rules.detect(clean.filter_valid_bands(type_kpi(good))))
 
 
 @query
@@ -391,15 +394,13 @@ def minmax(spark, sf):
 
 @query
 def prior3_split(spark, sf):
-    """The same history by slices, whatever the size of the keys."""
     return with_prior_means(prior_n(v.valid_kpi(spark, sf))).select(
         "event_id", "prior_count", r("avg_prior_throughput", 6), r("avg_prior_ues", 6)
     )
 
 
 def _sequences(spark, sf):
-    rows = v.valid_kpi(spark, sf)
-    return sequences.sequences(rows, split=needs_split(rows))
+    return sequences.sequences(v.valid_kpi(spark, sf))
 
 
 @query
@@ -472,7 +473,7 @@ def batch_report(spark, sf):
 
 @query
 def remediation_json(spark, sf):
-    return reports.remediation(v.detected(spark, sf)).select(
+    return reports.remediation(reports.reconcile(v.answered(spark, sf))).select(
         "cell_id", "band", epoch("event_time"), "anomaly_type", "anomaly_value",
         "threshold_value", "action", "azimuth_change", "downtilt_change", "value",
     )
@@ -850,9 +851,7 @@ def _outer(spark, sf):
     traffic = rows.where("event_id % 5 <> 0").select(
         "cell_id", "event_time", F.col("ues_usage").alias("predicted_traffic")
     )
-    sides = (scores, traffic, v.du(spark, sf).drop("event_id"))
-    split = any(has_hot_key(side, ["cell_id", "event_time"]) for side in sides)
-    return retrieval.join_kpi_du(*sides, split=split)
+    return retrieval.join_kpi_du(scores, traffic, v.du(spark, sf).drop("event_id"))
 
 
 @query

@@ -9,8 +9,7 @@ from celltide.functions.lookups import band_frequency, literal_map
 from celltide.operators.clean import filter_valid_bands
 from celltide.operators.reports import END, NONE_FOUND, START, reconcile, render_report
 from celltide.operators.rules import anomalies_long, detect
-from celltide.operators.skew import needs_split
-from celltide.schemas import DU_COLUMNS
+from celltide.schemas import DU_COLUMNS, KPI_COLUMNS
 from celltide.session import pin
 from celltide.sinks.files import text_columns
 from celltide.sinks.messages import csv_line, encode_kpi_lines
@@ -64,7 +63,7 @@ def kpi_of(events: DataFrame) -> DataFrame:
         unless_outage(-10, ((e * 11) % 4000) / 100.0 - 10.0).alias("sinr"),
         unless_outage(0, F.col("value")).alias("throughput_mbps"),
         (F.lit(10.0) + ((e * 17) % 9000) / 100.0).alias("latency_ms"),
-        (F.lit(50) + u % 51).cast("bigint").alias("max_capacity"),
+        (F.lit(50) + u % 51).cast("double").alias("max_capacity"),
     )
 
 
@@ -140,9 +139,27 @@ def valid_kpi(spark, sf_dir) -> DataFrame:
 
 
 def detected(spark, sf_dir) -> DataFrame:
-    """Scored rows; keys are split only where the largest one calls for it."""
-    rows = valid_kpi(spark, sf_dir)
-    return detect(rows, split=needs_split(rows))
+    return detect(valid_kpi(spark, sf_dir))
+
+
+def with_capacities(rows: DataFrame) -> DataFrame:
+    """Capacities of every kind: none, zero, negative, a fraction, and as they are."""
+    e = F.col("event_id") % 10
+    return rows.withColumn(
+        "max_capacity", F.when(e == 0, 0.0).when(e == 1, -5.0).when(e == 2, 0.4).when(
+            e != 3, F.col("max_capacity")))
+
+
+def defective_lines(spark, sf_dir) -> DataFrame:
+    """Lines with capacities of every kind, and with text where a number belongs."""
+    e = F.col("event_id")
+    text = text_columns(with_capacities(kpi(spark, sf_dir)))
+    rows = with_capacities(kpi(spark, sf_dir)).select("event_id", *text).withColumns({
+        "ues_usage": F.when(e % 19 == 0, "bad").when(e % 23 == 0, "nan").otherwise(F.col("ues_usage")),
+        "throughput_mbps": F.when(e % 29 == 0, "abc").otherwise(F.col("throughput_mbps")),
+        "max_capacity": F.coalesce("max_capacity", F.lit("none")),
+    })
+    return rows.select("event_id", csv_line([F.col(c).alias(c) for c in KPI_COLUMNS]).alias("value"))
 
 
 def anomalous(spark, sf_dir) -> DataFrame:
@@ -206,7 +223,7 @@ def kpi_text(spark, sf_dir) -> DataFrame:
         "band": F.when(e % 30 != 4, F.col("band")),
         "area_type": F.when(e % 35 != 5, F.col("area_type")),
         "max_capacity": F.when(e % 45 == 6, "none").otherwise(
-            F.concat(F.col("max_capacity"), F.lit(".5"))
+            (F.col("max_capacity").cast("double") + 0.5).cast("string")
         ),
     })
 

@@ -21,9 +21,12 @@ KPI_SCHEMA = """
     cell_id BIGINT, event_time TIMESTAMP, band STRING, frequency STRING, ues_usage DOUBLE,
     area_type STRING, lat DOUBLE, lon DOUBLE, city STRING, adjacent_cells ARRAY<BIGINT>,
     rsrp DOUBLE, rsrq DOUBLE, sinr DOUBLE, throughput_mbps DOUBLE, latency_ms DOUBLE,
-    max_capacity BIGINT
+    max_capacity DOUBLE
 """
 
+# Readings whose text was no number; a history with one of them has no mean.
+MARKS = ["bad_ues", "bad_throughput"]
+
 DU_COLUMNS = [
     "cell_id", "event_time", "cpu_pct", "memory_mb", "disk_gb", "rtt_ms", "temperature_c",
     "power_w",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltide.functions.numbers import to_number
+from celltide.functions.numbers import is_bad_number, to_number
 from celltide.functions.text import decode_utf8, int_list, lines_of, strip
 from celltide.functions.times import parse_time
 from celltide.schemas import DU_COLUMNS, KPI_COLUMNS, KPI_SOURCE_NAMES, string_schema
@@ -83,7 +83,8 @@ def field_count(line: Column) -> Column:
 def type_kpi(df: DataFrame) -> DataFrame:
     """Text fields to their types. Bad values become NULL here; what to do with them is up to
 
-    the caller: the scoring path skips the rules concerned, the training path cleans (clean_kpi).
+    the caller: the scoring path skips the rules concerned, the training path cleans (clean_kpi),
+    which also rounds the capacity. `bad_ues` and `bad_throughput` mark text that was no number.
     """
     number = {c: to_number(F.col(c)) for c in KPI_COLUMNS}
     typed = {
@@ -91,7 +92,8 @@ def type_kpi(df: DataFrame) -> DataFrame:
         "cell_id": number["cell_id"].cast("bigint"),
         "event_time": parse_time(F.col("event_time")),
         "adjacent_cells": int_list(F.col("adjacent_cells")),
-        "max_capacity": F.bround(number["max_capacity"]).cast("bigint"),
+        "bad_ues": is_bad_number(F.col("ues_usage")),
+        "bad_throughput": is_bad_number(F.col("throughput_mbps")),
     }
     for c in ("band", "frequency", "area_type", "city"):
         typed[c] = F.col(c)

@@ -14,18 +14,23 @@ from pyspark.sql import types as T
 
 from celltide.operators.history import recent_points
 from celltide.operators.rules import Thresholds, apply_rules, with_history
-from celltide.operators.skew import needs_split
+from celltide.schemas import MARKS
 from celltide.streaming.ingest import trigger, write_batch
 
 KEYS = ["cell_id", "band"]
 VALUES = ["ues_usage", "throughput_mbps"]
 
 
+def _values(df: DataFrame) -> list[str]:
+    """What the rules look at in earlier readings; typed tables without marks have good numbers only."""
+    return VALUES + [m for m in MARKS if m in df.columns]
+
+
 def score_batch(batch: DataFrame, past: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """The batch with flags and anomalies, its history reaching back into `past`."""
-    older = past.select(*KEYS, "event_time", *VALUES).withColumn("_new", F.lit(False))
+    older = past.select(*KEYS, "event_time", *_values(past)).withColumn("_new", F.lit(False))
     readings = batch.withColumn("_new", F.lit(True)).unionByName(older, allowMissingColumns=True)
-    told = with_history(readings, t, split=needs_split(readings, KEYS))
+    told = with_history(readings, t)
     return apply_rules(told.where("_new").drop("_new"), t)
 
 
@@ -65,9 +70,10 @@ def tail(points: DataFrame, n=3) -> DataFrame:
 
     Both rankings also run before the shuffle, so a hot key ships few rows per partition.
     """
-    rows = recent_points(points, n, KEYS, "event_time", VALUES).drop("_slice")
+    values = _values(points)
+    rows = recent_points(points, n, KEYS, "event_time", values).drop("_slice")
     newest = Window.partitionBy(*KEYS).orderBy(
-        F.desc("event_time"), *[F.col(v).desc_nulls_last() for v in VALUES]
+        F.desc("event_time"), *[F.col(v).desc_nulls_last() for v in values]
     )
     return rows.withColumn("nth", F.row_number().over(newest)).where(
         F.col("nth") <= 2 * n
@@ -87,7 +93,7 @@ def detect_with_tail(
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
-        points = batch.select(*KEYS, "event_time", *VALUES)
+        points = batch.select(*KEYS, "event_time", *_values(batch))
         before = points.where("false")
         if batch_id > 0:
             before = spark.read.schema(points.schema).parquet(f"{state}/batch_id={batch_id - 1}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from celltide.schemas import KPI_COLUMNS
+from celltide.schemas import KPI_COLUMNS, MARKS
 from celltide.sources.telemetry import parse_kpi_lines, split_payload, type_kpi
 
 # Refresh periods in seconds.
@@ -38,7 +38,7 @@ def ingest(
     def store(batch: DataFrame, batch_id: int) -> None:
         messages = batch.select(value).persist()
         good, bad = parse_kpi_lines(split_payload(messages, value))
-        typed = type_kpi(good).select(*KPI_COLUMNS)
+        typed = type_kpi(good).select(*KPI_COLUMNS, *MARKS)
         dated = typed.withColumn("event_date", F.to_date("event_time"))
         dated.write.mode("overwrite").partitionBy("event_date").parquet(
             f"{archive}/batch_id={batch_id}"

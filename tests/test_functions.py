@@ -59,12 +59,16 @@ def test_duration_text(spark, seconds, expected):
 
 def test_time_parts(spark):
     df = spark.createDataFrame([
-        (dt.datetime(2024, 1, 6, 18, 59, 59),), (dt.datetime(2024, 1, 8, 19, 0, 0),),
+        (dt.datetime(2024, 1, 6, 17, 59, 59),), (dt.datetime(2024, 1, 8, 18, 0, 0),),
+        (dt.datetime(2024, 1, 8, 6, 0, 0),), (dt.datetime(2024, 1, 8, 5, 59, 59),),
     ], "t timestamp")
     got = [tuple(r) for r in df.select(
         times.daypart(F.col("t")), times.daytype(F.col("t")), times.day_name(F.col("t"))
     ).collect()]
-    assert got == [("day", "weekends", "Saturday"), ("night", "weekdays", "Monday")]
+    assert got == [
+        ("day", "weekends", "Saturday"), ("night", "weekdays", "Monday"),
+        ("day", "weekdays", "Monday"), ("night", "weekdays", "Monday"),
+    ]
 
 
 def test_utc_texts(spark):

@@ -16,4 +16,5 @@ def test_task_functions_need_no_installation(tmp_path):
         "for i in range(3):\n"
         "    assert callable(pickle.load(open(f'{i}.pkl', 'rb')))\n"
     )
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120)
+    # Isolated: neither the caller's PYTHONPATH nor the current folder may help.
+    subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, check=True, timeout=120)

@@ -89,10 +89,20 @@ def test_verify_by_row(spark, claim, change, verdict):
 
 def test_remediation_has_at_most_four_parameters(spark):
     for change in (dict(rsrp=-115.0), dict(sinr=-1.0), dict(cap=0)):
-        request = json.loads(reports.remediation(detected(spark, **change)).first().value)
+        request = json.loads(reports.remediation(well_formed(detected(spark, **change))).first().value)
         assert request["cell_id"] == "1" and len(request) <= reports.MAX_PARAMETERS
     assert request["anomaly_type"] == R.PRB_ERROR
-    assert reports.remediation(detected(spark)).count() == 0
+    assert reports.remediation(well_formed(detected(spark))).count() == 0
+
+
+def well_formed(df):
+    return reports.reconcile(reports.render_report(df).withColumnRenamed("report_text", "raw_response"))
+
+
+def test_remediation_needs_a_well_formed_answer(spark):
+    for answer in (None, "The cell looks degraded.", f"{reports.START}\n1. Cell ID 1\n{reports.END}"):
+        odd = detected(spark, rsrp=-115.0).withColumn("raw_response", F.lit(answer).cast("string"))
+        assert reports.remediation(reports.reconcile(odd)).count() == 0
 
 
 def parse(spark, text, **options):

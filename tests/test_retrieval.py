@@ -52,17 +52,24 @@ def test_separator_chunks(spark):
     assert [r.chunk_text for r in got] == split_text(text, 50, 10)
 
 
-@pytest.mark.parametrize("metric,max_floats", [("l2", 10**6), ("l2", 20), ("cosine", 10**6)])
-def test_nearest(spark, metric, max_floats):
+def odd_vectors(metric):
+    """Vectors that take no part; one of them used to hide all others of its batch."""
+    rows = [(990, None), (991, []), (992, [float("nan")] + [0.1] * 7), (993, [float("inf")] * 8),
+            (994, [None] * 8), (995, [0.1] * 7), (996, [0.1] * 9), (None, [0.1] * 8)]
+    return rows + [(997, [0.0] * 8)] * (metric == "cosine")
+
+
+@pytest.mark.parametrize("metric,block", [("l2", 256), ("l2", 2), ("cosine", 256)])
+def test_nearest(spark, metric, block):
     rng = np.random.default_rng(5)
     points = rng.normal(size=(300, 8)).astype("float32")
     points[10] = points[20]
     asked = points[[20, 40, 60, 80, 100]].astype("float64") + 0.01
     vectors = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)]
-                                    + [(999, None)], "vec_id long, embedding array<float>").repartition(7)
+                                    + odd_vectors(metric), "vec_id long, embedding array<float>").repartition(7)
     queries = spark.createDataFrame([(i, [float(x) for x in q]) for i, q in enumerate(asked)],
                                     "query_id long, query_vector array<double>")
-    got = retrieval.nearest(vectors, queries, 4, metric=metric, max_floats=max_floats)
+    got = retrieval.nearest(vectors, queries, 4, metric=metric, vector_block=20 * block, query_block=block)
     want = []
     for i, q in enumerate(asked):
         p = points.astype("float64")
@@ -103,9 +110,8 @@ def test_full_outer_and_status(spark):
     b = spark.createDataFrame([(1, t, 10.0), (1, t, 11.0), (2, t, 9.0)],
                               "cell_id long, event_time timestamp, predicted_traffic double")
     keys = ["cell_id", "event_time"]
-    for split in (True, False):
-        assert rows(retrieval.full_outer(a, b, keys, split)) == rows(a.join(b, keys, "full").select(
-            *keys, "anomaly_score", "predicted_traffic"))
+    assert rows(retrieval.full_outer(a, b, keys)) == rows(a.join(b, keys, "full").select(
+        *keys, "anomaly_score", "predicted_traffic"))
     du = spark.createDataFrame([(3, t, 1.0, 2, 3.0, 4.0, 5.0, 6.0)],
                                "cell_id long, event_time timestamp, cpu_pct double, memory_mb long, disk_gb double, "
                                "rtt_ms double, temperature_c double, power_w double")

@@ -8,7 +8,6 @@ from tests.conftest import SMALL, plan, rows
 from celltide.operators import clean, features, sequences
 from celltide.operators import rules as R
 from celltide.operators.history import prior_n
-from celltide.operators.skew import has_hot_key, needs_split
 from celltide.plans import views
 
 SCHEMA = (
@@ -72,9 +71,8 @@ def test_history_with_equal_times(spark):
 def test_bad_text_in_history_skips_its_rule(spark):
     data = [(*reading(i, 50.0, 200.0), i == 1) for i in range(3)] + [(*reading(3, 5.0, 5.0), False)]
     df = spark.createDataFrame(data, SCHEMA + ", bad_throughput boolean")
-    for split in (True, False):
-        row = R.detect(df, split=split).orderBy(F.desc("event_time")).first()
-        assert [a.anomaly_type for a in row.anomalies] == [R.UES]
+    row = R.detect(df).orderBy(F.desc("event_time")).first()
+    assert [a.anomaly_type for a in row.anomalies] == [R.UES]
 
 
 def test_texts(spark):
@@ -115,9 +113,8 @@ def brute_prior(data, n):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("split", [True, False])
 @pytest.mark.parametrize("seed,n,spread", [(1, 3, 400_000), (2, 3, 40), (3, 9, 500_000), (4, 1, 8)])
-def test_prior_n_against_brute_force(spark, seed, n, spread, split):
+def test_prior_n_against_brute_force(spark, seed, n, spread):
     rng = random.Random(seed)
     data = []
     for _ in range(400):
@@ -126,37 +123,29 @@ def test_prior_n_against_brute_force(spark, seed, n, spread, split):
         data.append((cell, t, rng.choice([None, float(rng.randint(0, 9))]), float(rng.randint(0, 3))))
     data += data[:30]
     df = spark.createDataFrame(data, "cell_id long, event_time timestamp, a double, b double")
-    got = prior_n(df, n, ("cell_id",), "event_time", ("a", "b"), split=split)
+    got = prior_n(df, n, ("cell_id",), "event_time", ("a", "b"))
     told = sorted(((r.cell_id, r.event_time, r.a, r.b, [(p.a, p.b) for p in r.prior])
                    for r in got.collect()), key=repr)
     assert told == brute_prior(data, n)
 
 
-@pytest.mark.parametrize("split", [True, False])
-def test_rows_without_key_or_time_stay(spark, split):
+def test_rows_without_key_or_time_stay(spark):
     df = spark.createDataFrame([(None, T0, 1.0), (None, T0 + dt.timedelta(1), 1.0), (1, None, 2.0), (1, T0, 3.0)],
                                "cell_id long, event_time timestamp, a double")
-    got = prior_n(df, 3, ("cell_id",), "event_time", ("a",), split=split)
+    got = prior_n(df, 3, ("cell_id",), "event_time", ("a",))
     assert sorted(len(r.prior) for r in got.collect()) == [0, 0, 0, 0]
 
 
-def test_small_keys_need_one_shuffle(spark):
-    rows_in = views.valid_kpi(spark, SMALL)
-    assert not needs_split(rows_in) and needs_split(rows_in, limit=10)
-    text = plan(R.with_history(rows_in, split=False))
-    assert text.count("Exchange hashpartitioning") == 1 and text.count("Sort [") == 1
-    assert rows(R.with_history(rows_in, split=False), "event_id", "prior_count") == rows(
-        R.with_history(rows_in), "event_id", "prior_count")
+def test_history_of_a_hot_key(spark):
+    """One key holds half the rows."""
+    hot = spark.range(4000).selectExpr(
+        "if(id % 2 = 0, -1, id) AS cell_id", "timestamp_seconds(1704067200 + id * 600) AS event_time",
+        "cast(id AS double) AS a")
+    got = prior_n(hot, 3, ("cell_id",), "event_time", ("a",))
+    told = {r.a: [p.a for p in r.prior] for r in got.where("cell_id = -1").collect()}
+    assert told[1000.0] == [994.0, 996.0, 998.0] and told[0.0] == [] and len(told) == 2000
 
 
-def test_hot_keys_are_seen(spark):
-    even = spark.range(20_000)
-    hot = even.selectExpr("if(id % 3 = 0, 7, id) AS id")
-    assert not has_hot_key(even, ["id"], limit=100)
-    assert has_hot_key(hot, ["id"], limit=100) and not has_hot_key(hot, ["id"])
-    assert has_hot_key(even.selectExpr("if(id % 3 = 0, null, id) AS id"), ["id"], limit=100)
-    assert not has_hot_key(even.where("false"), ["id"])
-
 
 def test_history_plan(spark):
     text = plan(R.with_history(views.valid_kpi(spark, SMALL)))
