@@ -141,5 +141,7 @@ def split(df: DataFrame, test=0.2, keys=tuple(GROUP_KEYS), seed=42) -> tuple[Dat
 
 
 def with_part(df: DataFrame, test=0.2, keys=tuple(GROUP_KEYS), seed=42) -> DataFrame:
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(10_000))
+    """`part`: 'test' or 'train', by the first 32 bits of md5 of seed and keys, which any engine has."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 10_000
     return df.withColumn("part", F.when(bucket < int(test * 10_000), "test").otherwise("train"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
@@ -84,16 +83,30 @@ def predict_class(df: DataFrame, classifier: PipelineModel) -> DataFrame:
 
 
 def evaluate(regressor: PipelineModel, classifier: PipelineModel, df: DataFrame) -> DataFrame:
-    """Held-out figures: one row per metric."""
+    """Held-out figures: one row per metric, from one aggregate and one table of label pairs."""
     usage = predict_usage(df, regressor)
-    classes = classifier.transform(_numeric(df))
-    rows = []
-    for m in ("mae", "rmse", "r2"):
-        e = RegressionEvaluator(labelCol="ues_usage", predictionCol="predicted_usage", metricName=m)
-        rows.append(("regressor", m, float(e.evaluate(usage))))
-    for m in ("accuracy", "f1", "weightedPrecision", "weightedRecall"):
-        e = MulticlassClassificationEvaluator(labelCol="traffic_class", metricName=m)
-        rows.append(("classifier", m, float(e.evaluate(classes))))
+    miss = F.col("predicted_usage") - F.col("ues_usage")
+    u = usage.agg(
+        F.avg(F.abs(miss)).alias("mae"), F.avg(miss * miss).alias("mse"), F.var_pop("ues_usage").alias("var"),
+    ).first()
+    pairs = predict_class(df, classifier).groupBy("traffic_class", "predicted_class").agg(
+        F.count("*").alias("n")).collect()  # at most the number of classes squared
+    n = {(r[0], r[1]): r["n"] for r in pairs}
+    total = sum(n.values())
+    mse, var = u["mse"] or 0.0, u["var"] or 0.0
+    rows = [("regressor", "mae", u["mae"] or 0.0), ("regressor", "rmse", mse ** 0.5),
+            ("regressor", "r2", 1 - mse / var if var else 0.0)]
+    labels = sorted({a for a, _ in n})
+    parts = {"accuracy": 0.0, "f1": 0.0, "weightedPrecision": 0.0, "weightedRecall": 0.0}
+    for c in labels:
+        hit = n.get((c, c), 0)
+        own, said = sum(k for (a, _), k in n.items() if a == c), sum(k for (_, b), k in n.items() if b == c)
+        precision, recall = hit / said if said else 0.0, hit / own
+        parts["accuracy"] += hit / total
+        parts["weightedPrecision"] += precision * own / total
+        parts["weightedRecall"] += recall * own / total
+        parts["f1"] += own / total * (2 * precision * recall / (precision + recall) if hit else 0.0)
+    rows += [("classifier", k, v) for k, v in parts.items()]
     return df.sparkSession.createDataFrame(rows, "model STRING, metric STRING, value DOUBLE")
 
 

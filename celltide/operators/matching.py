@@ -27,9 +27,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from celltide.functions.geo import EARTH_RADIUS_KM, haversine
-from celltide.functions.lookups import VALID_BANDS
 from celltide.session import materialize
 
+MOST_BANDS = 30  # sets of bands are kept in 32-bit numbers
 MAX_GROUP = 2_000  # cells of a city that one task may match: two million pairs
 MAX_CUBE = 256  # open cells a cube of the first ring may hold
 PLACE_CHUNK = 20_000  # lowest ids per band set that one task serves at a time
@@ -49,6 +49,16 @@ def _mask(bands: Column, names) -> Column:
     return reduce(lambda x, y: x + y, bits).cast("int")
 
 
+def _names(cells: DataFrame, bands) -> list[str]:
+    """The bands that count: those given, or all that any cell has. A set of them is one number."""
+    if bands is None:
+        named = cells.select(F.explode("bands").alias("band")).where("band IS NOT NULL")
+        bands = [r["band"] for r in named.distinct().orderBy("band").limit(MOST_BANDS + 1).collect()]
+    if len(bands) > MOST_BANDS:
+        raise ValueError(f"more than {MOST_BANDS} bands; name those that count")
+    return list(bands)
+
+
 def _prepare(cells: DataFrame, wanted: str, names) -> DataFrame:
     return cells.where("city IS NOT NULL AND cell_id IS NOT NULL").select(
         "city",
@@ -102,14 +112,15 @@ def _match_city(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def match_neighbours(
-    cells: DataFrame, wanted="wanted", bands=tuple(VALID_BANDS), max_group=MAX_GROUP,
+    cells: DataFrame, wanted="wanted", bands=None, max_group=MAX_GROUP,
     max_cube=MAX_CUBE, chunk=PLACE_CHUNK,
 ) -> DataFrame:
     """The granted links: (city, a, b, distance_km, shared) with a < b.
 
     Only the largest city's size comes to the driver, to see whether the second way is needed.
     """
-    ready = _prepare(cells, wanted, list(bands))
+    bands = _names(cells, bands)
+    ready = _prepare(cells, wanted, bands)
     sizes = ready.groupBy("city").agg(F.count("*").alias("n"), F.max("open").alias("open"))
     large = sizes.where(F.col("n") > max_group).select("city")
     most, degree = sizes.agg(F.max("n"), F.max("open")).first()
@@ -123,7 +134,7 @@ def match_neighbours(
 
 
 def nearest_links(
-    cells: DataFrame, k=3, bands=tuple(VALID_BANDS), max_group=MAX_GROUP, max_cube=MAX_CUBE
+    cells: DataFrame, k=3, bands=None, max_group=MAX_GROUP, max_cube=MAX_CUBE
 ) -> DataFrame:
     """The k best candidate links of every cell: (city, cell_id, other, distance_km, shared, rank).
 
@@ -131,7 +142,7 @@ def nearest_links(
     cities are searched place by place and ring by ring: of the cells of one place and band set
     only the lowest ids can be among anyone's best, and a cell leaves the search once it has k.
     """
-    ready = _prepare(cells.withColumn("_wanted", F.lit(k)), "_wanted", list(bands))
+    ready = _prepare(cells.withColumn("_wanted", F.lit(k)), "_wanted", _names(cells, bands))
     sizes = ready.groupBy("city").agg(F.count("*").alias("n"))
     large = sizes.where(F.col("n") > max_group).select("city")
     most = sizes.agg(F.max("n")).first()[0] or 0

@@ -86,24 +86,30 @@ def split_text(text: str, size: int, overlap: int, separators=tuple(SEPARATORS))
 
 
 def chunk_at_separators(
-    df: DataFrame, size=1500, overlap=100, text="text", key="doc_id"
+    df: DataFrame, size=1500, overlap=100, whole: Column | None = None, text="text", key="doc_id"
 ) -> DataFrame:
-    """Chunks cut at paragraph, line or word ends where possible. Arrow batches of whole texts."""
+    """Chunks cut at paragraph, line or word ends where possible. Arrow batches of whole texts.
+
+    Documents for which `whole` holds stay in one piece.
+    """
     kind = df.schema[key].dataType
+    keep = F.lit(False) if whole is None else F.coalesce(whole, F.lit(False))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, t in zip(batch.column(0), batch.column(1).to_pylist()):
-                parts = split_text(t or "", size, overlap)
-                if parts:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k.as_py()] * len(parts), batch.schema.field(0).type),
-                         pa.array(range(1, len(parts) + 1), pa.int32()),
-                         pa.array(parts, pa.string())],
-                        names=[key, "chunk_no", "chunk_text"],
-                    )
-
-    return df.select(key, text).mapInArrow(
+            rows, numbers, chunks = [], [], []
+            for i, (t, one) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:3]))):
+                parts = ([t] if t else []) if one else split_text(t or "", size, overlap)
+                rows += [i] * len(parts)
+                numbers += range(1, len(parts) + 1)
+                chunks += parts
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(numbers, pa.int32()),
+                 pa.array(chunks, pa.string())],
+                names=[key, "chunk_no", "chunk_text"],
+            )
+
+    return df.select(key, text, keep.alias("_whole")).mapInArrow(
         cut, f"{key} {kind.simpleString()}, chunk_no INT, chunk_text STRING"
     )
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from celltide.functions import times
@@ -18,7 +18,6 @@ from celltide.schemas import KPI_COLUMNS
 from celltide.session import materialize, scratch_path
 from celltide.sinks.files import text_columns, write_archive
 from celltide.sinks.messages import csv_line, encode_kpi_lines
-from celltide.sources.documents import mark_whole
 from celltide.sources.telemetry import (
     latest_batch,
     parse_du_lines,
@@ -265,29 +264,52 @@ def _parts(spark, sf):
     return features.split(materialize(features.traffic_features(v.kpi(spark, sf)), "traffic"))
 
 
+def _ends(train):
+    """The labels a forest has seen; a mean of them lies between the least and the greatest."""
+    return train.agg(F.min("ues_usage").alias("low"), F.max("ues_usage").alias("high"))
+
+
 @query
 def rf_regressor(spark, sf):
     train, test = _parts(spark, sf)
-    model = forecast.train_regressor(train)
-    return forecast.predict_usage(test, model).select(
-        "cell_id", "event_ts", "frequency", "ues_usage", r("predicted_usage")
+    scored = forecast.predict_usage(test, forecast.train_regressor(train))
+    low, high = (_ends(train).select(c).scalar() for c in ("low", "high"))
+    return scored.select(
+        "cell_id", "event_ts", "frequency", "ues_usage",
+        F.col("predicted_usage").between(low - 1e-9, high + 1e-9).alias("in_range"),
     )
 
 
 @query
 def rf_classifier(spark, sf):
     train, test = _parts(spark, sf)
-    model = forecast.train_classifier(train)
-    return forecast.predict_class(test, model).select(
-        "cell_id", "event_ts", "frequency", "traffic_class", "predicted_class", r("confidence")
+    scored = forecast.predict_class(test, forecast.train_classifier(train))
+    likely = F.when(F.col("confidence") > 0.5, 1).otherwise(0)
+    return scored.select(
+        "cell_id", "event_ts", "frequency", "traffic_class",
+        (F.col("confidence").between(0, 1) & (F.col("predicted_class") == likely)).alias("consistent"),
     )
 
 
 @query
 def rf_metrics(spark, sf):
+    """What must hold for the held-out figures. User counts of the view are noise, so no forest can
+    do better than their mean; classes follow from the counts, so it must beat the commoner class."""
     train, test = _parts(spark, sf)
-    models = forecast.train_traffic(train)
-    return forecast.evaluate(*models, test)
+    found = forecast.evaluate(*forecast.train_traffic(train), test)
+    label = test.agg(
+        F.stddev_pop("ues_usage").alias("spread"),
+        F.greatest(F.avg("traffic_class"), 1 - F.avg("traffic_class")).alias("common"),
+    )
+    spread, common = (label.select(c).scalar() for c in ("spread", "common"))
+    value = F.col("value")
+    holds = (
+        F.when(F.col("metric").isin("mae", "rmse"), value.between(0, 1.25 * spread))
+        .when(F.col("metric") == "r2", value.between(1 - 1.25**2, 1))
+        .when(F.col("metric") == "accuracy", value.between(common, 1))
+        .otherwise(value.between(0, 1))
+    )
+    return found.select("model", "metric", holds.alias("holds"))
 
 
 @query
@@ -295,7 +317,12 @@ def forecast_rows(spark, sf):
     train, _ = _parts(spark, sf)
     models = forecast.train_traffic(train)
     asked = v.kpi(spark, sf).select("cell_id", "event_time").distinct()
-    return forecast.forecast(asked, *models)
+    low, high = (_ends(train).select(c).scalar() for c in ("low", "high"))
+    usage = F.col("predicted_ues_usage")
+    return forecast.forecast(asked, *models).select(
+        "cell_id", epoch("event_time"), "threshold",
+        (usage.between(low - 0.01, high + 0.01) & F.col("confidence").between(0, 1)).alias("in_range"),
+    )
 
 
 # History and rules
@@ -789,7 +816,7 @@ def resolved_count(spark, sf):
 
 @query
 def doc_source(spark, sf):
-    return mark_whole(v.table(spark, sf, "documents")).select(
+    return v.marked_documents(spark, sf).select(
         "doc_id", "source", "whole", F.length("text").alias("chars")
     )
 
@@ -803,13 +830,27 @@ def _chunks(df):
 
 @query
 def chunk_documents(spark, sf):
-    documents = mark_whole(v.table(spark, sf, "documents"))
+    documents = v.marked_documents(spark, sf)
     return _chunks(retrieval.chunk_documents(documents, whole=F.col("whole")))
 
 
 @query
 def chunk_at_separators(spark, sf):
-    return _chunks(retrieval.chunk_at_separators(v.table(spark, sf, "documents")))
+    """Whether each document's chunks lie in it, keep to the size, and reach from its first to its last sign."""
+    documents = v.marked_documents(spark, sf)
+    chunks = retrieval.chunk_at_separators(documents, whole=F.col("whole"))
+    rows = chunks.join(documents.select("doc_id", "text", "whole"), "doc_id")
+    blank = F.lit(" \t\n\r")
+    body = F.when(F.col("whole"), F.col("text")).otherwise(F.btrim("text", blank))
+    last = F.max("chunk_no").over(Window.partitionBy("doc_id"))
+    rows = rows.withColumns({"_body": body, "_last": last})
+    return rows.groupBy("doc_id", "whole").agg(
+        F.min((F.length("chunk_text") <= 1500) | F.col("whole")).alias("fits"),
+        F.min(F.contains("text", "chunk_text")).alias("inside"),
+        F.max((F.col("chunk_no") == 1) & F.startswith("_body", "chunk_text")).alias("begins"),
+        F.max((F.col("chunk_no") == F.col("_last")) & F.endswith("_body", "chunk_text")).alias("ends"),
+        (F.max("chunk_no") == F.count("*")).alias("counted"),
+    )
 
 
 @query

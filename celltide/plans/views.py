@@ -13,6 +13,7 @@ from celltide.schemas import DU_COLUMNS, KPI_COLUMNS
 from celltide.session import pin
 from celltide.sinks.files import text_columns
 from celltide.sinks.messages import csv_line, encode_kpi_lines
+from celltide.sources.documents import mark_whole
 from celltide.sources.topology import normalize_towers
 
 BAND_OF_TYPE = {
@@ -283,6 +284,12 @@ def resolutions(spark, sf_dir) -> DataFrame:
     )
 
 
+def marked_documents(spark, sf_dir) -> DataFrame:
+    """Documents; the sources of every ninth one end as those of JSON files do."""
+    source = F.when(F.col("doc_id") % 9 == 0, F.concat("source", F.lit(".JSON"))).otherwise(F.col("source"))
+    return mark_whole(table(spark, sf_dir, "documents").withColumn("source", source))
+
+
 def as_of():
     return F.lit("2024-01-31 00:00:00").cast("timestamp")
 

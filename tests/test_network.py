@@ -238,3 +238,12 @@ def test_event_store(spark):
     everything, closed = eventstore.resolve_all(events, at)
     assert closed.first()[0] == 2
     assert rows(eventstore.with_active(events, everything.union(resolved)), "id", "active")[0] == (1, 0)
+
+
+def test_bands_outside_the_usual_list_count(spark):
+    cells = spark.createDataFrame(
+        [(i, "A", 33.0 + i / 100, -97.0, ["Band 12", f"own {i}"], 2) for i in range(4)],
+        "cell_id long, city string, lat double, lon double, bands array<string>, wanted int")
+    assert matching.match_neighbours(cells).count() == 4
+    assert matching.nearest_links(cells, 3).count() == 12
+    assert matching.match_neighbours(cells, bands=["Band 29"]).count() == 0
