@@ -4,12 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 from tests.conftest import SMALL, rows
 
+from celltide.operators import eventstore, reports
 from celltide.operators import rules as R
 from celltide.plans import views
 from celltide.schemas import KPI_COLUMNS
 from celltide.sinks.messages import encode_kpi_lines
 from celltide.streaming.detect import detect_stream, detect_with_tail, tail
 from celltide.streaming.ingest import PERIODS, ingest, trigger
+from celltide.streaming.job import host_metrics_job, run_batch, telemetry_job
 
 
 def batches(spark, folder, days):
@@ -66,3 +68,44 @@ def test_tail_keeps_what_equal_times_need(spark):
 def test_triggers():
     assert trigger() == {"availableNow": True}
     assert trigger(PERIODS["parser"]) == {"processingTime": "10 seconds"}
+
+
+def by_report(df):
+    """Answers of every kind, told by the reading."""
+    kind = F.pmod(F.col("cell_id"), F.lit(3))
+    said = F.when(kind == 0, F.col("report_text")).when(kind == 1, "The cell looks degraded.")
+    return df.withColumn("raw_response", F.when(F.col("is_anomaly"), said).otherwise("NO_ANOMALY"))
+
+
+def test_whole_job(spark, tmp_path):
+    """Three batches, the second one run twice: the same rows, events and requests as of the table."""
+    source, folder = str(tmp_path / "in"), str(tmp_path / "job")
+    kpi = views.kpi(spark, SMALL)
+    for days in ((1, 9), (10, 10), (11, 31)):
+        part = kpi.where(F.dayofmonth("event_time").between(*days)).select(*KPI_COLUMNS)
+        encode_kpi_lines(part).coalesce(1).write.mode("append").text(source)
+        telemetry_job(spark.readStream.option("maxFilesPerTrigger", 1).text(source), folder, by_report).awaitTermination()
+    again = encode_kpi_lines(kpi.where("dayofmonth(event_time) = 10").select(*KPI_COLUMNS))
+    run_batch(again, 1, folder, by_report)
+
+    table = reports.reconcile(by_report(reports.render_report(R.detect(views.valid_kpi(spark, SMALL)))))
+    results = spark.read.parquet(f"{folder}/results")
+    assert results.select("batch_id").distinct().count() == 3
+    columns = ["cell_id", "band", "event_time", "prior_count", "outcome", *R.FLAGS.values()]
+    assert rows(results, *columns) == rows(table, *columns)
+    assert rows(spark.read.parquet(f"{folder}/archive").select(*KPI_COLUMNS)) == rows(kpi.select(*KPI_COLUMNS))
+    events = spark.read.parquet(f"{folder}/events")
+    assert rows(events, "cell_id", "event") == rows(eventstore.to_events(table), "cell_id", "event")
+    assert events.select("event_key").distinct().count() == events.count()
+    requests = spark.read.parquet(f"{folder}/remediation")
+    assert rows(requests, "value") == rows(reports.remediation(table), "value") and requests.count() > 0
+
+
+def test_host_metrics(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "du")
+    views.du_payloads(spark, SMALL).select("value").union(
+        spark.createDataFrame([("a,b",)], "value string")).write.text(source)
+    host_metrics_job(spark.readStream.text(source), folder).awaitTermination()
+    du = views.du(spark, SMALL).drop("event_id")
+    assert rows(spark.read.parquet(f"{folder}/archive").select(*du.columns)) == rows(du)
+    assert spark.read.parquet(f"{folder}/quarantine").count() == 1
