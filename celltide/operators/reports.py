@@ -98,7 +98,10 @@ def with_responses(detected: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def reconcile(df: DataFrame) -> DataFrame:
-    """`outcome`, `reason` and `event_text` of rows with `raw_response`. The rules are the truth."""
+    """`outcome`, `reason` and `event_text` of rows with `raw_response`. The rules are the truth.
+
+    Fixed values: the wording of the two error texts.
+    """
     response, block = F.col("raw_response"), F.col("_block")
     formatted = F.coalesce(F.contains(block, F.lit(FOUND)), F.lit(False))
     listed = F.array_join(texts(), "; ")

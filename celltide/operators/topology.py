@@ -106,7 +106,10 @@ def degree_stats(cells: DataFrame) -> DataFrame:
 
 
 def cell_sentences(cells: DataFrame) -> DataFrame:
-    """A sentence per cell for retrieval, with the cell's facts as metadata."""
+    """A sentence per cell for retrieval, with the cell's facts as metadata.
+
+    Fixed values: the wording of the sentence.
+    """
     capacity = F.coalesce(F.col("max_capacity").cast("string"), F.lit("unknown"))
     text = F.concat(
         F.lit("Cell "), F.col("cell_id").cast("string"), F.lit(" in city "), F.col("city"),

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: list[str] = []  # intermediate tables of this process
+
+
 def build_session(app="celltide", master=None, partitions=None, **conf) -> SparkSession:
     """A session with the settings the library relies on; `conf` keys use `__` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -19,6 +22,8 @@ def build_session(app="celltide", master=None, partitions=None, **conf) -> Spark
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Local reads of a shuffle would put all rows of a table of one file into one task.
+        "spark.sql.adaptive.localShuffleReader.enabled": "false",
         # Call-site capture costs more than building the plans themselves.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
@@ -57,7 +62,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; never reused, so a rerun cannot see old files."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this process; for the end, when all results are read."""
+    jvm = spark._jvm
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name="stage") -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from celltide.session import build_session  # noqa: E402
+from celltide.session import build_session, drop_scratch  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 

@@ -107,3 +107,22 @@ def test_haversine(spark):
         math.radians(33.5)) * math.sin(math.radians(0.25)) ** 2
     assert got == pytest.approx(2 * 6371 * math.atan2(math.sqrt(a), math.sqrt(1 - a)))
     assert rows(spark.range(1).select(F.lit(1))) == [(1,)]
+
+
+def test_intermediate_tables_go_at_the_end(spark):
+    import os
+
+    from celltide import session
+
+    kept, session._made[:] = list(session._made), []
+    path = session.materialize(spark.range(3), "x").inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert os.path.isdir(path)
+    session.drop_scratch(spark)
+    assert not os.path.exists(path) and session._made == []
+    session._made[:] = kept
+
+
+def test_opposite_places(spark):
+    df = spark.range(20_000).selectExpr("id * 0.0089 - 89 AS lat", "id * 0.0179 - 179 AS lon")
+    km = geo.haversine(F.col("lat"), F.col("lon"), -F.col("lat"), F.col("lon") + 180)
+    assert df.select(km.alias("km")).where("isnan(km) OR abs(km - 20015.086796) > 1e-3").count() == 0
