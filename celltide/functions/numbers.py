@@ -28,7 +28,7 @@ def is_bad_number(c: Column) -> Column:
     """True for text that is present but no number at all ('nan' counts as missing, not bad)."""
     text = F.trim(c.cast("string"))
     return F.coalesce(
-        (text != "") & ~text.rlike("(?i)^[+-]?nan$") & to_number(c).isNull(), F.lit(False)
+        (text != "") & to_number(c).isNull() & ~text.rlike("(?i)^[+-]?nan$"), F.lit(False)
     )
 
 
