@@ -249,12 +249,23 @@ def route(df: DataFrame, label="label", query="query") -> DataFrame:
     )
 
 
-# The two error texts of a request that cannot be read.
+# The error texts of a request that cannot be read.
 NO_LIST = (
     "Error: Action Input must be a JSON list like "
     "[{'Cell ID': '1', 'Datetime_ts': '2026-02-26T12:00:00'}]."
 )
 BAD_LIST = "Error parsing tool input: Please provide a VALID JSON list."
+BAD_DATE = (
+    "Error: Invalid date provided (e.g., Feb 29 in a non-leap year). "
+    "Please use March 1st (2026-03-01) instead."
+)
+
+
+def _no_such_day(item: Column) -> Column:
+    """A date of a possible form whose month has no such day."""
+    day = F.regexp_extract(
+        item.getField("Datetime_ts"), r"^\s*(\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))(?:\D|$)", 1)
+    return (day != "") & day.try_cast("date").isNull()
 
 
 def parse_request(df: DataFrame, text="text", limit=5) -> DataFrame:
@@ -270,10 +281,13 @@ def parse_request(df: DataFrame, text="text", limit=5) -> DataFrame:
     valid = F.col("_parsed").isNotNull() & ~F.exists(
         "_parsed", lambda r: r.getField("Cell ID").isNull() & r.getField("Datetime_ts").isNull()
     )
+    asked = F.slice("_parsed", 1, limit)
+    wrong = valid & F.coalesce(F.exists(asked, _no_such_day), F.lit(False))
     return out.withColumns({
-        "requests": F.when(valid, F.slice("_parsed", 1, limit)),
+        "requests": F.when(valid & ~wrong, asked),
         "error": F.when(F.coalesce(F.col("_found"), F.lit("")) == "", NO_LIST)
-        .when(~F.coalesce(valid, F.lit(False)), BAD_LIST),
+        .when(~F.coalesce(valid, F.lit(False)), BAD_LIST)
+        .when(wrong, BAD_DATE),
     }).drop("_found", "_parsed")
 
 

@@ -301,8 +301,9 @@ def requests(spark, sf_dir) -> DataFrame:
         F.lit("{'Cell ID': '"), cell, F.lit("', 'Datetime_ts': '2024-01-31T12:00:00'}")
     )
     kind = F.col("turn") % 4
+    second = F.when(F.col("conv_id") % 5 == 0, F.replace(item, F.lit("01-31"), F.lit("02-30"))).otherwise(item)
     text = (
-        F.when(kind == 0, F.concat(F.lit("Call ["), item, F.lit(", "), item, F.lit("] now")))
+        F.when(kind == 0, F.concat(F.lit("Call ["), item, F.lit(", "), second, F.lit("] now")))
         .when(kind == 1, F.concat(
             F.lit("["), F.array_join(F.array_repeat(item, 7), ", "), F.lit("]")
         ))

@@ -93,13 +93,16 @@ def test_route(spark, label, query, way):
 def test_requests(spark):
     item = "{'Cell ID': '1', 'Datetime_ts': '2026-02-26T12:00:00'}"
     texts = [f"please [{item}] thanks", "[" + ", ".join([item] * 7) + "]", "no list", "[{'Cell ID': ", "[{x]",
-             f"[{item.replace(chr(39) + '1' + chr(39), '7')}]"]
+             f"[{item.replace(chr(39) + '1' + chr(39), '7')}]", f"[{item}, {item.replace('02-26', '02-29')}]",
+             "[" + ", ".join([item] * 5 + [item.replace("02-26", "02-29")]) + "]", f"[{item.replace('02-26', '13-29')}]"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     got = {r.id: r for r in retrieval.parse_request(df).collect()}
     assert [len(got[i].requests or []) for i in range(6)] == [1, 5, 0, 0, 0, 1]
     assert got[2].error == retrieval.NO_LIST and got[3].error == retrieval.NO_LIST
     assert got[4].error == retrieval.BAD_LIST and got[0].error is None
     assert got[5].requests[0]["Cell ID"] == "7"
+    assert got[6].error == retrieval.BAD_DATE and got[6].requests is None
+    assert got[7].error is None and len(got[7].requests) == 5 and got[8].error is None
     asked = forecast.requests_to_rows(retrieval.parse_request(df))
     assert rows(asked.distinct()) == [(1, dt.datetime(2026, 2, 26, 12)), (7, dt.datetime(2026, 2, 26, 12))]
 
