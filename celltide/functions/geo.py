@@ -16,5 +16,5 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
         F.radians(lat2)
     ) * F.pow(F.sin(dlon / 2), F.lit(2.0))
     # Rounding may carry it past 1 for opposite places.
-    chord = F.least(chord, F.lit(1.0))
+    chord = F.when(chord > 1, 1.0).otherwise(chord)  # a missing place stays missing
     return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(chord), F.sqrt(1 - chord))
