@@ -250,7 +250,9 @@ def _counted(rows: DataFrame) -> DataFrame:
 def _open(counted: DataFrame) -> DataFrame:
     """Distinct surroundings of a prefix, where it has several and some of them only once."""
     mixed = counted.groupBy("core").agg(F.min("ctx").alias("a"), F.max("ctx").alias("b"), F.min("n").alias("least"))
-    return counted.join(mixed.where("a <> b AND least = 1").select("core"), "core", "left_semi")
+    # Stored first, so that the join can split a prefix with very many surroundings.
+    mixed = materialize(mixed.where("a <> b AND least = 1").select("core"), "mixed")
+    return counted.join(mixed, "core", "left_semi")
 
 
 def _by_text(rows: DataFrame, name: str, *fields) -> DataFrame:
@@ -284,7 +286,7 @@ def repeated_spans(docs: DataFrame, id_column="doc_id", text="text", length=LENG
     core = matches[0]
     for more in matches[1:]:
         core = core.union(more)
-    core = core.distinct()
+    core = materialize(core.distinct(), "cores")  # so that the join can split a hot prefix
     bits = spark.sparkContext.broadcast(filter_bits(core, "core", FILTER))
     rows = passing(found.drop("head"), "core", bits, FILTER).join(core, "core", "left_semi")
     rows = materialize(rows, "candidates")
@@ -303,7 +305,7 @@ def repeated_spans(docs: DataFrame, id_column="doc_id", text="text", length=LENG
         counted = materialize(_counted(ranges.select(*KEYS, "at", "first", "last", "core", "ctx")), "counted")
         twice = ranges.join(counted.where("n > 1").select("core", "ctx"), ["core", "ctx"], "left_semi")
         spans.append(twice.select(*KEYS, "first", "last"))
-        still = _open(counted)
+        still = _open(counted) if step > 1 else None
 
     every = spans[0]
     for more in spans[1:]:
