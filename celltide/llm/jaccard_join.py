@@ -7,8 +7,8 @@ others ("heavy") are joined by scanning inverted lists of the rarest shingles of
 any link must share one of, and comparing whole sets. The boundary is where enumeration would cost
 more than the lists, by the sizes found in the data.
 
-Only links that can still join two components are tested. Each list is first compared with one
-member, twice; then members outside the list's main component are compared with all of another
+Only links that can still join two components are tested. Each list is first compared with two
+of its members; then members outside the list's main component are compared with all of another
 component. So a family of n near copies costs about n tests, and no link is lost.
 
 Defined cases: words are runs of bytes other than white space, A-Z in lower case; null and empty texts
@@ -25,15 +25,24 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from celltide.llm import textops
 from celltide.llm.components import components
-from celltide.llm.frames import as_text, filter_bits, load, materialize, packed, passing
+from celltide.llm.frames import (
+    _in_filter,
+    as_text,
+    filter_bits,
+    load,
+    materialize,
+    packed,
+    passing,
+)
 
 WORDS, PERCENT = 5, 80
-SKETCH = 19  # 2**19 counters tell common shingles from rare ones; they order the lists, no more
+SLOTS = 22  # 2**22 slots tell how common a shingle is (4 MB); they order the lists, no more
+WINDOW, OFTEN = 1 << 20, 3  # a task tells of shingles that this many of so many shingles in a row are
 FILTER = 24  # hash bits of the fixed-size filters (2 MB) that keep rows out of shuffles
 LIST_COST = 20  # what a row of an inverted list costs, in rows of enumerated subsets
 MOST_SUBSETS = 20_000  # no size is enumerated that takes more subsets
@@ -69,7 +78,7 @@ def boundary(sizes: dict[int, int], percent=PERCENT) -> int:
         if subsets(n, percent) > MOST_SUBSETS:
             break
         cost += sizes.get(n, 0) * (subsets(n, percent) - LIST_COST * prefix(n, percent))
-        if cost <= best:
+        if cost < best:
             best, at = cost, n
     return at
 
@@ -83,34 +92,52 @@ def _signed(x):
 
 
 def _describe(size):
-    """Set hash and size of each row, and how often shingles fall on each counter of the sketch."""
+    """Set hash and size of each row, and the shingles that are common within a task."""
 
     def fn(batches):
         hasher, spaces, fold = _tools()
-        counts = np.zeros(1 << SKETCH, np.int64)
+        held, size_held = np.empty(WINDOW, np.uint64), 0
+
+        def common():
+            seen = held[:size_held]
+            seen.sort()  # in place
+            again = seen[OFTEN - 1 :] == seen[: max(0, len(seen) - OFTEN + 1)]
+            again[1:] &= seen[1 : len(again)] != seen[: max(0, len(again) - 1)]
+            first = np.flatnonzero(again)
+            token = seen[first]
+            n = np.searchsorted(seen, token, "right") - first
+            none = pa.nulls(len(n), pa.int64())
+            return pa.record_batch({
+                "doc_id": _signed(token), "text_id": none, "set_id": none, "n": pa.array(n, pa.int64())})
+
         for rows, data, at in textops.texts(batches):
             row, h = textops.shingles(data, at, size, hasher, spaces, fold)
             ids, n = textops.set_hash(row, h, len(rows))
-            counts += np.bincount((h >> np.uint64(64 - SKETCH)).astype(np.int64), minlength=len(counts))
+            for lo in range(0, len(h), WINDOW):
+                part = h[lo : lo + WINDOW]
+                if size_held + len(part) > WINDOW:
+                    yield common()
+                    size_held = 0
+                held[size_held : size_held + len(part)] = part
+                size_held += len(part)
             yield pa.record_batch({
                 "doc_id": rows.column(0), "text_id": rows.column(1), "set_id": _signed(ids),
                 "n": pa.array(n, pa.int64()),
             })
-        full = np.flatnonzero(counts)
-        yield pa.record_batch({
-            "doc_id": pa.array(full), "text_id": pa.nulls(len(full), pa.int64()),
-            "set_id": pa.nulls(len(full), pa.int64()), "n": pa.array(counts[full]),
-        })
+        yield common()
 
     return fn
 
 
-def _subsets_of(size, most, percent):
-    """(subset, set, size) for each subset that a light set shares with any set it is linked to."""
+def _subsets_of(size, most, percent, wanted):
+    """(subset, set, size) for each subset that a light set shares with any set it is linked to.
+
+    Only of the texts that the filter passes.
+    """
 
     def fn(batches):
         hasher, spaces, fold = _tools()
-        for rows, data, at in textops.texts(batches):
+        for rows, data, at in textops.texts(_in_filter("text_id", None, FILTER, wanted)(batches)):
             row, h = textops.shingles(data, at, size, hasher, spaces, fold)
             ids, n = textops.set_hash(row, h, len(rows))
             ends = textops.runs(row, len(rows))
@@ -147,10 +174,11 @@ def _rarest(size, level, least, percent, wanted=None):
         bits = wanted.value if wanted is not None else None
         for rows, data, at in textops.texts(batches):
             row, h = textops.shingles(data, at, size, hasher, spaces, fold)
+            if not len(h):
+                continue
             ids, n = textops.set_hash(row, h, len(rows))
-            order = (common[(h >> np.uint64(64 - SKETCH)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (
-                h >> np.uint64(8)
-            )
+            order = common[(h >> np.uint64(64 - SLOTS)).astype(np.int64)].astype(np.uint64)
+            order = (order << np.uint64(56)) | (h >> np.uint64(8))
             s = np.lexsort((order, row))
             row, h = row[s], h[s]
             place = np.arange(len(h)) - textops.runs(row, len(rows))[row]
@@ -224,17 +252,20 @@ class JaccardJoin:
         return boundary({r["n"]: r["count"] for r in sizes}, self.percent)
 
     def _levels(self, counts):
-        """How common a shingle on each counter is, in steps of a quarter of a doubling."""
-        out = np.zeros(1 << SKETCH)
-        got = counts.groupBy("doc_id").agg(F.sum("n").alias("n")).toPandas()
-        out[got["doc_id"].to_numpy(np.int64)] = got["n"].to_numpy()
+        """How common the commonest shingle of each slot is, in steps of a quarter of a doubling."""
+        sums = counts.groupBy("doc_id").agg(F.sum("n").alias("n"))
+        slot = F.expr(f"shiftrightunsigned(doc_id, {64 - SLOTS})").alias("slot")
+        got = sums.groupBy(slot).agg(F.max("n").alias("n")).toPandas()  # 2**SLOTS rows at most
+        out = np.zeros(1 << SLOTS, np.float32)
+        out[got["slot"].to_numpy(np.int64)] = got["n"].to_numpy()
         return (4 * np.log2(1 + out)).astype(np.uint8)
 
     def _light_edges(self):
         few = self.distinct.where(F.col("n") <= self.light)
         bits = self.spark.sparkContext.broadcast(filter_bits(few, "text_id", FILTER))
-        rows = passing(self.docs.select("text_id", "text"), "text_id", bits, FILTER).mapInArrow(
-            _subsets_of(self.words, self.light, self.percent),
+        # Filtered in the same function: a second one in the stage would be a second Python worker.
+        rows = self.docs.select("text_id", "text").mapInArrow(
+            _subsets_of(self.words, self.light, self.percent, bits),
             "key BIGINT, set_id BIGINT, n BIGINT, m BIGINT",
         ).distinct()
         rows = materialize(rows, "subsets")
@@ -254,38 +285,46 @@ class JaccardJoin:
             .where("low <> high").select("token"), "shared")
         bits = self.spark.sparkContext.broadcast(filter_bits(shared, "token", FILTER))
         again = self.docs.mapInArrow(_rarest(self.words, self.level, least, self.percent, bits), schema)
-        return materialize(
-            again.groupBy("token", "set_id").agg(F.first("n").alias("n"), F.first("place").alias("place"))
-            .join(shared, "token"), "lists")
+        lists = again.groupBy("token", "set_id").agg(*[F.first(c).alias(c) for c in ("n", "place")])
+        return materialize(lists.join(shared, "token"), "lists")
 
     def _possible(self, a, b):
         """Sizes and places that a link can have; at least one of the two is heavy."""
         p = self.percent
         n, m, i, j = (F.col(c) for c in (f"{a}.n", f"{b}.n", f"{a}.place", f"{b}.place"))
-        most = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
+        # The first shingle that two sets share has all they share behind it, in both. It is enough
+        # that they meet there.
+        most = F.least(n - i, m - j)
         return (
             (F.greatest(n, m) > self.light) & (100 * F.least(n, m) >= p * F.greatest(n, m))
             & ((100 + p) * most >= p * (n + m)) & (F.col(f"{a}.set_id") != F.col(f"{b}.set_id"))
         )
 
-    def _labelled(self, lists, comps):
-        return (
-            lists.join(comps.withColumnRenamed("node", "set_id"), "set_id", "left")
-            .select("token", "set_id", "n", "place", F.coalesce("root", "set_id").alias("comp"))
-        )
-
     @staticmethod
-    def _split(rows):
-        """The rows of lists that more than one component has a part in."""
-        many = rows.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-        return many.where("c0 <> c1")
-
-    def _star_pairs(self, rows, turn):
-        """Each member of a list with the list's centre, which is another one at each turn."""
-        order = F.struct(F.xxhash64("set_id", F.lit(turn)).alias("o"), "set_id", "n", "place", "comp")
+    def _open(lists, roots):
+        """The lists that more than one component has a part in."""
+        rows = lists.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+            "token", "set_id", "n", "place", F.coalesce("root", "set_id").alias("comp"))
+        many = rows.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+        return materialize(rows.join(many.select("token"), "token", "left_semi"), "open")
+
+    def _star_pairs(self, rows):
+        """Each member of a list with the list's two centres: the text that edited copies were made
+        from, as far as it can be told, and any other.
+
+        An edited copy has shingles that no other set has. So the first centre is the set with the
+        largest share of its rarest shingles in lists.
+        """
+        known = rows.groupBy("set_id").agg(F.count("*").alias("k"), F.first("n").alias("n"))
+        length = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
+        known = known.select("set_id", F.least(F.col("k") / length, F.lit(1.0)).alias("share"))
+        rows = materialize(rows.join(known, "set_id"), "known")
+        what = ["set_id", "n", "place", "comp"]
         centres = rows.groupBy("token").agg(
-            F.min(order).alias("c"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
-        ).where("c0 <> c1").select("token", "c.set_id", "c.n", "c.place", "c.comp")
+            F.max(F.struct("share", F.xxhash64("set_id").alias("o"), *what)).alias("c"),
+            F.max(F.struct(F.xxhash64("set_id", F.lit(1)).alias("o"), *what)).alias("d"),
+        ).select("token", F.explode(F.array(*[F.struct(*[F.col(f"{c}.{w}") for w in what]) for c in "cd"])).alias("c"))
+        centres = materialize(centres.select("token", "c.*"), "centres")  # so that the join can split a list
         a, b = rows.alias("a"), centres.alias("b")
         return a.join(b, "token").where(self._possible("a", "b") & (F.col("a.comp") != F.col("b.comp")))
 
@@ -308,8 +347,9 @@ class JaccardJoin:
         ).distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
+        seen = Observation()
+        pairs = materialize(pairs.observe(seen, F.count("*").alias("n")), "pairs")
+        if not seen.get["n"]:
             return None
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
         ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
@@ -328,16 +368,13 @@ class JaccardJoin:
 
     def roots(self) -> DataFrame:
         """(node, root): the components of all links, on set ids."""
-        edges = materialize(self._light_edges().toDF("a", "b"), "light")
-        roots, rows = components(edges), self._lists()
-        for turn in range(3):
-            rows = self._labelled(rows.drop("comp"), roots)
-            rows = materialize(rows.join(self._split(rows), "token", "left_semi"), "open")
-            new = self._test(self._star_pairs(rows, turn) if turn < 2 else self._rest_pairs(rows))
-            if new is not None:
-                edges = edges.union(new)
-                roots = components(edges)
-        return roots
+        edges, lists = materialize(self._light_edges().toDF("a", "b"), "light"), self._lists()
+        stars = self._test(self._star_pairs(lists.withColumn("comp", F.col("set_id"))))
+        if stars is not None:
+            edges = edges.union(stars)
+        roots = components(edges)
+        rest = self._test(self._rest_pairs(self._open(lists, roots)))
+        return roots if rest is None else components(edges.union(rest))
 
     def result(self) -> DataFrame:
         """doc_id, text_id, n_shingles, component_id for each row of the input."""
