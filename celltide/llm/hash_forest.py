@@ -1,11 +1,12 @@
 """Approximate nearest neighbours by cosine in a forest of hash prefixes.
 
-Each of `TREES` trees gives every vector a long string of `BITS` signs of random projections. A tree is the
-sorted array of these strings, dealt out to tasks in blocks of `BLOCK` neighbours. A query descends to
-its place in each array, which is its longest prefix match, and then ascends in all trees at once: the
-prefix that must match is shortened until at least `CANDIDATES` places of the arrays share it (places of
-the query's block and of the blocks on both sides, so a prefix is never followed further than that).
-All of these are compared exactly, inside the task that holds the block, and only the best ones leave it.
+Each of `TREES` trees gives every vector a long string of `BITS` signs of random projections. Of each tree
+it is counted how many places each prefix of `TOP` signs has (a table of fixed size). A query descends to its
+own prefix of `TOP` signs in each tree, and then ascends in all trees at once: the prefix that must match is
+shortened until at least `places` of them share it, a share of the vectors, whatever their number. All
+places that share it are compared exactly: places are dealt by prefix into buckets of about `BLOCK`, a prefix
+of more places than that is spread over as many buckets as it needs, and a query is sent to every bucket that
+its prefix reaches. Only the best ones leave a bucket.
 
 Equal vectors are one class: the arrays hold it once, with the smallest vec_ids, as many as an answer can
 hold; queries with equal vectors are answered together. So a vector that a third of all rows have is
@@ -13,7 +14,7 @@ one place of an array.
 
 The index holds every row. Its recall against brute force is measured by `recall`; on vectors without
 structure, as in the test tables, neighbours are hardly nearer than others, and the number of candidates
-that 0.9 takes is a large part of the rows.
+that 0.9 takes is a large part of the rows. So the work grows with queries times rows.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part;
 only vectors of one length are compared; rows with equal vec_id are no candidates of each other; with
@@ -25,18 +26,24 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from celltide.llm.frames import load, materialize, shuffles
+from celltide.llm.frames import load, materialize
 
 TREES, BITS, BLOCK, CANDIDATES = 16, 48, 2048, 60_000
+SHARE = 0.8  # places per vector that a query's prefix has in all trees together, CANDIDATES at least
+TOP = 12  # signs of the longest prefix whose places are counted
 NEAREST = 5
 BUCKET = ["tree", "part", "block"]
 
 
+def places(n):
+    """How many places a query is compared with at least, in a table of n vectors."""
+    return max(CANDIDATES, int(np.ceil(SHARE * n)))
+
+
 def _valid(dtype):
     """Rows with usable vectors: vec_id, query, dim, vec (its components as bytes)."""
 
@@ -70,47 +77,90 @@ def units(vectors, dtype):
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _strings(dtype, trees, bits):
-    """A row for each vector and tree: tree, key, class, query."""
+def _keys(vectors, dims, dtype, trees, bits, planes):
+    """(rows, dim, their strings in all trees) for each length of vectors."""
+    for dim in np.unique(dims):
+        at = np.flatnonzero(dims == dim)
+        x = units(vectors.take(pa.array(at)).to_pylist(), dtype)
+        if dim not in planes:
+            planes[dim] = np.random.default_rng(int(dim)).standard_normal((dim, trees * bits))
+        signs = (x @ planes[dim] > 0).reshape(len(at), trees, bits)
+        yield at, int(dim), signs @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
+
+
+def _counts(dtype, trees, bits, top):
+    """tree, cell, n: how many places of a batch have each prefix of `top` signs."""
 
     def fn(batches):
         planes = {}
         for batch in batches:
-            dims = batch.column(1).to_numpy()
-            for dim in np.unique(dims):
-                at = np.flatnonzero(dims == dim)
-                take = pa.array(at)
-                x = units(batch.column(2).take(take).to_pylist(), dtype)
-                if dim not in planes:
-                    planes[dim] = np.random.default_rng(int(dim)).standard_normal((dim, trees * bits))
-                signs = (x @ planes[dim] > 0).reshape(len(at), trees, bits)
-                keys = signs @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
-                tree = np.tile(np.arange(trees, dtype=np.int64) + (int(dim) << 16), len(at))
-                again = pa.array(np.repeat(at, trees))
+            for _, dim, keys in _keys(batch.column(2), batch.column(1).to_numpy(), dtype, trees, bits, planes):
+                cell = (keys >> (bits - top)) + (np.arange(trees) << top)
+                cells, n = np.unique(cell, return_counts=True)
                 yield pa.record_batch({
-                    "tree": pa.array(tree), "key": pa.array(keys.ravel()),
-                    "c": batch.column(0).take(again), "query": batch.column(3).take(again),
-                })
+                    "tree": pa.array((cells >> top) + (dim << 16)), "cell": pa.array(cells & ((1 << top) - 1)),
+                    "n": pa.array(n)})
 
     return fn
 
 
-def _blocks(block):
-    """The task's part of the sorted arrays, in blocks."""
+class Shape:
+    """The trees of one length of vectors: places before each prefix, buckets of each prefix."""
+
+    def __init__(self, counts, block):
+        self.before = np.concatenate([np.zeros((len(counts), 1), np.int64), np.cumsum(counts, axis=1)], axis=1)
+        self.part = self.before[:, :-1] // block  # prefixes that begin in one block share its buckets
+        self.split = [np.maximum(1, -(-np.bincount(p, n).astype(np.int64) // block)) for p, n in zip(self.part, counts)]
+
+    def depths(self, cells, top, least):
+        """How long a prefix of each query (a row of prefixes, one of each tree) must match."""
+        out, tree = np.zeros(len(cells), np.int64), np.arange(len(self.before))
+        for d in range(1, top + 1):
+            low = cells >> (top - d) << (top - d)
+            n = (self.before[tree, low + (1 << (top - d))] - self.before[tree, low]).sum(axis=1)
+            out[n >= least] = d
+        return out
+
+
+def _dealt(dtype, trees, bits, top, shapes, least=None):
+    """The places of the trees by bucket, or, with `least`, the queries in all buckets they reach."""
 
     def fn(batches):
-        part, tree, seen = TaskContext.get().partitionId(), None, 0
+        planes, known = {}, shapes.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            trees = batch.column(0).to_numpy()
-            new = np.flatnonzero(np.diff(trees, prepend=trees[0] - 1))
-            nth = np.arange(len(trees)) - np.repeat(new, np.diff(np.append(new, len(trees))))
-            if trees[0] == tree:
-                nth[: new[1] if len(new) > 1 else len(nth)] += seen
-            tree, seen = trees[-1], int(nth[-1]) + 1
-            yield batch.append_column("part", pa.array([part] * len(nth), pa.int32())).append_column(
-                "block", pa.array(nth // block, pa.int64()))
+            for at, dim, keys in _keys(batch.column(2), batch.column(1).to_numpy(), dtype, trees, bits, planes):
+                shape, cells = known[dim], keys >> (bits - top)
+                rows, tree, part, block = [], [], [], []
+                if least is None:
+                    salt = np.frombuffer(b"".join(batch.column(0).take(pa.array(at)).to_pylist()), "<u8")[::2]
+                    for t in range(trees):
+                        p = shape.part[t][cells[:, t]]
+                        rows.append(np.arange(len(at)))
+                        tree.append(np.full(len(at), t))
+                        part.append(p)
+                        block.append((salt % shape.split[t][p].astype(np.uint64)).astype(np.int64))
+                    depth = np.zeros(len(at), np.int64)
+                else:
+                    depth = shape.depths(cells, top, least[dim])
+                    for i, d in enumerate(depth):
+                        for t in range(trees):
+                            low = cells[i, t] >> (top - d) << (top - d)
+                            p = np.unique(shape.part[t][low : low + (1 << (top - d))])
+                            k = shape.split[t][p]
+                            part.append(np.repeat(p, k))
+                            block.append(np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k))
+                            rows.append(np.full(k.sum(), i))
+                            tree.append(np.full(k.sum(), t))
+                rows, tree, part, block = (np.concatenate(x) for x in (rows, tree, part, block))
+                for lo in range(0, len(rows), 1 << 14):
+                    r, t = rows[lo : lo + (1 << 14)], tree[lo : lo + (1 << 14)]
+                    take = pa.array(at[r])
+                    yield pa.record_batch({
+                        "tree": pa.array(t + (dim << 16)), "part": pa.array(part[lo : lo + (1 << 14)]),
+                        "block": pa.array(block[lo : lo + (1 << 14)]), "key": pa.array(keys[r, t]),
+                        "c": batch.column(0).take(take), "vec": batch.column(2).take(take),
+                        "low": batch.column(3).take(take), "ask": pa.array(np.full(len(r), least is not None)),
+                        "depth": pa.array(depth[r].astype(np.int32))})
 
     return fn
 
@@ -122,22 +172,6 @@ def _depth(a, b, bits):
     return bits - np.where(x == 0, 0, exponent)
 
 
-def _counter(bits):
-    def fn(group: pd.DataFrame) -> pd.DataFrame:
-        asks = group["ask"].to_numpy()
-        keys, ask = group["key"].to_numpy()[~asks], group["key"].to_numpy()[asks]
-        out = []
-        for lo in range(0, len(ask), 256):
-            depth = _depth(ask[lo : lo + 256], keys, bits)
-            for i, d in enumerate(depth):
-                n = np.bincount(d, minlength=bits + 1)
-                full = np.flatnonzero(n)
-                out.append(pd.DataFrame({"c": [group["c"].to_numpy()[asks][lo + i]] * len(full), "depth": full, "n": n[full]}))
-        return pd.concat(out) if out else pd.DataFrame({"c": [], "depth": [], "n": []})
-
-    return fn
-
-
 def _searcher(dtype, bits, nearest):
     def fn(group: pd.DataFrame) -> pd.DataFrame:
         asks = group["ask"].to_numpy()
@@ -168,8 +202,9 @@ class HashForest:
     """The index of a table of vectors, and the search in it."""
 
     def __init__(self, table: DataFrame, queries, id_column="vec_id", vector="embedding", nearest=NEAREST,
-                 trees=TREES, bits=BITS, block=BLOCK, candidates=CANDIDATES):
-        self.nearest, self.bits, self.candidates = nearest, bits, candidates
+                 trees=TREES, bits=BITS, block=BLOCK, candidates=None):
+        self.nearest, self.trees, self.bits, self.block = nearest, trees, bits, block
+        self.candidates, self.top = candidates, min(TOP, bits)
         element = table.schema[vector].dataType.elementType
         self.dtype = "<f4" if isinstance(element, T.FloatType) else "<f8"
         wide = F.col(vector) if self.dtype == "<f4" else F.col(vector).cast("array<double>")
@@ -189,43 +224,31 @@ class HashForest:
         asked = self.queries.select("c").distinct().withColumn("query", F.lit(True))
         self.classes = materialize(classes.join(asked, "c", "left").withColumn(
             "query", F.coalesce("query", F.lit(False))), "classes")
-        spark = table.sparkSession
-        strings = self.classes.select("c", "dim", "vec", "query").mapInArrow(
-            _strings(self.dtype, trees, bits), "tree BIGINT, key BIGINT, c BINARY, query BOOLEAN")
-        ordered = strings.repartitionByRange(shuffles(spark), "tree", "key", "c").sortWithinPartitions("tree", "key", "c")
-        self.forest = materialize(ordered.mapInArrow(
-            _blocks(block), "tree BIGINT, key BIGINT, c BINARY, query BOOLEAN, part INT, block BIGINT"), "forest")
-
-    def _asked(self):
-        """The queries in their own block of each tree and in the blocks beside it."""
-        blocks = self.forest.groupBy(*BUCKET).agg(F.count("*").alias("n"))
-        line = Window.partitionBy("tree").orderBy("part", "block")
-        here = F.struct("part", "block")
-        near = blocks.select(*BUCKET, F.array_compact(F.array(
-            F.lag(here).over(line), here, F.lead(here).over(line))).alias("near"))
-        near = materialize(near, "near")
-        return self.forest.where("query").join(near, BUCKET).select(
-            "tree", "key", "c", F.explode("near").alias("to")).select("tree", "to.part", "to.block", "key", "c")
-
-    def _depths(self, asked):
-        """How long a prefix of each query must match."""
-        light = self.forest.select(*BUCKET, "key", "c", F.lit(False).alias("ask")).union(
-            asked.select(*BUCKET, "key", "c", F.lit(True)))
-        counts = light.groupBy(*BUCKET).applyInPandas(_counter(self.bits), "c BINARY, depth INT, n BIGINT")
-        down = Window.partitionBy("c").orderBy(F.desc("depth"))
-        sums = counts.groupBy("c", "depth").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(down))
-        enough = F.when(F.col("upto") >= self.candidates, F.col("depth"))
-        return sums.groupBy("c").agg(F.coalesce(F.max(enough), F.lit(0)).alias("depth"))
+        self.spark: SparkSession = table.sparkSession
+
+    def _shapes(self):
+        """The shape of the trees of each length of vectors, and how many places its queries must see."""
+        counts = self.classes.select("c", "dim", "vec").mapInArrow(
+            _counts(self.dtype, self.trees, self.bits, self.top), "tree BIGINT, cell BIGINT, n BIGINT")
+        # At most 2**TOP rows for each tree.
+        got = counts.groupBy("tree", "cell").agg(F.sum("n").alias("n")).toPandas()
+        shapes, least = {}, {}
+        for dim, rows in got.groupby(got["tree"] // (1 << 16)):
+            table = np.zeros((self.trees, 1 << self.top), np.int64)
+            table[rows["tree"] % (1 << 16), rows["cell"]] = rows["n"]
+            shapes[dim] = Shape(table, self.block)
+            least[dim] = places(int(table[0].sum())) if self.candidates is None else self.candidates
+        return shapes, least
 
     def search(self) -> DataFrame:
         """query_id, rank, vec_id, score: the nearest ones found for each query."""
-        asked = materialize(self._asked(), "asked")
-        depths = materialize(self._depths(asked), "depths")
-        body = self.classes.select("c", "vec", F.col("ids")[0].alias("low"))
-        rows = self.forest.select(*BUCKET, "key", "c").join(body, "c").select(
-            *BUCKET, "key", "c", "vec", "low", F.lit(False).alias("ask"), F.lit(0).alias("depth"))
-        asks = asked.join(depths, "c").join(body, "c").select(
-            *BUCKET, "key", "c", "vec", "low", F.lit(True), "depth")
+        shapes, least = self._shapes()
+        shapes = self.spark.sparkContext.broadcast(shapes)
+        schema = "tree BIGINT, part BIGINT, block BIGINT, key BIGINT, c BINARY, vec BINARY, low BIGINT, ask BOOLEAN, depth INT"
+        body = self.classes.select("c", "dim", "vec", F.col("ids")[0].alias("low"), "query")
+        rows, asks = (
+            x.mapInArrow(_dealt(self.dtype, self.trees, self.bits, self.top, shapes, n), schema)
+            for x, n in ((body, None), (body.where("query"), least)))
         found = rows.union(asks).groupBy(*BUCKET).applyInPandas(
             _searcher(self.dtype, self.bits, self.nearest), "q BINARY, c BINARY, score DOUBLE")
         found = materialize(found.groupBy("q", "c").agg(F.max("score").alias("score")), "found")

@@ -91,3 +91,39 @@ def test_recall_on_the_small_table(spark):
     exact = [(q, i) for q, best in _exact(rows, 50).items() for _, i in best]
     truth = spark.createDataFrame(exact, "query_id BIGINT, vec_id BIGINT")
     assert h.recall(h.op3_hash_forest(spark, sf), truth) >= 0.9
+
+
+def _by_query(found):
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    return {q: [i for _, i in sorted(v)] for q, v in got.items()}
+
+
+def test_a_prefix_is_followed_over_all_its_blocks(spark):
+    """A query that asks for all places sees all of them, however many blocks they fill."""
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.standard_normal(24).astype(np.float32)], 1) for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = h.HashForest(df, F.col("vec_id") % 50 == 0, trees=2, block=16, candidates=2 * 900).search()
+    assert _by_query(found) == {q: [i for _, i in best] for q, best in _exact(rows, 50).items()}
+
+
+def test_family_with_equal_strings(spark):
+    """Near copies with the same strings in every tree fill many blocks; each finds its own nearest ones."""
+    rng = np.random.default_rng(8)
+    one = rng.standard_normal(8)
+    rows = [(i, [float(x) for x in one + 1e-4 * rng.standard_normal(8)], 1) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>, label INT")
+    found = _by_query(h.HashForest(df, F.col("vec_id") % 50 == 0, trees=4, bits=16, block=16, candidates=100).search())
+    x = np.array([v for _, v, _ in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for q, best in found.items():
+        far = ((x - x[q]) ** 2).sum(axis=1)  # cosines this near to 1 are all alike in single precision
+        far[q] = 9
+        assert len({*best} & {*np.argsort(far)[:5].tolist()}) >= 4
+    assert len(found) == 12
+
+
+def test_places_grow_with_the_table():
+    assert h.places(500) == 60_000 and h.places(10**6) == 800_000 and h.places(10**8) == 80_000_000
