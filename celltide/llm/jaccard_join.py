@@ -377,21 +377,21 @@ class JaccardJoin:
         return roots if rest is None else components(edges.union(rest))
 
     def result(self) -> DataFrame:
-        """doc_id, text_id, n_shingles, component_id for each row of the input."""
+        """doc_id, text_id, root, n_shingles, component_id for each row of the input; root tells components apart."""
         sets = self.sets.join(
             self.roots().withColumnRenamed("node", "set_id"), "set_id", "left"
         ).withColumn("root", F.coalesce("root", "set_id"))
         least = sets.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
         sets = materialize(sets, "rooted")
         return sets.join(least, "root", "left").select(
-            "doc_id", "text_id", F.col("n").alias("n_shingles"),
+            "doc_id", "text_id", "root", F.col("n").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         )
 
 
 def jaccard_components(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_shingles, component_id: the least doc_id that links lead to, for each document."""
-    return JaccardJoin(docs, **options).result().drop("text_id")
+    return JaccardJoin(docs, **options).result().drop("text_id", "root")
 
 
 def keep_one(docs: DataFrame, id_column="doc_id", text="text", **options) -> DataFrame:
@@ -401,11 +401,11 @@ def keep_one(docs: DataFrame, id_column="doc_id", text="text", **options) -> Dat
     all others. Documents without words are linked with nothing and all stay.
     """
     found = materialize(JaccardJoin(docs, id_column, text, **options).result(), "components")
-    found = found.where("n_shingles > 0").withColumn("g", F.coalesce("component_id", F.lit(-1)))
+    found = found.where("n_shingles > 0")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_id")
-    first = materialize(found.groupBy("g").agg(
+    first = materialize(found.groupBy("root").agg(
         F.count("*").alias("k"), F.min(order).alias("first")), "first")
-    crowd = found.join(first.where("k > 1"), "g", "left_semi").select("text_id")
+    crowd = found.join(first.where("k > 1"), "root", "left_semi").select("text_id")
     bits = docs.sparkSession.sparkContext.broadcast(filter_bits(crowd, "text_id", FILTER))
     body = as_text(docs, text)
     rows = packed(

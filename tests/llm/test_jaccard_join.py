@@ -58,6 +58,15 @@ def test_one_of_each_group_stays(spark):
     assert j.keep_one(empty(spark)).collect() == []
 
 
+def test_different_texts_stay_whatever_their_ids(spark):
+    """Texts without doc_id, or of one doc_id, that are linked with nothing are no copies of each other."""
+    a, b, c, d, e = (prose(k, 50) for k in range(30, 35))
+    rows = [(None, a), (None, b), (None, b + " tail"), (7, c), (7, d), (8, d + " tail"), (-1, e)]
+    kept = j.keep_one(table(spark, [(*r, "en", "a", 0, (1,), "x") for r in rows]))
+    got = {(r.doc_id, r.text.removesuffix(" tail")) for r in kept.collect()}
+    assert kept.count() == 5 and got == {(None, a), (None, b), (7, c), (7, d), (-1, e)}
+
+
 def test_least_overlaps():
     for n in range(1, 60):
         for m in range(1, 60):
