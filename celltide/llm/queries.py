@@ -11,6 +11,7 @@ from celltide.llm.licenses import op6_license_scan
 from celltide.llm.line_dedup import op10_line_dedup
 from celltide.llm.mixing import op8_mix_sources
 from celltide.llm.packing import op7_best_fit_packing
+from celltide.llm.personal import op11_personal_data
 from celltide.llm.quality import op5_quality_classifier
 from celltide.llm.suffix_dedup import op1_suffix_dedup
 
@@ -25,6 +26,7 @@ QUERIES = {q.__name__: q for q in (
     op8_mix_sources,
     op9_html_text,
     op10_line_dedup,
+    op11_personal_data,
 )}
 
 ORACLES = {
