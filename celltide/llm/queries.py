@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from celltide.llm import line_dedup, mixing
+from celltide.llm import divergence, lexical, line_dedup, mixing
+from celltide.llm.divergence import op12_source_divergence
 from celltide.llm.fingerprints import op2_document_fingerprints
 from celltide.llm.hash_forest import op3_hash_forest
 from celltide.llm.html_text import op9_html_text
 from celltide.llm.jaccard_join import op4_jaccard_join
+from celltide.llm.lexical import op13_ranked_search
 from celltide.llm.licenses import op6_license_scan
 from celltide.llm.line_dedup import op10_line_dedup
 from celltide.llm.mixing import op8_mix_sources
@@ -27,9 +29,13 @@ QUERIES = {q.__name__: q for q in (
     op9_html_text,
     op10_line_dedup,
     op11_personal_data,
+    op12_source_divergence,
+    op13_ranked_search,
 )}
 
 ORACLES = {
     "op8_mix_sources": mixing.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
+    "op13_ranked_search": lexical.ORACLE,
 }
