@@ -28,7 +28,7 @@ from celltide.llm.textops import lower, texts, words
 LEAST_DOCUMENTS, LONGEST = 3, 200
 SHARD = 1 << 19  # terms of one transducer
 ROUND = 1 << 26  # bytes of transducers that a pass over the texts carries
-CELLS = 1 << 20  # terms times sources of one block of comparisons
+CELLS = 1 << 17  # terms times sources of one block of comparisons
 HELD = 1 << 20  # counters a task holds before it passes them on
 
 
@@ -233,7 +233,7 @@ def recount(docs: DataFrame, shards: DataFrame, round_bytes=ROUND) -> DataFrame:
         carried = [(r["lang"], r["base"], (bytes(r["key"]), bytes(r["target"]), bytes(r["skip"]), bytes(r["final"])))
                    for r in shards.join(wanted, ["lang", "base"]).collect()]  # round_bytes at most, or one shard
         shared = spark.sparkContext.broadcast(carried)
-        part = docs.join(wanted.select("lang").distinct(), "lang", "left_semi").select("lang", "source", "text").mapInArrow(
+        part = docs.where(F.col("lang").isin(sorted({c[0] for c in chosen}))).select("lang", "source", "text").mapInArrow(
             _recount(shared), "lang STRING, source STRING, ordinal BIGINT, n BIGINT")
         part = materialize(part.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n")), "recount")
         shared.destroy()
