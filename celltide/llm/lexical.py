@@ -33,7 +33,7 @@ from celltide.llm.divergence import strings
 from celltide.llm.frames import as_text, load, materialize
 from celltide.llm.textops import lower, texts, words
 
-BLOCK = 1 << 21  # terms, with repeats, of a block
+BLOCK = 1 << 17  # terms, with repeats, of a block
 ENTRIES = 1 << 18  # terms of the items that are searched together
 PAIRS = 1 << 22  # postings that are added up at a time
 BEST = 10
