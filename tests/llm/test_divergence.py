@@ -70,7 +70,7 @@ def test_empty_table(spark):
 
 def words_of(seed, n, letters="abc"):
     rng = np.random.default_rng(seed)
-    return sorted({bytes(rng.choice(list(letters.encode()), rng.integers(1, 8))) for _ in range(n)})
+    return sorted({bytes(rng.choice(np.frombuffer(letters.encode(), np.uint8), rng.integers(1, 8))) for _ in range(n)})
 
 
 def test_transducer_is_minimal_and_in_order():
