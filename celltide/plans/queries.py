@@ -28,7 +28,7 @@ from celltide.sources.telemetry import (
     type_kpi,
 )
 from celltide.sources.topology import explode_cells
-from celltide.streaming.detect import detect_stream, detect_with_tail
+from celltide.streaming.detect import current, detect_stream, detect_with_tail
 from celltide.streaming.ingest import ingest
 
 QUERIES = {}
@@ -131,6 +131,22 @@ def _streamed(spark, sf, start, store):
     return _flags(spark.read.parquet(f"{folder}/out"))
 
 
+@query
+def stream_detect_late(spark, sf):
+    """Six files, one a batch: five days each, a fifth of the readings one file late and some two or four."""
+    folder = scratch_path(spark, "late")
+    kpi = v.valid_kpi(spark, sf)
+    e = F.col("event_id")
+    delay = F.when(e % 5 == 0, 1).when(e % 31 == 0, 2).when(e % 37 == 0, 4).otherwise(0)
+    turn = F.least(F.floor(F.dayofmonth("event_time") / 6) + delay, F.lit(5))
+    dealt = materialize(kpi.withColumn("turn", turn), "dealt")
+    for k in range(6):
+        dealt.where(F.col("turn") == k).drop("turn").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(kpi.schema).parquet(f"{folder}/in")
+        detect_stream(stream, f"{folder}/store", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return _flags(current(spark.read.parquet(f"{folder}/out")))
+
+
 # Cleaning and classes
 
 @query

@@ -1,63 +1,51 @@
 """Detection on arriving batches.
 
-Both ways score a batch with the same operators as a table. `detect_stream` looks back into the
-archive; `detect_with_tail` keeps the last readings of each key in a small table instead, so the
-cost of a batch does not grow with the archive. A key's readings are split by the sliced history in
-either case: no task holds a whole key, as keyed state would.
+`score_batch` scores a batch against a given past with the operators of a table. `detect_stream` keeps the
+past in a store of key buckets and days, so the cost of a batch does not grow with what has arrived before,
+and readings that arrive late get, and give, the history they would have in a table. A key's readings are
+split by the sliced history: no task holds a whole key, as keyed state would.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from celltide.operators.history import recent_points
 from celltide.operators.rules import Thresholds, apply_rules, with_history
-from celltide.schemas import MARKS
 from celltide.streaming.ingest import trigger, write_batch
+from celltide.streaming.store import (
+    BUCKETS,
+    KEYS,
+    ReadingStore,
+    current,
+    drop_path,
+    history_values,
+    score_arrivals,
+    tail,
+)
 
-KEYS = ["cell_id", "band"]
-VALUES = ["ues_usage", "throughput_mbps"]
-
-
-def _values(df: DataFrame) -> list[str]:
-    """What the rules look at in earlier readings; typed tables without marks have good numbers only."""
-    return VALUES + [m for m in MARKS if m in df.columns]
+__all__ = ["KEYS", "current", "detect_stream", "detect_with_tail", "drop_path", "score_batch", "tail"]
 
 
 def score_batch(batch: DataFrame, past: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """The batch with flags and anomalies, its history reaching back into `past`."""
-    older = past.select(*KEYS, "event_time", *_values(past)).withColumn("_new", F.lit(False))
+    older = past.select(*KEYS, "event_time", *history_values(past)).withColumn("_new", F.lit(False))
     readings = batch.withColumn("_new", F.lit(True)).unionByName(older, allowMissingColumns=True)
     told = with_history(readings, t)
     return apply_rules(told.where("_new").drop("_new"), t)
 
 
 def detect_stream(
-    stream: DataFrame, archive: str, out: str, checkpoint: str, t: Thresholds = Thresholds(),
-    seconds=None,
+    stream: DataFrame, store: str, out: str, checkpoint: str, t: Thresholds = Thresholds(),
+    seconds=None, buckets=BUCKETS,
 ):
-    """Archive each batch of readings and score it against the archive before it.
+    """Archive each batch under `store` and score it; `current` reads the valid results from `out`.
 
-    Of the archive only earlier batches' readings of keys in the batch, up to its newest one, take
-    part; so a retry sees the same history.
+    A late reading amends the results of the readings after it: they are written again with its batch.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stored = batch.withColumn("event_date", F.to_date("event_time"))
-        folder = f"{archive}/batch_id={batch_id}"
-        stored.write.mode("overwrite").partitionBy("event_date").parquet(folder)
-        # From here on the batch is read back, so the source is not asked again.
-        batch = spark.read.schema(stored.schema).parquet(folder).select(*batch.columns)
-        newest = batch.agg(F.max("event_time")).scalar()
-        schema = T.StructType([*stored.schema.fields, T.StructField("batch_id", T.LongType())])
-        past = (
-            spark.read.schema(schema).parquet(archive)
-            .where((F.col("batch_id") < batch_id) & (F.col("event_date") <= F.to_date(newest)))
-            .join(batch.select(*KEYS).distinct(), KEYS, "left_semi")
-        )
-        write_batch(score_batch(batch, past, t), out, batch_id)
+        known = ReadingStore(store, t.history, buckets)
+        write_batch(score_arrivals(batch, batch_id, known, t), out, batch_id)
 
     return (
         stream.writeStream.foreachBatch(run)
@@ -65,50 +53,16 @@ def detect_stream(
     )
 
 
-def tail(points: DataFrame, n=3) -> DataFrame:
-    """What later batches can need of each key: n readings of its newest second, n before it.
-
-    Both rankings also run before the shuffle, so a hot key ships few rows per partition.
-    """
-    values = _values(points)
-    rows = recent_points(points, n, KEYS, "event_time", values).drop("_slice")
-    newest = Window.partitionBy(*KEYS).orderBy(
-        F.desc("event_time"), *[F.col(v).desc_nulls_last() for v in values]
-    )
-    return rows.withColumn("nth", F.row_number().over(newest)).where(
-        F.col("nth") <= 2 * n
-    ).drop("nth")
-
-
 def detect_with_tail(
     stream: DataFrame, state: str, out: str, checkpoint: str, t: Thresholds = Thresholds(),
-    seconds=None,
+    seconds=None, buckets=BUCKETS,
 ):
-    """Start detection with a table of last readings, one version per batch under `state`.
-
-    A batch reads the version before it and writes its own, so a retry starts from the same state.
-    Results equal the table's as long as batches arrive in time order; a reading older than the
-    kept ones is scored against what is kept.
-    """
+    """The same, but every reading is told once, when it arrives: against all that has arrived until then."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        points = batch.select(*KEYS, "event_time", *_values(batch))
-        before = points.where("false")
-        if batch_id > 0:
-            before = spark.read.schema(points.schema).parquet(f"{state}/batch_id={batch_id - 1}")
-        write_batch(score_batch(batch, before, t), out, batch_id)
-        write_batch(tail(before.unionByName(points), t.history), state, batch_id)
-        drop_path(spark, f"{state}/batch_id={batch_id - 2}")
-        batch.unpersist()
+        known = ReadingStore(state, t.history, buckets)
+        write_batch(score_arrivals(batch, batch_id, known, t, amend=False), out, batch_id)
 
     return (
         stream.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint).trigger(**trigger(seconds)).start()
     )
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Remove a state version that no retry can ask for any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

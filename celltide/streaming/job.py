@@ -23,8 +23,8 @@ from celltide.sources.telemetry import (
     type_du,
     type_kpi,
 )
-from celltide.streaming.detect import KEYS, score_batch, tail
 from celltide.streaming.ingest import trigger, write_batch
+from celltide.streaming.store import BUCKETS, ReadingStore, score_arrivals
 
 STORES = ["archive", "quarantine", "results", "events", "remediation", "state"]
 
@@ -37,23 +37,20 @@ def stored(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
 
 def run_batch(
     lines: DataFrame, batch_id: int, folder: str, answer: Callable[[DataFrame], DataFrame],
-    t: Thresholds = Thresholds(), value="value",
+    t: Thresholds = Thresholds(), value="value", buckets=BUCKETS,
 ) -> None:
     """One batch of lines. `answer` adds `raw_response` to rows with `report_text` and `is_anomaly`.
 
-    The state of a batch is made from that of the batch before it, so a batch can be run again.
+    The state of a batch is made from that of the batch before it, so a batch can be run again. Readings
+    that arrive late are scored against the history of their time; nothing is told twice.
     """
     good, bad = parse_kpi_lines(split_payload(lines.select(value), value))
     write_batch(bad, f"{folder}/quarantine", batch_id)
     readings = stored(type_kpi(good).select(*KPI_COLUMNS, *MARKS), f"{folder}/archive", batch_id)
     valid = filter_valid_bands(readings)
-    points = valid.select(*KEYS, "event_time", "ues_usage", "throughput_mbps", *MARKS)
-    past = points.where("false")
-    if batch_id > 0:
-        past = lines.sparkSession.read.schema(points.schema).parquet(
-            f"{folder}/state/batch_id={batch_id - 1}")
-    write_batch(tail(past.unionByName(points), t.history), f"{folder}/state", batch_id)
-    answered = reconcile(answer(render_report(score_batch(valid, past, t))))
+    known = ReadingStore(f"{folder}/state", t.history, buckets)
+    scored = score_arrivals(valid, batch_id, known, t, amend=False)
+    answered = reconcile(answer(render_report(scored)))
     answered = stored(answered, f"{folder}/results", batch_id)
     # Equal lines of a batch are one event: the key is made of the batch and the reading itself.
     key = F.concat_ws("-", F.lit(str(batch_id)), F.md5("data"))

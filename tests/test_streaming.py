@@ -9,9 +9,10 @@ from celltide.operators import rules as R
 from celltide.plans import views
 from celltide.schemas import KPI_COLUMNS
 from celltide.sinks.messages import encode_kpi_lines
-from celltide.streaming.detect import detect_stream, detect_with_tail, tail
+from celltide.streaming.detect import current, detect_stream, detect_with_tail, tail
 from celltide.streaming.ingest import PERIODS, ingest, trigger
 from celltide.streaming.job import host_metrics_job, run_batch, telemetry_job
+from celltide.streaming.store import ReadingStore, score_arrivals
 
 
 def batches(spark, folder, days):
@@ -109,3 +110,67 @@ def test_host_metrics(spark, tmp_path):
     du = views.du(spark, SMALL).drop("event_id")
     assert rows(spark.read.parquet(f"{folder}/archive").select(*du.columns)) == rows(du)
     assert spark.read.parquet(f"{folder}/quarantine").count() == 1
+
+
+def feed(spark, part, source, *places, **options):
+    """One more file, and one more batch."""
+    part.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(part.schema).parquet(source)
+    detect_stream(stream, *places, **options).awaitTermination()
+
+
+def test_files_out_of_order_equal_the_table(spark, tmp_path):
+    """Newest days first, so every key is late in every batch; and the last batch run a second time."""
+    source, store, out, place = (str(tmp_path / n) for n in ("in", "store", "out", "checkpoint"))
+    kpi = views.valid_kpi(spark, SMALL)
+    columns = ["event_id", "prior_count", "avg_prior_ues", "avg_prior_throughput", *R.FLAGS.values()]
+    for days in ((21, 31), (11, 20), (1, 10)):
+        feed(spark, kpi.where(F.dayofmonth("event_time").between(*days)), source, store, out, place, buckets=4)
+    want = rows(R.detect(kpi), *columns)
+    assert rows(current(spark.read.parquet(out)), *columns) == want
+    assert rows(spark.read.parquet(out), *columns) != want  # some were told again
+    last = kpi.where(F.dayofmonth("event_time").between(1, 10))
+    again = score_arrivals(last, 2, ReadingStore(store, 3, 4))
+    assert rows(again, *columns) == rows(spark.read.parquet(f"{out}/batch_id=2"), *columns)
+
+
+def test_a_late_reading_changes_what_follows(spark, tmp_path):
+    """One key far in the past, one in the same second, one without a band; what is told again is no more than needed."""
+    source, store, out, place = (str(tmp_path / n) for n in ("in", "store", "out", "checkpoint"))
+    kpi = views.valid_kpi(spark, SMALL).limit(1).drop("event_id", "cell_id", "event_time", "band", "ues_usage")
+    start = dt.datetime(2024, 1, 1)
+
+    def readings(*told):
+        rows_ = [(i, c, b, start + dt.timedelta(hours=h), float(u)) for i, c, b, h, u in told]
+        schema = "event_id long, cell_id long, band string, event_time timestamp, ues_usage double"
+        return spark.createDataFrame(rows_, schema).crossJoin(kpi)
+
+    first = readings(*[(k, 1, "Band 29", 24 * k, k) for k in range(40)], (100, 2, "Band 29", 0, 7))
+    second = readings((200, 1, "Band 29", 24 * 20 + 1, 50), (201, 2, "Band 29", 0, 8), (202, 3, None, 5, 1),
+                      (203, 1, "Band 29", 24 * 50, 9), (204, 1, "Band 29", -24 * 90, 3))
+    feed(spark, first, source, store, out, place)
+    feed(spark, second, source, store, out, place)
+    found = current(spark.read.parquet(out)).select("event_id", "prior_count", F.round("avg_prior_ues", 6))
+    whole = R.detect(first.union(second)).select("event_id", "prior_count", F.round("avg_prior_ues", 6))
+    assert rows(found) == rows(whole)
+    told = {r[0] for r in spark.read.parquet(f"{out}/batch_id=1").select("event_id").collect()}
+    assert told == {200, 201, 202, 203, 204, 21, 22, 23, 100, 0, 1, 2}
+
+
+def test_what_a_batch_reads_does_not_grow(spark, tmp_path):
+    """In time order the archive is never read; a late reading reads its own days, however long the archive is."""
+    kpi = views.valid_kpi(spark, SMALL).limit(20).drop("event_time")
+    known = ReadingStore(str(tmp_path / "store"), 3, 4)
+    start = dt.datetime(2024, 1, 1)
+
+    def at(*hours):
+        return kpi.crossJoin(spark.createDataFrame([(start + dt.timedelta(hours=h),) for h in hours], "event_time timestamp"))
+
+    read = []
+    for k, days in enumerate((4, 40)):
+        before = 24 * sum((4, 40)[:k])
+        score_arrivals(at(*range(before, before + 24 * days, 6)), 2 * k, known).count()
+        assert known.looked_up == []
+        score_arrivals(at(before + 24 * days - 30.5), 2 * k + 1, known).count()
+        read.append([len(days) for days, _ in known.looked_up])
+    assert read[0] == read[1] == [1, 3]
