@@ -1,13 +1,19 @@
-"""Traffic forests: training, held-out metrics and forecasts."""
+"""Traffic forests: training, held-out metrics and forecasts.
+
+A forest is a fitted pipeline or a list of trees. A tree is a leaf's value or (column, threshold, tree where
+the column is at most the threshold, tree above it); its leaves hold user counts, or chances of the busy
+class. Lists of trees are scored by column functions and can be written as SQL text for another engine.
+"""
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from celltide.functions.times import as_utc
@@ -57,7 +63,64 @@ def train_classifier(
         maxDepth=depth,
     )
     columns = feature_columns(top_n, True, wide)
-    return Pipeline(stages=[_assembler(columns), forest]).fit(_numeric(df))
+    return without_summary(Pipeline(stages=[_assembler(columns), forest]).fit(_numeric(df)))
+
+
+def without_summary(model: PipelineModel) -> PipelineModel:
+    """The model without its training summary.
+
+    A fitted classifier keeps the summary, and with it the scored training table and its session; its
+    scoring function carries the whole model to the executors, where neither can go.
+    """
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
+def trees_of(model: PipelineModel) -> list:
+    """The forest's trees; for a classifier the leaves hold the chance of class 1."""
+    columns, forest = model.stages[0].getInputCols(), model.stages[-1]
+    classes = isinstance(forest, RandomForestClassificationModel)
+
+    def told(node):
+        if node.subtreeDepth() == 0:
+            if not classes:
+                return float(node.prediction())
+            counts = list(node.impurityStats().stats())
+            return counts[1] / sum(counts)
+        split = node.split()
+        return (columns[split.featureIndex()], float(split.threshold()), told(node.leftChild()), told(node.rightChild()))
+
+    return [told(t._java_obj.rootNode()) for t in forest.trees]
+
+
+def tree_value(tree) -> Column:
+    if not isinstance(tree, tuple):
+        return F.lit(float(tree))
+    column, threshold, low, high = tree
+    return F.when(F.col(column).cast("double") <= threshold, tree_value(low)).otherwise(tree_value(high))
+
+
+def forest_value(trees) -> Column:
+    """The mean of the trees, added in their order."""
+    total = tree_value(trees[0])
+    for tree in trees[1:]:
+        total = total + tree_value(tree)
+    return total / F.lit(float(len(trees)))
+
+
+def tree_sql(tree) -> str:
+    """The tree as a CASE; numbers are written so that every engine reads them as doubles."""
+    if not isinstance(tree, tuple):
+        return f"CAST('{float(tree)!r}' AS DOUBLE)"
+    column, threshold, low, high = tree
+    return (f"CASE WHEN CAST({column} AS DOUBLE) <= CAST('{threshold!r}' AS DOUBLE) "
+            f"THEN {tree_sql(low)} ELSE {tree_sql(high)} END")
+
+
+def forest_sql(trees) -> str:
+    return f"(({' + '.join(map(tree_sql, trees))}) / {float(len(trees))!r})"
 
 
 def train_traffic(df: DataFrame, trees=TREES, seed=SEED, **options):
@@ -69,12 +132,17 @@ def train_traffic(df: DataFrame, trees=TREES, seed=SEED, **options):
     )
 
 
-def predict_usage(df: DataFrame, regressor: PipelineModel) -> DataFrame:
+def predict_usage(df: DataFrame, regressor: PipelineModel | list) -> DataFrame:
+    if isinstance(regressor, list):
+        return df.withColumn("predicted_usage", forest_value(regressor))
     scored = regressor.transform(_numeric(df)).drop("features")
     return scored.withColumnRenamed("prediction", "predicted_usage")
 
 
-def predict_class(df: DataFrame, classifier: PipelineModel) -> DataFrame:
+def predict_class(df: DataFrame, classifier: PipelineModel | list) -> DataFrame:
+    if isinstance(classifier, list):
+        told = df.withColumn("confidence", forest_value(classifier))
+        return told.withColumn("predicted_class", (F.col("confidence") > 0.5).cast("int"))
     scored = classifier.transform(_numeric(df)).drop("features", "rawPrediction")
     return scored.withColumns({
         "predicted_class": F.col("prediction").cast("int"),

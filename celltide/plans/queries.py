@@ -328,6 +328,45 @@ def rf_metrics(spark, sf):
     return found.select("model", "metric", holds.alias("holds"))
 
 
+# A small forest of each kind, so that every engine can tell what it predicts.
+USAGE_TREES = [
+    ("hour", 11.5, ("cell_id", 60.0, 21.25, ("weekend", 0.5, 27.5, 33.125)), ("day", 15.5, 30.0, ("weekday", 2.5, 18.75, 41.0))),
+    ("cell_id", 99.5, ("dow_monday", 0.5, 22.1, 35.3), ("hour", 17.5, 29.9, 12.7)),
+    ("month", 1.5, ("event_ts", 1704900000.0, 19.6, 26.4), 50.2),
+]
+CLASS_TREES = [
+    ("ues_usage", 39.5, ("hour", 6.5, 0.05, 0.1), ("cell_id", 75.5, 0.9, 0.8)),
+    ("ues_usage", 45.5, ("dow_sunday", 0.5, 0.2, 0.45), 0.95),
+    ("weekend", 0.5, ("ues_usage", 30.5, 0.15, 0.7), ("ues_usage", 35.5, 0.3, 0.85)),
+]
+
+
+@query
+def given_forest(spark, sf):
+    """Held-out rows scored by forests given as trees."""
+    _, test = features.split(features.traffic_features(v.kpi(spark, sf)))
+    scored = forecast.predict_class(forecast.predict_usage(test, USAGE_TREES), CLASS_TREES)
+    return scored.select(
+        "cell_id", "event_ts", "frequency", F.round("predicted_usage", 6).alias("predicted_usage"),
+        "predicted_class", F.round("confidence", 6).alias("confidence"))
+
+
+@query
+def given_metrics(spark, sf):
+    """Held-out figures of the same forests."""
+    _, test = features.split(features.traffic_features(v.kpi(spark, sf)))
+    found = forecast.evaluate(USAGE_TREES, CLASS_TREES, test)
+    return found.select("model", "metric", F.round("value", 6).alias("value"))
+
+
+@query
+def given_forecast(spark, sf):
+    """Forecasts of the same forests for every cell and time of the telemetry."""
+    asked = v.kpi(spark, sf).select("cell_id", "event_time").distinct()
+    return forecast.forecast(asked, USAGE_TREES, CLASS_TREES, threshold=28.0).select(
+        "cell_id", epoch("event_time"), "cell_busy", "confidence", "predicted_ues_usage", "threshold", "over_threshold")
+
+
 @query
 def forecast_rows(spark, sf):
     train, _ = _parts(spark, sf)

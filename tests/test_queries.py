@@ -87,7 +87,11 @@ def test_feed_has_the_schema_of_the_data_model(spark):
 
 
 def test_forests_learn_something(spark):
-    metrics = {(r.model, r.metric): r.value for r in QUERIES["rf_metrics"](spark, SMALL).collect()}
+    from celltide.operators import features, forecast
+
+    train, test = features.split(features.traffic_features(views.kpi(spark, SMALL)))
+    found = forecast.evaluate(*forecast.train_traffic(train, trees=20), test)
+    metrics = {(r.model, r.metric): r.value for r in found.collect()}
     assert metrics["classifier", "accuracy"] > 0.9
     assert 0 < metrics["regressor", "mae"] < 40
 
@@ -106,3 +110,29 @@ def test_models_can_be_saved(spark, tmp_path):
     assert first == second and os.path.exists(tmp_path / "traffic_regressor_model")
     assert {r.threshold for r in first} == {80.0}
     assert len({r.predicted_ues_usage for r in first}) > 1
+
+
+def test_trees_as_sql_predict_what_the_forests_predict(spark):
+    """Trained forests, their trees as columns, and their trees as SQL in another engine: the same values."""
+    from celltide.operators import features, forecast
+
+    train, test = features.split(features.traffic_features(views.kpi(spark, SMALL)))
+    models = forecast.train_traffic(train, trees=7, depth=5)
+    assert not models[1].stages[-1].hasSummary
+    trees = [forecast.trees_of(m) for m in models]
+
+    def told(usage, busy):
+        scored = forecast.predict_class(forecast.predict_usage(test, usage), busy)
+        return {(r.cell_id, r.event_ts, r.frequency): (r.predicted_usage, r.predicted_class, r.confidence) for r in scored.collect()}
+
+    by_model, by_columns = told(*models), told(*trees)
+    con = duckdb.connect()
+    frame = test.toPandas()
+    con.register("held", frame)
+    usage, busy = map(forecast.forest_sql, trees)
+    by_sql = {(r[0], r[1], r[2]): r[3:] for r in con.execute(
+        f"SELECT cell_id, event_ts, frequency, {usage}, ({busy} > 0.5)::INT, {busy} FROM held").fetchall()}
+    assert by_model.keys() == by_columns.keys() == by_sql.keys() and len(by_model) > 100
+    for key, value in by_model.items():
+        assert by_columns[key] == pytest.approx(value, abs=1e-9) == by_sql[key]
+    assert len({v[0] for v in by_model.values()}) > 20 and {v[1] for v in by_model.values()} == {0, 1}
