@@ -132,7 +132,7 @@ class Encoder:
 
             path = public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.quick = _by_rank(path)
         self.hasher, self.classes = textops.Hasher(), _classes()
         self._forget()
@@ -174,11 +174,22 @@ class Encoder:
         self.count = np.insert(self.count, to, count)
         self.used += len(flat)
 
+    def _with_added(self, data, offsets):
+        """Which texts hold an added token as text: it has an id of its own and splits the words around it."""
+        out, raw = np.zeros(len(offsets) - 1, bool), data.tobytes()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, "right")) - 1
+                out[row] |= at + len(token) <= offsets[row + 1]
+                at = raw.find(token, at + 1)
+        return out
+
     def encode(self, data, offsets):
         """Ids of all texts of a batch in one array, and where each begins and the last ends."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        plain = simple(data, offsets)
+        plain = simple(data, offsets) & ~self._with_added(data, offsets)
         if len(self.keys) > KNOWN_WORDS:
             self._forget()
         start = word_starts(data, offsets, self.classes)

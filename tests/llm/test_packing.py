@@ -11,7 +11,6 @@ from celltide.llm import textops
 from tests.llm.helpers import awkward, empty, table
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path(p.VOCABULARY))
-TOKENIZER.encode_special_tokens = True
 
 
 def _ids(text):
@@ -32,6 +31,8 @@ def test_ids_are_those_of_the_tokenizer():
     texts = ["", "it's we'll 'tis don't''s", "<|endoftext|> x", "漢字 カナ", "  \n ", " 'd'd 9's", "a'", "'", "É'll s'r"]
     texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(3000)]
     texts += [r[1] for r in awkward()]
+    texts += ["ab <|endoftext|> cd", "<|endoftext|>", "x" * 50 + "<|endoftext|><|endoftext|>\n", "<|endoftext", "|>", "<|endoftext|"]
+    assert _ids("ab <|endoftext|> cd") == [397, 220, 50256, 22927]
     assert _encoded(texts) == [_ids(t) for t in texts]
 
 
