@@ -122,11 +122,11 @@ class Shape:
         return out
 
 
-def _dealt(dtype, trees, bits, top, shapes, least=None):
+def _dealt(dtype, trees, bits, top, room, shapes, least=None):
     """The places of the trees by bucket, or, with `least`, the queries in all buckets they reach."""
 
     def fn(batches):
-        planes, known = {}, shapes.value
+        planes, known = {}, {dim: Shape(table, room) for dim, table in shapes.value.items()}
         for batch in batches:
             for at, dim, keys in _keys(batch.column(2), batch.column(1).to_numpy(), dtype, trees, bits, planes):
                 shape, cells = known[dim], keys >> (bits - top)
@@ -227,7 +227,7 @@ class HashForest:
         self.spark: SparkSession = table.sparkSession
 
     def _shapes(self):
-        """The shape of the trees of each length of vectors, and how many places its queries must see."""
+        """The places by prefix of each length of vectors, as plain arrays, and how many its queries must see."""
         counts = self.classes.select("c", "dim", "vec").mapInArrow(
             _counts(self.dtype, self.trees, self.bits, self.top), "tree BIGINT, cell BIGINT, n BIGINT")
         # At most 2**TOP rows for each tree.
@@ -236,7 +236,7 @@ class HashForest:
         for dim, rows in got.groupby(got["tree"] // (1 << 16)):
             table = np.zeros((self.trees, 1 << self.top), np.int64)
             table[rows["tree"] % (1 << 16), rows["cell"]] = rows["n"]
-            shapes[dim] = Shape(table, self.block)
+            shapes[dim] = table
             least[dim] = places(int(table[0].sum())) if self.candidates is None else self.candidates
         return shapes, least
 
@@ -247,7 +247,7 @@ class HashForest:
         schema = "tree BIGINT, part BIGINT, block BIGINT, key BIGINT, c BINARY, vec BINARY, low BIGINT, ask BOOLEAN, depth INT"
         body = self.classes.select("c", "dim", "vec", F.col("ids")[0].alias("low"), "query")
         rows, asks = (
-            x.mapInArrow(_dealt(self.dtype, self.trees, self.bits, self.top, shapes, n), schema)
+            x.mapInArrow(_dealt(self.dtype, self.trees, self.bits, self.top, self.block, shapes, n), schema)
             for x, n in ((body, None), (body.where("query"), least)))
         found = rows.union(asks).groupBy(*BUCKET).applyInPandas(
             _searcher(self.dtype, self.bits, self.nearest), "q BINARY, c BINARY, score DOUBLE")

@@ -127,3 +127,16 @@ def test_family_with_equal_strings(spark):
 
 def test_places_grow_with_the_table():
     assert h.places(500) == 60_000 and h.places(10**6) == 800_000 and h.places(10**8) == 80_000_000
+
+
+def test_broadcasts_load_without_the_package(spark, tmp_path):
+    """Broadcasts are pickled by name, so they must hold nothing of this package."""
+    import pickle
+    import subprocess
+    import sys
+
+    table = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    shapes, _ = h.HashForest(table, F.col("vec_id") % 50 == 0)._shapes()
+    (tmp_path / "value.pkl").write_bytes(pickle.dumps(shapes))
+    code = "import pickle, importlib.util as u; assert u.find_spec('celltide') is None; assert pickle.load(open('value.pkl', 'rb'))"
+    subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, check=True, timeout=120)
