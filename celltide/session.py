@@ -67,14 +67,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Remove the intermediate tables of this process; for the end, when all results are read."""
+def drop_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Remove intermediate tables of this process: all, for the end, when all results are read; or some."""
     jvm = spark._jvm
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+    for made in list(_made) if paths is None else [p for p in paths if p in _made]:
+        _made.remove(made)
+        path = jvm.org.apache.hadoop.fs.Path(made)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def scratch_paths() -> list[str]:
+    """The intermediate tables of this process that are still there."""
+    return list(_made)
+
+
 def materialize(df: DataFrame, name="stage") -> DataFrame:
     """Cut lineage by writing to the shared folder, so lost executors do not recompute the past."""
     path = scratch_path(df.sparkSession, name)
