@@ -9,7 +9,10 @@ more than the lists, by the sizes found in the data.
 
 Only links that can still join two components are tested. Each list is first compared with two
 of its members; then members outside the list's main component are compared with all of another
-component. So a family of n near copies costs about n tests, and no link is lost.
+component. So a family of n near copies costs about n tests, and no link is lost. Before whole texts
+meet, a pair is tested by parity sketches: one bit for each of two to four slots per shingle, set where an
+odd number of shingles falls. Sketches differ in no more bits than the sets differ in members, so a pair
+whose sketches differ in more than a link allows is none; only the others move their texts.
 
 Defined cases: words are runs of bytes other than white space, A-Z in lower case; null and empty texts
 and texts of white space have no shingles and are linked with nothing; a text of fewer words than a
@@ -39,6 +42,7 @@ from celltide.llm.frames import (
     packed,
     passing,
 )
+from celltide.session import drop_scratch, scratch_paths
 
 WORDS, PERCENT = 5, 80
 SLOTS = 22  # 2**22 slots tell how common a shingle is (4 MB); they order the lists, no more
@@ -197,6 +201,57 @@ def _rarest(size, level, least, percent, wanted=None):
     return fn
 
 
+def sketch(h):
+    """The parity sketch of a set of hashes: a power of two of slots, at least two for each member.
+
+    Half as many slots give the exclusive or of both halves, so sketches of different widths compare.
+    """
+    slots = max(64, 1 << (2 * len(h) - 1).bit_length())
+    at = (textops.mix(h * textops.BASE2) & np.uint64(slots - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=slots) & 1 > 0)
+
+
+def differ(x, y):
+    """Slots in which two sketches differ: at most the number of members that only one of the sets has."""
+    while len(x) != len(y):
+        long, short = (x, y) if len(x) > len(y) else (y, x)
+        x, y = long[: len(long) // 2] ^ long[len(long) // 2 :], short
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _sketches(size, wanted):
+    """(set, size, sketch) of the texts that the filter passes."""
+
+    def fn(batches):
+        hasher, spaces, fold = _tools()
+        for rows, data, at in textops.texts(_in_filter("text_id", None, FILTER, wanted)(batches)):
+            row, h = textops.shingles(data, at, size, hasher, spaces, fold)
+            ids, n = textops.set_hash(row, h, len(rows))
+            ends = textops.runs(row, len(rows))
+            some = np.flatnonzero(n)
+            yield pa.record_batch({
+                "set_id": _signed(ids[some]), "n": pa.array(n[some], pa.int64()),
+                "bits": pa.array([sketch(h[ends[i] : ends[i + 1]]).tobytes() for i in some], pa.binary()),
+            })
+
+    return fn
+
+
+def _near(percent):
+    """Pairs whose sketches a link allows."""
+
+    def fn(batches):
+        for batch in batches:
+            a, b, n, m, x, y = batch.columns
+            keep = [
+                differ(np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8)) <= k + j - 2 * overlap(k, j, percent)
+                for k, j, p, q in zip(n.to_pylist(), m.to_pylist(), x.to_pylist(), y.to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return fn
+
+
 def _linked(size, percent):
     """Pairs of texts whose sets are linked."""
 
@@ -340,22 +395,46 @@ class JaccardJoin:
             & ((F.col("b.comp") == F.col("a.main")) | (F.col("a.comp") < F.col("b.comp")))
         )
 
-    def _test(self, joined):
-        """The linked ones of the candidate pairs, by the whole sets of both."""
-        pairs = joined.select(
-            F.least("a.set_id", "b.set_id").alias("a"), F.greatest("a.set_id", "b.set_id").alias("b")
-        ).distinct()
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+    def _test(self, candidates):
+        """The linked ones of the candidate pairs; `candidates` makes the join that holds them."""
         seen = Observation()
-        pairs = materialize(pairs.observe(seen, F.count("*").alias("n")), "pairs")
+
+        def store():
+            pairs = candidates().select(
+                F.least("a.set_id", "b.set_id").alias("a"), F.greatest("a.set_id", "b.set_id").alias("b")
+            ).distinct()
+            if self.tested is not None:
+                pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+            return materialize(pairs.observe(seen, F.count("*").alias("n")), "pairs")
+
+        pairs = self._storing(store)
         if not seen.get["n"]:
             return None
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
+        return self._storing(lambda: self._whole(self._sketched(pairs)))
+
+    def _picks(self, pairs):
+        """(set, text) of one text of each set in the pairs, and the filter of these texts."""
         ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
         picks = materialize(
             self.distinct.join(ids, "set_id", "left_semi").select("set_id", "text_id"), "picks")
-        bits = self.spark.sparkContext.broadcast(filter_bits(picks, "text_id", FILTER))
+        return picks, self.spark.sparkContext.broadcast(filter_bits(picks, "text_id", FILTER))
+
+    def _sketched(self, pairs):
+        """The pairs that their sketches do not rule out."""
+        _, bits = self._picks(pairs)
+        found = self.docs.select("text_id", "text").mapInArrow(
+            _sketches(self.words, bits), "set_id BIGINT, n BIGINT, bits BINARY")
+        found = materialize(
+            found.groupBy("set_id").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "sketches")
+        a, b = (found.select(F.col("set_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+                for c in "ab")
+        both = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        return materialize(both.mapInArrow(_near(self.percent), "a BIGINT, b BIGINT"), "near")
+
+    def _whole(self, pairs):
+        """The linked pairs, by whole sets."""
+        picks, bits = self._picks(pairs)
         found = passing(self.docs.select("text_id", "text"), "text_id", bits, FILTER)
         found = found.join(picks, "text_id").groupBy("set_id").agg(F.first("text").alias("text"))
         found = materialize(found, "texts")
@@ -366,14 +445,22 @@ class JaccardJoin:
         )
         return materialize(full.mapInArrow(_linked(self.words, self.percent), "a BIGINT, b BIGINT"), "links")
 
+    def _storing(self, make):
+        """What `make` returns, which it stores last; the tables it stored before that go."""
+        before = set(scratch_paths())
+        out = make()
+        drop_scratch(self.spark, [p for p in scratch_paths() if p not in before][:-1])
+        return out
+
     def roots(self) -> DataFrame:
         """(node, root): the components of all links, on set ids."""
-        edges, lists = materialize(self._light_edges().toDF("a", "b"), "light"), self._lists()
-        stars = self._test(self._star_pairs(lists.withColumn("comp", F.col("set_id"))))
+        edges = self._storing(lambda: materialize(self._light_edges().toDF("a", "b"), "light"))
+        lists = self._storing(self._lists)
+        stars = self._test(lambda: self._star_pairs(lists.withColumn("comp", F.col("set_id"))))
         if stars is not None:
             edges = edges.union(stars)
         roots = components(edges)
-        rest = self._test(self._rest_pairs(self._open(lists, roots)))
+        rest = self._test(lambda: self._rest_pairs(self._open(lists, roots)))
         return roots if rest is None else components(edges.union(rest))
 
     def result(self) -> DataFrame:

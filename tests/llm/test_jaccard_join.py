@@ -1,6 +1,8 @@
 import random
 from math import comb
 
+import numpy as np
+
 from celltide.llm import jaccard_join as j
 from celltide.llm.components import components as connected
 from tests.llm.helpers import awkward, components, empty, prose, same, table
@@ -89,3 +91,23 @@ def test_components_of_a_long_path(spark):
     got = dict(connected(spark.createDataFrame(edges, "a BIGINT, b BIGINT")).collect())
     assert got == {i: 0 for i in range(n + 1)} | {100: 100, 101: 100, 102: 100}
     assert connected(spark.createDataFrame([], "a BIGINT, b BIGINT")).collect() == []
+
+
+def test_sketches_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        both, x, y = (rng.integers(0, 1 << 63, rng.integers(lo, 700), dtype=np.uint64) for lo in (1, 0, 0))
+        far = j.differ(j.sketch(np.concatenate([both, x])), j.sketch(np.concatenate([y, both])))
+        assert far <= len(x) + len(y) and far % 2 == (len(x) + len(y)) % 2
+    one = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    assert j.differ(j.sketch(one), j.sketch(one[::-1])) == 0
+    assert j.differ(j.sketch(one[:200]), j.sketch(one[200:])) > 100  # unrelated sets are ruled out
+    assert len(j.sketch(one[:1])) == 8
+
+
+def test_many_texts_with_one_passage(spark):
+    """A passage that many unrelated texts share brings them together; their sketches part them again."""
+    shared = prose(1, 30)
+    rows = [(k, prose(100 + k, 60) + " " + shared, "en", "a", 0, (1,), "x") for k in range(60)]
+    rows += [(100 + k, rows[k][1] + " end", "en", "a", 0, (1,), "x") for k in range(3)]
+    same(_found(spark, rows), components(rows))
