@@ -114,6 +114,45 @@ def chunk_at_separators(
     )
 
 
+def chunk_places(df: DataFrame, chunks: DataFrame, text="text", key="doc_id") -> DataFrame:
+    """(key, chunk_no, start, stop, fresh) of the chunks of each text, in code points, from 0.
+
+    A chunk lies at the first place, after the start of the one before it, where the text holds it with only
+    white space between the end of the one before and its own start; chunks may overlap. `fresh` is what the
+    chunk adds to those before it, without white space. A chunk that lies nowhere so has no place, and what it
+    adds is its whole text, so a missing or swapped chunk shows in the text put together again. Chunks of one
+    text meet in one row of Spark's: they are no more than the text and its overlaps.
+    """
+    kind = df.schema[key].dataType
+    parts = chunks.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("chunk_no", "chunk_text"))).alias("_chunks"))
+    rows = parts.join(df.select(key, text), key).select(
+        key, text, F.transform("_chunks", lambda c: c["chunk_no"]).alias("_no"),
+        F.transform("_chunks", lambda c: c["chunk_text"]).alias("_parts"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = {"row": [], "no": [], "start": [], "stop": [], "fresh": []}
+            for i, (t, numbers, pieces) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
+                last, end = -1, 0
+                for no, piece in zip(numbers, pieces):
+                    at = t.find(piece, last + 1)
+                    sound = at >= 0 and (at <= end or not t[end:at].strip())
+                    fresh = t[max(at, end): at + len(piece)] if sound else piece
+                    if sound:
+                        last, end = at, max(end, at + len(piece))
+                    for name, value in zip(told, (i, no, at if sound else None, at + len(piece) if sound else None,
+                                                  "".join(fresh.split()))):
+                        told[name].append(value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(told["row"], pa.int64())), pa.array(told["no"], pa.int32()),
+                 pa.array(told["start"], pa.int64()), pa.array(told["stop"], pa.int64()),
+                 pa.array(told["fresh"], pa.string())],
+                names=[key, "chunk_no", "start", "stop", "fresh"])
+
+    return rows.mapInArrow(
+        place, f"{key} {kind.simpleString()}, chunk_no INT, start BIGINT, stop BIGINT, fresh STRING")
+
+
 def label_centroids(df: DataFrame, vector="embedding", label="label") -> DataFrame:
     """Mean vector of each label."""
     places = df.select(label, F.posexplode(vector).alias("place", "v"))

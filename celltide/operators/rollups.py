@@ -10,28 +10,46 @@ from celltide.functions.times import as_utc, duration_text
 from celltide.operators.history import prior_n
 
 
-def anomaly_summary(df: DataFrame, order="item_no") -> DataFrame:
-    """Per cell: count, kinds, newest anomaly and its date; the first wins on equal dates.
-
-    All parts combine before the shuffle, so a cell with a third of the anomalies is no problem.
-    """
+def summary_parts(df: DataFrame, by=("cell_id",), order="item_no") -> DataFrame:
+    """Count, kinds and newest anomaly of each group, in a form that `merge_summaries` can put together."""
     first = F.col(order) if order in df.columns else F.lit(0)
     rank = F.struct(
         F.col("creation_date"), (-first).alias("_first"),
         F.col("source_id") if "source_id" in df.columns else F.lit(None).alias("source_id"),
         F.col("anomaly"),
     )
-    return df.groupBy("cell_id").agg(
+    return df.groupBy(*by).agg(
         F.count("*").alias("anomaly_count"),
         F.array_sort(F.collect_set("anomaly_type")).alias("types"),
         F.max(rank).alias("_newest"),
-    ).select(
+    )
+
+
+def merge_summaries(parts: DataFrame, by=("cell_id",)) -> DataFrame:
+    """Parts of the same groups as one. There are few kinds, so few different sets of them."""
+    return parts.groupBy(*by).agg(
+        F.sum("anomaly_count").alias("anomaly_count"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("types")))).alias("types"),
+        F.max("_newest").alias("_newest"),
+    )
+
+
+def summary_columns(parts: DataFrame) -> DataFrame:
+    return parts.select(
         "cell_id", "anomaly_count", "types",
         F.col("_newest.anomaly").alias("latest_anomaly"),
         F.col("_newest.creation_date").alias("latest_date"),
     )
 
 
+def anomaly_summary(df: DataFrame, order="item_no") -> DataFrame:
+    """Per cell: count, kinds, newest anomaly and its date; the first wins on equal dates.
+
+    All parts combine before the shuffle, so a cell with a third of the anomalies is no problem.
+    """
+    return summary_columns(summary_parts(df, order=order))
+
+
 def anomalous_cells(anomalies: DataFrame) -> DataFrame:
     return anomalies.select("cell_id").where("cell_id IS NOT NULL").distinct()
 
@@ -94,20 +112,35 @@ def drop_severity(rate: Column) -> Column:
     return F.when(rate >= 10, "critical").when(rate >= 5, "warn").otherwise("normal")
 
 
-def tower_activity(calls: DataFrame) -> DataFrame:
-    """Per cell: calls, drops, last activity, drop rate in percent and its severity."""
+def activity_parts(calls: DataFrame, by=("cell_id",)) -> DataFrame:
+    """Calls, drops and last activity of each group."""
     dropped = F.coalesce(F.col("is_dropped"), F.lit(False)).cast("bigint")
-    out = calls.groupBy("cell_id").agg(
+    return calls.groupBy(*by).agg(
         F.count("*").alias("total_calls"),
         F.sum(dropped).alias("dropped_calls"),
         F.max("timestamp").alias("last_activity"),
     )
+
+
+def merge_activities(parts: DataFrame, by=("cell_id",)) -> DataFrame:
+    return parts.groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in ("total_calls", "dropped_calls")],
+        F.max("last_activity").alias("last_activity"),
+    )
+
+
+def activity_rates(parts: DataFrame) -> DataFrame:
     rate = F.col("dropped_calls") * 100.0 / F.col("total_calls")
-    return out.withColumn("drop_rate", rate).withColumn(
+    return parts.withColumn("drop_rate", rate).withColumn(
         "drop_severity", drop_severity(F.col("drop_rate"))
     )
 
 
+def tower_activity(calls: DataFrame) -> DataFrame:
+    """Per cell: calls, drops, last activity, drop rate in percent and its severity."""
+    return activity_rates(activity_parts(calls))
+
+
 def latest_calls(calls: DataFrame, n=100, tie="call_id") -> DataFrame:
     ties = [tie] if tie in calls.columns else []
     return calls.orderBy(F.desc("timestamp"), *ties).limit(n)

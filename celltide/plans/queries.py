@@ -18,6 +18,7 @@ from celltide.schemas import KPI_COLUMNS
 from celltide.session import materialize, scratch_path
 from celltide.sinks.files import text_columns, write_archive
 from celltide.sinks.messages import csv_line, encode_kpi_lines
+from celltide.sources.positions import Positions, TableLog, run_until_empty
 from celltide.sources.telemetry import (
     latest_batch,
     parse_du_lines,
@@ -30,6 +31,7 @@ from celltide.sources.telemetry import (
 from celltide.sources.topology import explode_cells
 from celltide.streaming.detect import current, detect_stream, detect_with_tail
 from celltide.streaming.ingest import ingest
+from celltide.streaming.kept import ANOMALIES, CALLS, KeptRollup
 
 QUERIES = {}
 
@@ -147,6 +149,47 @@ def stream_detect_late(spark, sf):
     return _flags(current(spark.read.parquet(f"{folder}/out")))
 
 
+def _log(spark, sf):
+    """The lines as a log of four partitions, one with five eighths of them; places start anywhere and have gaps."""
+    e = F.col("event_id")
+    part = F.element_at(F.array(*map(F.lit, (0, 0, 0, 0, 0, 1, 2, 3))), (e % 8 + 1).cast("int"))
+    lines = v.payloads(spark, sf)
+    return TableLog(lines.select("event_id", "value", part.alias("partition"), (e * 3 + 50).alias("offset")))
+
+
+def _bounded(spark, sf, part):
+    """Runs of a limited number of places until the log is read; the second run fails first, after it has stored."""
+    folder = scratch_path(spark, "bounded")
+    positions, failed = Positions(spark, f"{folder}/positions"), []
+
+    def work(records, number):
+        good, bad = parse_kpi_lines(split_payload(records))
+        for name, rows in (("good", type_kpi(good)), ("bad", bad)):
+            rows.write.mode("overwrite").parquet(f"{folder}/{name}/run={number}")
+        if number == 1 and not failed:
+            failed.append(number)
+            raise InterruptedError("the consumer went away")
+
+    log = _log(spark, sf)
+    span = log.table.agg((F.max("offset") - F.min("offset")).alias("s")).first()["s"] or 0
+    limit = span * 4 // 3 + 1
+    try:
+        run_until_empty(log, positions, work, limit)
+    except InterruptedError:
+        run_until_empty(log, positions, work, limit)
+    return spark.read.parquet(f"{folder}/{part}")
+
+
+@query
+def bounded_ingest(spark, sf):
+    return _readings(_bounded(spark, sf, "good"), "event_id")
+
+
+@query
+def bounded_quarantine(spark, sf):
+    return _bounded(spark, sf, "bad").select("event_id", "line", "field_count")
+
+
 # Cleaning and classes
 
 @query
@@ -716,6 +759,39 @@ def marker_status(spark, sf):
     return marked.select("id", "status", "has_anomaly", r("drop_rate"), "marker")
 
 
+def _kept(spark, sf, rows, kind, time):
+    """The roll-up of rows that come in four batches, each with rows of all weeks, the second of them twice."""
+    dealt = rows.withColumn("turn", F.pmod(F.dayofmonth(time) * 7 + F.col("cell_id"), F.lit(4)))
+    dealt = materialize(dealt, "dealt")
+    kept = KeptRollup(spark, scratch_path(spark, "kept"), kind)
+    for number in (0, 1, 1, 2, 3):
+        kept.add(dealt.where(F.col("turn") == (number * 3 + 2) % 4).drop("turn"), number)
+    return kept.read(rows, 3)
+
+
+@query
+def kept_summary(spark, sf):
+    kept = _kept(spark, sf, v.anomaly_rows(spark, sf), ANOMALIES, "creation_date")
+    return kept.select(
+        "cell_id", "anomaly_count", F.array_join("types", ";").alias("types"), "latest_anomaly",
+        epoch("latest_date", "latest_ts"),
+    )
+
+
+@query
+def kept_health(spark, sf):
+    kept = _kept(spark, sf, v.anomaly_rows(spark, sf), ANOMALIES, "creation_date")
+    return rollups.network_health(v.towers(spark, sf), kept)
+
+
+@query
+def kept_activity(spark, sf):
+    return _kept(spark, sf, v.calls(spark, sf), CALLS, "timestamp").select(
+        "cell_id", "total_calls", "dropped_calls", micros("last_activity", "last_ts"),
+        r("drop_rate"), "drop_severity",
+    )
+
+
 def _feed_columns(df):
     return df.withColumn("feed_ts", F.unix_micros("timestamp")).drop("timestamp")
 
@@ -891,20 +967,21 @@ def chunk_documents(spark, sf):
 
 @query
 def chunk_at_separators(spark, sf):
-    """Whether each document's chunks lie in it, keep to the size, and reach from its first to its last sign."""
+    """Each document's words, put together again from its chunks, and how the chunks are numbered and sized.
+
+    A chunk goes on where the last one ended or repeats its end: as many signs as both share there are taken
+    once. What remains after white space is left out must be the text's own signs, all of them and in order.
+    """
     documents = v.marked_documents(spark, sf)
     chunks = retrieval.chunk_at_separators(documents, whole=F.col("whole"))
-    rows = chunks.join(documents.select("doc_id", "text", "whole"), "doc_id")
-    blank = F.lit(" \t\n\r")
-    body = F.when(F.col("whole"), F.col("text")).otherwise(F.btrim("text", blank))
-    last = F.max("chunk_no").over(Window.partitionBy("doc_id"))
-    rows = rows.withColumns({"_body": body, "_last": last})
-    return rows.groupBy("doc_id", "whole").agg(
-        F.min((F.length("chunk_text") <= 1500) | F.col("whole")).alias("fits"),
-        F.min(F.contains("text", "chunk_text")).alias("inside"),
-        F.max((F.col("chunk_no") == 1) & F.startswith("_body", "chunk_text")).alias("begins"),
-        F.max((F.col("chunk_no") == F.col("_last")) & F.endswith("_body", "chunk_text")).alias("ends"),
+    whole = F.coalesce(F.col("whole"), F.lit(False))
+    placed = retrieval.chunk_places(documents, chunks)
+    return placed.join(documents.select("doc_id", whole.alias("whole")), "doc_id").groupBy("doc_id", "whole").agg(
+        F.min((F.col("stop") - F.col("start") <= 1500) | F.col("whole")).alias("fits"),
         (F.max("chunk_no") == F.count("*")).alias("counted"),
+        F.md5(F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("chunk_no", "fresh"))), lambda c: c["fresh"]), "").cast("binary")
+        ).alias("signs_digest"),
     )
 
 

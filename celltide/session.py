@@ -60,6 +60,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that no retry can ask for any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_names(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern; none where the folder is not there yet."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return [f.getPath().toString() for f in found or []]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; never reused, so a rerun cannot see old files."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
@@ -69,11 +82,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def drop_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
     """Remove intermediate tables of this process: all, for the end, when all results are read; or some."""
-    jvm = spark._jvm
     for made in list(_made) if paths is None else [p for p in paths if p in _made]:
         _made.remove(made)
-        path = jvm.org.apache.hadoop.fs.Path(made)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_path(spark, made)
 
 
 def scratch_paths() -> list[str]:

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from celltide.operators.history import recent_points
 from celltide.operators.rules import Thresholds, apply_rules, with_history
 from celltide.schemas import MARKS
+from celltide.session import drop_path
 
 KEYS = ["cell_id", "band"]
 VALUES = ["ues_usage", "throughput_mbps"]
@@ -51,12 +52,6 @@ def tail(points: DataFrame, n=3) -> DataFrame:
     ).drop("nth")
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder that no retry can ask for any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
