@@ -114,13 +114,44 @@ def chunk_at_separators(
     )
 
 
+def _places(text: str, pieces: list[str]) -> list[int]:
+    """A place for each piece, rising, with only white space between the end of one and the start of the next,
+
+    so that the last one ends where the text does; none if there is no such way. Repeated passages leave several
+    places for a piece: all that some way leads to are followed, each with the place before it.
+    """
+    def gap(a, b):
+        return b <= a or not text[a:b].strip()
+
+    ways, ends = [], {-1: 0}
+    for piece in pieces:
+        found, at = {}, text.find(piece, min(ends) + 1)
+        high = max(ends.values())
+        while at >= 0 and gap(high, at):
+            before = next((s for s in sorted(ends, reverse=True) if s < at and gap(ends[s], at)), None)
+            if before is not None:
+                found[at] = before
+            at = text.find(piece, at + 1)
+        if not found:
+            return []
+        ways.append(found)
+        ends = {p: p + len(piece) for p in found}
+    last = next((p for p in sorted(ends, reverse=True) if not text[ends[p]:].strip()), None)
+    out = []
+    for found in reversed(ways):
+        if last is None:
+            return []
+        out.append(last)
+        last = found[last]
+    return out[::-1]
+
+
 def chunk_places(df: DataFrame, chunks: DataFrame, text="text", key="doc_id") -> DataFrame:
     """(key, chunk_no, start, stop, fresh) of the chunks of each text, in code points, from 0.
 
-    A chunk lies at the first place, after the start of the one before it, where the text holds it with only
-    white space between the end of the one before and its own start; chunks may overlap. `fresh` is what the
-    chunk adds to those before it, without white space. A chunk that lies nowhere so has no place, and what it
-    adds is its whole text, so a missing or swapped chunk shows in the text put together again. Chunks of one
+    Chunks lie in rising places of the text and may overlap; only white space lies between the end of one and
+    the start of the next. `fresh` is what a chunk adds to those before it, without white space. Where chunks do
+    not lie so, they have no places and add their whole texts, so a missing or swapped chunk shows. Chunks of one
     text meet in one row of Spark's: they are no more than the text and its overlaps.
     """
     kind = df.schema[key].dataType
@@ -133,15 +164,12 @@ def chunk_places(df: DataFrame, chunks: DataFrame, text="text", key="doc_id") ->
         for batch in batches:
             told = {"row": [], "no": [], "start": [], "stop": [], "fresh": []}
             for i, (t, numbers, pieces) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
-                last, end = -1, 0
-                for no, piece in zip(numbers, pieces):
-                    at = t.find(piece, last + 1)
-                    sound = at >= 0 and (at <= end or not t[end:at].strip())
-                    fresh = t[max(at, end): at + len(piece)] if sound else piece
-                    if sound:
-                        last, end = at, max(end, at + len(piece))
-                    for name, value in zip(told, (i, no, at if sound else None, at + len(piece) if sound else None,
-                                                  "".join(fresh.split()))):
+                end, places = 0, _places(t, pieces)
+                for no, piece, at in zip(numbers, pieces, places or [None] * len(pieces)):
+                    stop = None if at is None else at + len(piece)
+                    fresh = piece if at is None else t[max(at, end): stop]
+                    end = max(end, stop or 0)
+                    for name, value in zip(told, (i, no, at, stop, "".join(fresh.split()))):
                         told[name].append(value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(told["row"], pa.int64())), pa.array(told["no"], pa.int32()),
