@@ -32,6 +32,7 @@ from celltide.sources.topology import explode_cells
 from celltide.streaming.detect import current, detect_stream, detect_with_tail
 from celltide.streaming.ingest import ingest
 from celltide.streaming.kept import ANOMALIES, CALLS, KeptRollup
+from celltide.streaming.versions import EventTable
 
 QUERIES = {}
 
@@ -937,6 +938,42 @@ def resolve_range(spark, sf):
     )
 
 
+@query
+def resolve_all(spark, sf):
+    """Every cell is resolved as of a time; what is newer stays open."""
+    events = v.event_store(spark, sf)
+    rows, _ = eventstore.resolve_all(events, v.as_of())
+    return eventstore.with_active(events, rows).select("id", "cell_id", "active")
+
+
+def _folded(spark, sf):
+    """Events and resolutions in four mixed batches; ranges are folded between them, and the last batch is not."""
+    table = EventTable(spark, scratch_path(spark, "event-table"), span=20)
+    events, resolutions = v.event_store(spark, sf), v.resolutions(spark, sf)
+    second = F.unix_timestamp("resolved_at") % 4
+    for batch in range(4):
+        table.append(batch, events.where(F.col("id") % 4 == (batch * 3 + 1) % 4),
+                     resolutions.where(second == batch))
+        if batch == 0:
+            table.fold(0, 59)
+        if batch == 2:
+            table.fold()
+            table.vacuum()
+    return table
+
+
+@query
+def folded_events(spark, sf):
+    return _folded(spark, sf).events().select("id", "cell_id", "active")
+
+
+@query
+def folded_open(spark, sf):
+    return _folded(spark, sf).active_events().select(
+        "id", "cell_id", micros("creation_date", "created_ts"), "event", "data"
+    )
+
+
 @query
 def resolved_count(spark, sf):
     _, closed = eventstore.resolve_range(v.event_store(spark, sf), 30, 39, v.as_of())
