@@ -14,6 +14,7 @@ from celltide.operators import clean, eventstore, features, forecast, matching,
 from celltide.operators import logparse, retrieval, rollups, rules, sequences, topology
 from celltide.operators.history import prior_n, with_prior_means
 from celltide.plans import views as v
+from celltide.plans.exchange import EXCHANGED, loose_archive, quoted_archive
 from celltide.schemas import KPI_COLUMNS
 from celltide.session import materialize, scratch_path
 from celltide.sinks.files import text_columns, write_archive
@@ -1088,3 +1089,18 @@ RENAMED = {
     "haversine_rows": "haversine",
 }
 QUERIES = {RENAMED.get(k, k): fn for k, fn in QUERIES.items()}
+
+
+# Files written and read again
+
+QUERIES.update(EXCHANGED)
+
+
+@query
+def archive_quotes(spark, sf):
+    return _readings(quoted_archive(spark, sf))
+
+
+@query
+def archive_headers(spark, sf):
+    return _readings(loose_archive(spark, sf))
