@@ -12,9 +12,9 @@ by Spark jobs that give the very same links without ever forming all its pairs:
   place afterwards is bounded: two open cells share no band or are linked already.
 * Then by distance, in rings of doubling width. Inside a ring only open cells meet, in cubes as
   wide as the ring. Earlier rings have closed all but a bounded number of cells per cube, so the
-  pairs of a ring grow with the open cells, not with their square. A link that is among the best
-  of both its ends, as many as each still wants, is granted at once; that repeats until the ring
-  is empty.
+  pairs of a ring grow with the open cells, not with their square. Cubes settle the links they can
+  be sure of, each in one task, and links across cubes are granted when both sides are sure; that
+  repeats until the ring is empty.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from celltide.functions.geo import EARTH_RADIUS_KM, haversine
 from celltide.session import materialize
 
-MOST_BANDS = 30  # sets of bands are kept in 32-bit numbers
+MOST_BANDS = 62  # sets of bands are kept in 64-bit numbers
 MAX_GROUP = 2_000  # cells of a city that one task may match: two million pairs
 MAX_CUBE = 256  # open cells a cube of the first ring may hold
 PLACE_CHUNK = 20_000  # lowest ids per band set that one task serves at a time
@@ -46,7 +46,7 @@ def _mask(bands: Column, names) -> Column:
         F.when(F.array_contains(bands, n), F.lit(1 << i)).otherwise(F.lit(0))
         for i, n in enumerate(names)
     ]
-    return reduce(lambda x, y: x + y, bits).cast("int")
+    return reduce(lambda x, y: x + y, bits).cast("bigint")
 
 
 def _names(cells: DataFrame, bands) -> list[str]:
@@ -71,7 +71,7 @@ def _prepare(cells: DataFrame, wanted: str, names) -> DataFrame:
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x.astype(np.uint32)).astype(np.int32)
+    return np.bitwise_count(x.astype(np.uint64)).astype(np.int32)
 
 
 def _km(lat1, lon1, lat2, lon2) -> np.ndarray:
@@ -130,7 +130,7 @@ def match_neighbours(
         return ready.groupBy("city").applyInPandas(_match_city, LINK)
     small = ready.join(large, "city", "left_anti").groupBy("city").applyInPandas(_match_city, LINK)
     opened = materialize(ready.join(large, "city", "left_semi"), "open-cells")
-    return small.unionByName(_match_large(opened, len(bands), max_cube, chunk))
+    return small.unionByName(_match_large(opened, max_cube, chunk))
 
 
 def nearest_links(
@@ -272,9 +272,10 @@ def _close(opened: DataFrame, links: DataFrame) -> DataFrame:
     ).where("open > 0").select(opened.columns)
 
 
-def _match_large(opened: DataFrame, bands: int, max_cube: int, chunk: int) -> DataFrame:
+def _match_large(opened: DataFrame, max_cube: int, chunk: int) -> DataFrame:
     granted = []
-    for shared in range(bands, 0, -1):
+    most = opened.agg(F.max(F.bit_count("mask"))).first()[0] or 0
+    for shared in range(most, 0, -1):
         opened, found = _match_places(opened, shared, chunk)
         granted += found
     width, widest = _first_ring(opened, max_cube)
@@ -390,9 +391,9 @@ def _match_places(opened: DataFrame, shared: int, chunk: int):
         )
 
 
-def _cube(width) -> list[Column]:
+def _cube(width, lat="lat", lon="lon") -> list[Column]:
     """Cube of a cell in space: straight lines are never longer than arcs, at poles or elsewhere."""
-    lat, lon = F.radians("lat"), F.radians("lon")
+    lat, lon = F.radians(lat), F.radians(lon)
     axes = [F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)]
     return [F.floor(a * EARTH_RADIUS_KM / width) for a in axes]
 
@@ -420,7 +421,14 @@ def _first_ring(opened: DataFrame, max_cube: int):
 
 
 def _match_ring(opened: DataFrame, inner: float, outer: float):
-    """Grant every link with inner < distance <= outer: (open cells, link tables)."""
+    """Grant every link with inner < distance <= outer: (open cells, link tables).
+
+    The pairs of a ring go to the blocks of both their ends, cubes as wide as the ring. Each block settles what it
+    can see through (`_vote`), a chain of links that wait for each other in one go; pairs across blocks are granted
+    when both sides say so. Rounds are as many as the blocks that a chain runs through.
+    """
+    ends = [F.xxhash64("city", *_cube(F.lit(outer), lat, lon)).alias(n)
+            for lat, lon, n in (("lat", "lon", "block_a"), ("lat_b", "lon_b", "block_b"))]
     pairs = (
         _around(opened, opened, outer)
         .where(F.col("id") < F.col("id_b"))
@@ -428,29 +436,58 @@ def _match_ring(opened: DataFrame, inner: float, outer: float):
         .where("shared > 0")
         .where((F.col("distance_km") > inner) & (F.col("distance_km") <= outer))
         .select("city", F.col("id").alias("a"), F.col("id_b").alias("b"), "distance_km",
-                F.col("shared").cast("int").alias("shared"))
+                F.col("shared").cast("int").alias("shared"), *ends)
     )
-    live, granted = materialize(pairs, "ring-pairs"), []
+    live, granted = materialize(_with_room(pairs, opened), "ring-pairs"), []
     while live.head(1):
-        want = opened.select(F.col("id").alias("end"), "open")
-        ends = live.withColumn("end", F.explode(F.array("a", "b")))
-        best = Window.partitionBy("end").orderBy("distance_km", F.desc("shared"), "a", "b")
-        chosen = (
-            ends.withColumn("nth", F.row_number().over(best))
-            .join(want, "end").where(F.col("nth") <= F.col("open"))
-        )
-        both = chosen.groupBy("city", "a", "b", "distance_km", "shared").agg(
-            F.count("*").alias("n")
-        ).where("n = 2").drop("n")
-        links = materialize(both, "ring-links")
+        seen = live.withColumn("block", F.explode(F.array_distinct(F.array("block_a", "block_b"))))
+        votes = seen.groupBy("block").applyInPandas(_vote, f"{LINK}, votes INT")
+        both = votes.groupBy("city", "a", "b", "distance_km", "shared").agg(F.sum("votes").alias("n"))
+        links = materialize(both.where("n = 2").drop("n"), "ring-links")
         granted.append(links)
         opened = materialize(_close(opened, links), "open-cells")
-        still = opened.select("id")
-        live = materialize(
-            live.join(links.select("a", "b"), ["a", "b"], "left_anti")
-            .join(still.withColumnRenamed("id", "a"), "a", "left_semi")
-            .join(still.withColumnRenamed("id", "b"), "b", "left_semi")
-            .select("city", "a", "b", "distance_km", "shared"),
-            "ring-pairs",
-        )
+        waiting = live.drop("open_a", "open_b").join(links.select("a", "b"), ["a", "b"], "left_anti")
+        live = materialize(_with_room(waiting.select(pairs.columns), opened), "ring-pairs")
     return opened, granted
+
+
+def _with_room(pairs: DataFrame, opened: DataFrame) -> DataFrame:
+    """Pairs of open cells, with the links that both ends still want."""
+    for end in ("a", "b"):
+        pairs = pairs.join(opened.select(F.col("id").alias(end), F.col("open").alias(f"open_{end}")), end)
+    return pairs
+
+
+def _vote(group: pd.DataFrame) -> pd.DataFrame:
+    """The links that one block can be sure of: two votes for a link inside, one for a link across.
+
+    Links are looked at in their order. One that is not settled may still be granted, so a slot of its ends inside is
+    kept for it. A later link is sure where a slot is left beyond those; it is out where an end has all its links.
+    """
+    first, second = group["a"].to_numpy(), group["b"].to_numpy()
+    km, shared = group["distance_km"].to_numpy(), group["shared"].to_numpy()
+    cells, ends = np.unique(np.concatenate([first, second]), return_inverse=True)
+    room = np.zeros(len(cells), dtype=np.int64)
+    room[ends] = np.concatenate([group["open_a"], group["open_b"]])
+    block = group["block"].iloc[0]
+    here = [(group[c] == block).to_numpy().tolist() for c in ("block_a", "block_b")]
+    left, kept = room.tolist(), [0] * len(cells)
+    at = ends[:len(group)].tolist(), ends[len(group):].tolist()
+    sure, votes = [], []
+    for e in np.lexsort((second, first, -shared, km)).tolist():
+        inside = [side[e] for side, mine in zip(at, here) if mine[e]]
+        if not all(left[i] for i in inside):
+            continue
+        fits = all(left[i] > kept[i] for i in inside)
+        if fits:
+            sure.append(e)
+            votes.append(len(inside))
+        for i in inside:
+            if fits and len(inside) == 2:
+                left[i] -= 1
+            else:
+                kept[i] += 1
+    return pd.DataFrame({
+        "city": group["city"].to_numpy()[sure], "a": first[sure], "b": second[sure], "distance_km": km[sure],
+        "shared": shared[sure], "votes": np.array(votes, dtype="int32"),
+    })

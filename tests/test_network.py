@@ -63,6 +63,33 @@ def test_links_of_large_cities_are_the_same(spark, n, crowded, chunk):
     assert sorted((r.a, r.b) for r in links.collect()) == brute_links(cells)
 
 
+def test_a_chain_of_waiting_links_takes_few_rounds(spark, monkeypatch):
+    """Equal steps on a line: each link waits for the one before it."""
+    cells = [(i, "A", 33.0, -97.0 + i / 1000, ["Band 29"], 1 + (i % 7 == 0)) for i in range(1000)]
+    rounds, write = [], matching.materialize
+
+    def counted(df, name):
+        rounds.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(matching, "materialize", counted)
+    df = spark.createDataFrame(cells, CELLS)
+    links = matching.match_neighbours(df, max_group=0)
+    got = {(r.a, r.b) for r in links.collect()}
+    assert rounds.count("ring-links") <= 20
+    want = {(r.a, r.b) for r in matching.match_neighbours(df).collect()}
+    assert got == want
+
+
+def test_many_bands(spark):
+    cells = [(i, "A", 33.0 + i / 1000, -97.0, [f"own {i}", f"own {(i + 1) % 50}"], 2) for i in range(50)]
+    df = spark.createDataFrame(cells, CELLS)
+    want = brute_links(cells)
+    for size in (2000, 0):
+        links = matching.match_neighbours(df, max_group=size, max_cube=8)
+        assert sorted((r.a, r.b) for r in links.collect()) == want
+
+
 def test_links_are_symmetric_and_within_degree(spark):
     cells = views.cells(spark, SMALL)
     table = matching.adjacency(matching.match_neighbours(cells), cells)
