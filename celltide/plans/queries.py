@@ -692,6 +692,20 @@ def neighbour_links(spark, sf):
     return links.select("city", "a", "b", r("distance_km", 6), "shared")
 
 
+@query
+def links_by_rings(spark, sf):
+    """Every city matched as the largest ones are."""
+    links = matching.match_neighbours(v.cells(spark, sf), max_group=0)
+    return links.select("city", "a", "b", r("distance_km", 6), "shared")
+
+
+@query
+def nearest_by_rings(spark, sf):
+    return matching.nearest_links(v.cells(spark, sf), max_group=0).withColumn(
+        "distance_km", F.round("distance_km", 6)
+    )
+
+
 @query
 def adjacency(spark, sf):
     cells = v.cells(spark, sf)
