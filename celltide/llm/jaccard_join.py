@@ -340,8 +340,10 @@ class JaccardJoin:
             .where("low <> high").select("token"), "shared")
         bits = self.spark.sparkContext.broadcast(filter_bits(shared, "token", FILTER))
         again = self.docs.mapInArrow(_rarest(self.words, self.level, least, self.percent, bits), schema)
-        lists = again.groupBy("token", "set_id").agg(*[F.first(c).alias(c) for c in ("n", "place")])
-        return materialize(lists.join(shared, "token"), "lists")
+        # The filter lets others through; they go before copies of a set are put together.
+        lists = again.join(shared, "token").groupBy("token", "set_id").agg(
+            *[F.first(c).alias(c) for c in ("n", "place")])
+        return materialize(lists, "lists")
 
     def _possible(self, a, b):
         """Sizes and places that a link can have; at least one of the two is heavy."""
