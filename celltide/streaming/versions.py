@@ -1,6 +1,6 @@
 """The event table at size: appended batches of events and resolutions, folded range by range into versions.
 
-Events and resolutions are only ever appended, one folder for each batch, cut into ranges of `span` cell ids:
+Events and resolutions are only ever appended, one folder for each batch, cut by ranges of `span` cell ids:
 
     events/batch_id=…/range=…                  events as they came
     resolutions/batch_id=…/range=…             (cell_id, resolved_at) as they came
@@ -16,13 +16,15 @@ manifest goes on with the files it names until `vacuum` removes them.
 A resolution closes every event of its cell that is not newer than it, whenever either arrives. A closed event stays
 closed, so its state can be stored; the newest resolution is kept for events that arrive later.
 
-One process writes at a time. A batch replaces only its own folders and a fold only those of its version, and the
+A table laid out for another number of folders, or for none, has to be appended anew. One process writes at a time. A batch replaces only its own folders and a fold only those of its version, and the
 manifest is written last: both can run again after a failure. A batch that has been folded may come again only with
 the same rows. Batches are numbered in any order that rises. Events without a cell are never closed by a resolution;
 they form the range `none`. A table without batches reads as empty.
 
-The manifest holds one row for each range, so it grows with the span of cell ids and not with events; choose `span`
-for some thousands of ranges. A range is folded by Spark in as many tasks as its rows need, hot cells included.
+Ranges are dealt to `FOLDERS` folders in turn, and a folder is what is folded, so files, manifest and the driver's
+work stay the same however many cells there are. Ranges that share a folder are folded together. A batch is sorted
+out by folder before it is written, not by every task into every folder. A folder is written and folded by Spark in
+as many tasks as its rows need, hot cells included.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ from celltide.session import drop_path, path_names
 RESOLUTION_SCHEMA = "cell_id BIGINT, resolved_at TIMESTAMP"
 MANIFEST = "range STRING, held BIGINT, upto BIGINT"
 NO_RANGE = "none"
+FOLDERS = 64  # ranges are dealt to so many folders; all writers of a table use the same number
 EVENTS = ("id", "cell_id", "creation_date", "event", "data", "active")
 RESOLUTIONS = ("cell_id", "resolved_at")
 
@@ -76,12 +79,13 @@ class EventTable:
         """Store a batch of events, of resolutions, or of both."""
         for rows, part, columns in ((events, "events", EVENTS), (resolutions, "resolutions", RESOLUTIONS)):
             if rows is not None:
-                self._ranged(rows.select(*columns)).write.mode("overwrite").partitionBy("range").parquet(
+                ranged = self._ranged(rows.select(*columns)).hint("rebalance", "range")
+                ranged.write.mode("overwrite").partitionBy("range").parquet(
                     f"{self.folder}/{part}/batch_id={batch_id}"
                 )
 
     def _ranged(self, rows: DataFrame) -> DataFrame:
-        of_cell = F.floor(F.col("cell_id") / self.span).cast("string")
+        of_cell = F.pmod(F.floor(F.col("cell_id") / self.span), F.lit(FOLDERS)).cast("string")
         return rows.withColumn("range", F.coalesce(of_cell, F.lit(NO_RANGE)))
 
     def _read(self, part: str, schema: str, cut: str) -> DataFrame:
@@ -170,8 +174,10 @@ class EventTable:
             return True
         if name == NO_RANGE:
             return False
-        first = int(name) * self.span
-        return (low is None or first + self.span > low) and (high is None or first <= high)
+        if low is None or high is None:
+            return True  # a half of all ids has ranges in every folder
+        first, last = low // self.span, high // self.span
+        return first <= last and (int(name) - first) % FOLDERS <= last - first
 
     def vacuum(self, keep=1) -> int:
         """Remove the files that none of the `keep` newest manifests needs; how many folders went."""

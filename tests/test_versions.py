@@ -128,3 +128,19 @@ def test_a_hot_cell_is_folded_by_several_tasks(spark):
     assert table.events().count() == 20_000
     hot = [f for f in table._stored(table.manifest()).inputFiles() if "range=0/" in f]
     assert len(hot) > 1
+
+
+def test_files_do_not_grow_with_the_number_of_ranges(spark):
+    table = EventTable(spark, scratch_path(spark, "versions"), span=1)
+    wide = spark.range(2_000, numPartitions=4).selectExpr(
+        "id", "id % 1000 cell_id", "timestamp_seconds(id) creation_date", "'e' event", "string(null) data",
+        "int(id % 3 > 0) active")
+    closed = spark.range(0, 1_000, 7).selectExpr("id cell_id", "timestamp_seconds(id + 500) resolved_at")
+    table.append(0, wide, closed)
+    assert len(table._stored(table.manifest()).inputFiles()) <= 64
+    before = rows(with_active(wide, closed), "id", "cell_id", "active")
+    assert got(table.events()) == before
+    low = table.fold(990, 999)
+    assert 0 < len(low.ranges) <= 10 and got(table.events()) == before
+    assert len(table.fold().ranges) <= 64 and got(table.events()) == before
+    assert table.vacuum() <= 2 * 64 * 3 and got(table.events()) == before
