@@ -155,7 +155,7 @@ def _log(spark, sf):
     """The lines as a log of four partitions, one with five eighths of them; places start anywhere and have gaps."""
     e = F.col("event_id")
     part = F.element_at(F.array(*map(F.lit, (0, 0, 0, 0, 0, 1, 2, 3))), (e % 8 + 1).cast("int"))
-    lines = v.payloads(spark, sf)
+    lines = v.payloads_of(v.spread(spark, sf, "events", "event_id"))
     return TableLog(lines.select("event_id", "value", part.alias("partition"), (e * 3 + 50).alias("offset")))
 
 

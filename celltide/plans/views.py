@@ -72,6 +72,11 @@ def kpi(spark, sf_dir) -> DataFrame:
     return kpi_of(table(spark, sf_dir, "events"))
 
 
+def spread(spark, sf_dir, name: str, key: str) -> DataFrame:
+    """The same table dealt to all tasks by a key; as it lies, one row group is one task's."""
+    return table(spark, sf_dir, name).repartition(key)
+
+
 def cells(spark, sf_dir) -> DataFrame:
     k = F.col("c_custkey")
     nation = F.col("c_nationkey").cast("bigint")
@@ -230,12 +235,16 @@ def kpi_text(spark, sf_dir) -> DataFrame:
 
 
 def payloads(spark, sf_dir) -> DataFrame:
+    return payloads_of(table(spark, sf_dir, "events"))
+
+
+def payloads_of(events: DataFrame) -> DataFrame:
     """One message per reading: its line as bytes between blank lines.
 
     Every tenth line lacks its last field, and every tenth has one too many.
     """
     e = F.col("event_id")
-    lines = encode_kpi_lines(kpi(spark, sf_dir), ("event_id",))
+    lines = encode_kpi_lines(kpi_of(events), ("event_id",))
     short = F.regexp_replace("value", ',"[^"]*"$', "")
     line = F.when(e % 10 == 0, short).when(
         e % 10 == 5, F.concat("value", F.lit(',"more"'))

@@ -105,3 +105,22 @@ def test_places_of_chunks_show_what_is_lost_or_swapped(spark):
     assert signs("one two", "five") != whole  # one is missing
     assert signs("three four", "one two", "five") != whole  # swapped
     assert chunk_places(docs, spark.createDataFrame([], "doc_id BIGINT, chunk_no INT, chunk_text STRING")).count() == 0
+
+
+def test_a_table_in_one_row_group_is_read_by_several_tasks(spark, tmp_path):
+    """The runs' lines are made and parsed by all tasks, however the table lies."""
+    from celltide.plans import queries as q
+
+    one = spark.range(6_000, numPartitions=1).selectExpr(
+        "id event_id", "timestamp_seconds(id) ts", "id % 40 user_id", "'view' event_type", "double(id) value", "uuid() props")
+    one.write.parquet(f"{tmp_path}/events.parquet")
+    size = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(size, "10000")
+    try:
+        log = q._log(spark, str(tmp_path))
+        run = Run(0, {p: 0 for p in range(4)}, {p: 30_000 for p in range(4)})
+        told = log.read(run).selectExpr("spark_partition_id() p", "event_id").collect()
+    finally:
+        spark.conf.unset(size)
+    assert sorted(r.event_id for r in told) == [r.id for r in spark.range(6_000).collect() if r.id * 3 + 50 < 30_000]
+    assert len({r.p for r in told}) > 1
