@@ -133,7 +133,11 @@ def feature_columns(top_n=10, leaky=False, wide=False) -> list[str]:
 
 def split(df: DataFrame, test=0.2, keys=tuple(GROUP_KEYS), seed=42) -> tuple[DataFrame, DataFrame]:
     """Train and test parts by a hash of the keys: the same rows whatever the partitioning."""
-    marked = with_part(df, test, keys, seed)
+    return parts(with_part(df, test, keys, seed))
+
+
+def parts(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The train and test rows of a table of `with_part`."""
     return (
         marked.where("part = 'train'").drop("part"),
         marked.where("part = 'test'").drop("part"),

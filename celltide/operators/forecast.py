@@ -24,6 +24,7 @@ from celltide.operators.features import (
     temporal_features,
 )
 
+# Forests keep the node that each row has come to; otherwise every level walks all trees from their roots again.
 TREES = 100
 SEED = 42
 BUSY_THRESHOLD = 80.0  # fixed value: user count a busy cell is compared with
@@ -48,7 +49,8 @@ def train_regressor(
 ) -> PipelineModel:
     """Forest for the user count."""
     forest = RandomForestRegressor(
-        labelCol="ues_usage", featuresCol="features", numTrees=trees, seed=seed, maxDepth=depth
+        labelCol="ues_usage", featuresCol="features", numTrees=trees, seed=seed, maxDepth=depth,
+        cacheNodeIds=True,
     )
     columns = feature_columns(top_n, leaky, wide)
     return Pipeline(stages=[_assembler(columns), forest]).fit(_numeric(df))
@@ -60,7 +62,7 @@ def train_classifier(
     """Forest for the traffic class; the user count is one of its features."""
     forest = RandomForestClassifier(
         labelCol="traffic_class", featuresCol="features", numTrees=trees, seed=seed,
-        maxDepth=depth,
+        maxDepth=depth, cacheNodeIds=True,
     )
     columns = feature_columns(top_n, True, wide)
     return without_summary(Pipeline(stages=[_assembler(columns), forest]).fit(_numeric(df)))

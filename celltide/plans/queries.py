@@ -321,8 +321,9 @@ def split_counts(spark, sf):
 
 
 def _parts(spark, sf):
-    """Train and test parts of a stored table: training goes over it many times."""
-    return features.split(materialize(features.traffic_features(v.kpi(spark, sf)), "traffic"))
+    """Train and test parts of a stored table: training goes over it many times, so rows are stored with their part."""
+    marked = features.with_part(features.traffic_features(v.kpi(spark, sf)))
+    return features.parts(materialize(marked, "traffic"))
 
 
 def _ends(train):
