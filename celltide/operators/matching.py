@@ -151,7 +151,9 @@ def nearest_links(
     small = ready.join(large, "city", "left_anti").groupBy("city").applyInPandas(
         _nearest_in_city(k), NEAREST
     )
-    seekers = materialize(ready.join(large, "city", "left_semi").drop("open"), "seekers")
+    # Dealt to all tasks: each ranks its seekers' candidates, and cells may come in one row group.
+    seekers = ready.join(large, "city", "left_semi").drop("open").repartition("id")
+    seekers = materialize(seekers, "seekers")
     return small.unionByName(_nearest_large(seekers, k, max_cube))
 
 
