@@ -4,11 +4,11 @@ Markup is read into lines, one for each block of text, in one pass over the whol
 hold no main text by their kind or by what they are called (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, comments) are left out.
 
-Where a page says which part is its article (`article`, `main`), that part's lines are the main text,
-all of them: two pages of a host may have a paragraph in common, and it belongs to both articles.
-On the other pages, main text is found by nearest-URL page differencing: pages are put in the order of
-host and URL path, each is paired with the one before or after it that has more of the path in common,
-their lines are aligned by a longest common subsequence, and the lines they share are deleted.
+Main text is found by nearest-URL page differencing: pages are put in the order of host and URL path, each
+is paired with the one before or after it that has more of the path in common, their lines are aligned by a
+longest common subsequence, and the lines they share are deleted. A check against the marks follows: where a
+page says which part is its article (`article`, `main`), shared lines of that part are put back, as two pages
+of a host may have a paragraph in common that belongs to both articles, and lines outside it go.
 
 Copies of one page (one host and path, the same lines, other query strings) are one page in that order, so
 none is compared with another; each has the text that the page has.
@@ -57,7 +57,8 @@ HEAD = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 REST = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-PARSED = "uid BIGINT, page_id BIGINT, url STRING, host STRING, path STRING, text STRING, lines ARRAY<STRING>, keys ARRAY<BIGINT>"
+PARSED = ("uid BIGINT, page_id BIGINT, url STRING, host STRING, path STRING, marked BOOLEAN, lines ARRAY<STRING>, "
+          "inside ARRAY<BOOLEAN>, keys ARRAY<BIGINT>")
 
 
 def _left_out(name, attributes, inside):
@@ -167,7 +168,7 @@ def _hash(line):
 def _parsed(batches):
     part, seen = TaskContext.get().partitionId(), 0
     for batch in batches:
-        out = [[] for _ in range(8)]
+        out = [[] for _ in range(9)]
         for page, url, html in zip(*(c.to_pylist() for c in batch.columns[:3])):
             lines, marked = read_lines(html)
             try:
@@ -175,14 +176,14 @@ def _parsed(batches):
                 host, path = (split.netloc or "").lower(), split.path
             except ValueError:
                 host, path = "", url
-            text = " ".join(t for t, i in lines if i) if marked else None
-            rest = [] if marked else [t for t, _ in lines]
-            row = ((part << 40) + seen, page, url, host, path, text, rest, [_hash(t) for t, _ in lines])
+            row = ((part << 40) + seen, page, url, host, path, marked, [t for t, _ in lines], [i for _, i in lines],
+                   [_hash(t) for t, _ in lines])
             for column, value in zip(out, row):
                 column.append(value)
             seen += 1
-        kinds = [pa.int64(), pa.int64()] + [pa.string()] * 4 + [pa.list_(pa.string()), pa.list_(pa.int64())]
-        names = ["uid", "page_id", "url", "host", "path", "text", "lines", "keys"]
+        kinds = [pa.int64(), pa.int64()] + [pa.string()] * 3 + [
+            pa.bool_(), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.int64())]
+        names = ["uid", "page_id", "url", "host", "path", "marked", "lines", "inside", "keys"]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
 
@@ -229,41 +230,52 @@ def _numbered(batches):
         seen += n
 
 
-def main_text(pages: DataFrame, id_column="page_id", url="url", html="html") -> DataFrame:
-    """page_id, url, text, n_chars of each page."""
-    spark = pages.sparkSession
+def read_pages(pages: DataFrame, id_column="page_id", url="url", html="html") -> DataFrame:
+    """The lines of each page, whether they are in its article, and `same`, one number for the copies of a page."""
     rows = pages.select(
         F.col(id_column).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"),
         as_text(pages, html).alias("html"))
     parsed = materialize(rows.mapInArrow(_parsed, PARSED), "parsed")
+    return parsed.withColumn("same", F.xxhash64("host", F.lit("\n"), "path", F.lit("\n"), "keys"))
+
 
-    same = F.xxhash64("host", F.lit("\n"), "path", F.lit("\n"), "keys").alias("same")
-    first = materialize(parsed.select(same, "uid", F.col("text").isNull().alias("open")).groupBy("same").agg(
-        F.min("uid").alias("uid"), F.max("open").alias("open")), "first")
+def shared_lines(parsed: DataFrame) -> DataFrame:
+    """same, places: the places of the lines that each page shares with its nearest neighbour, marked or not."""
+    spark = parsed.sparkSession
+    first = materialize(parsed.groupBy("same").agg(F.min("uid").alias("uid")), "first")
     ordered = parsed.select("uid", "page_id", "host", "path", "keys").join(first, "uid")
     ordered = ordered.repartitionByRange(shuffles(spark), "host", "path", "page_id", "uid").sortWithinPartitions(
-        "host", "path", "page_id", "uid").select("same", "host", "path", "keys", "open")
+        "host", "path", "page_id", "uid").select("same", "host", "path", "keys")
     ordered = materialize(ordered.mapInArrow(
-        _numbered, "same BIGINT, host STRING, path STRING, keys ARRAY<BIGINT>, open BOOLEAN, part INT, nth BIGINT"), "ordered")
+        _numbered, "same BIGINT, host STRING, path STRING, keys ARRAY<BIGINT>, part INT, nth BIGINT"), "ordered")
     # One row for each part.
     counts = ordered.groupBy("part").agg(F.count("*").alias("n"))
     line = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("part", F.coalesce(F.sum("n").over(line), F.lit(0)).alias("before"))
-    ranked = materialize(ordered.join(before, "part").select(
-        "same", "host", "path", "keys", "open", (F.col("before") + F.col("nth")).alias("rank")), "ranked")
+    ask = ranked = materialize(ordered.join(before, "part").select(
+        "same", "host", "path", "keys", (F.col("before") + F.col("nth")).alias("rank")), "ranked")
     near = ranked.select("rank", "host", "path", "keys")
-    ask = ranked.where("open")
     for k, shift in ((0, 1), (1, -1)):
         other = near.select(
             (F.col("rank") + shift).alias("rank"), F.col("host").alias("host"), F.col("path").alias(f"p{k}"),
             F.col("keys").alias(f"k{k}"))
         ask = ask.join(other, ["rank", "host"], "left")
-    shared = ask.select("same", "path", "keys", "p0", "k0", "p1", "k1").mapInArrow(
+    return ask.select("same", "path", "keys", "p0", "k0", "p1", "k1").mapInArrow(
         _shared, "same BIGINT, places ARRAY<INT>")
-    own = F.array_join(F.filter("lines", lambda x, i: ~F.array_contains("places", i)), " ")
-    unmarked = parsed.where("text IS NULL").withColumn("same", same).join(shared, "same").select("page_id", "url", own.alias("text"))
-    marked = parsed.where("text IS NOT NULL").select("page_id", "url", "text")
-    return marked.union(unmarked).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def main_text(pages: DataFrame, id_column="page_id", url="url", html="html") -> DataFrame:
+    """page_id, url, text, n_chars of each page."""
+    parsed = read_pages(pages, id_column, url, html)
+    marked = F.col("marked")
+
+    def kept(_, i):
+        article = F.get("inside", i)
+        return (article | ~F.array_contains("places", i)) & (article | ~marked)
+
+    text = F.array_join(F.filter("lines", kept), " ").alias("text")
+    told = parsed.join(shared_lines(parsed), "same").select("page_id", "url", text)
+    return told.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,3 +101,18 @@ def test_given_pages(spark):
         article = re.search("<article>(.*?)</article>", pages[r.page_id], re.S).group(1)
         blocks = [re.sub("<[^>]*>", "", b.replace("<br>", " ")) for b in re.split("</?(?:p|h1)>", article)]
         assert r.text == " ".join(" ".join(html.unescape(b).split()) for b in blocks if b.split())
+
+
+def test_marked_pages_are_differenced_too(spark):
+    """Their shared lines are found as others' are; the marks decide after that."""
+    def page(own, said):
+        return f"<body><div>Top</div><article><p>{own}</p><p>{said}</p></article><div>End</div></body>"
+
+    rows = [(1, "http://h.org/a/1", page("one", "both")), (2, "http://h.org/a/2", page("two", "both")),
+            (3, "http://h.org/a/2?again", page("two", "both")), (4, "http://k.org/", page("alone", "both")),
+            (5, "http://m.org/", "<article></article><p>outside</p>"), (6, None, None)]
+    parsed = h.read_pages(_pages(spark, rows))
+    found = parsed.join(h.shared_lines(parsed), "same").select("page_id", "places").collect()
+    assert {r.page_id: r.places for r in found} == {1: [0, 2, 3], 2: [0, 2, 3], 3: [0, 2, 3], 4: [], 5: [], 6: []}
+    told = {r.page_id: r.text for r in h.main_text(_pages(spark, rows)).collect()}
+    assert told == {1: "one both", 2: "two both", 3: "two both", 4: "alone both", 5: "", 6: ""}
