@@ -195,13 +195,22 @@ def _recount(shared):
                     groups[p] = len(names)
                     names.append(p)
             group = np.array([groups[p] for p in pairs], np.int64)[row]
-            spoken = np.array([p[0] for p in pairs], object)
+            # Each word of the chunk takes its way once, however often it occurs.
+            coded = strings(data, start, end, apart).dictionary_encode()
+            code, size = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+            some = np.zeros(size, np.int64)
+            some[code] = np.arange(len(code))  # any one place of each word
+            pair, n = np.unique(group * size + code, return_counts=True)
+            group, code = pair // size, pair % size
             for lang, base, arrays in shards:
-                mine = np.flatnonzero((spoken == lang)[row])
-                found = walk(arrays, data, start[mine], end[mine])
-                hit = found >= 0
+                mine = np.flatnonzero(np.array([name[0] == lang for name in names], bool)[group])
+                asked = np.unique(code[mine])
+                found = np.full(size, -1, np.int64)
+                found[asked] = walk(arrays, data, start[some[asked]], end[some[asked]])
+                ordinal = found[code[mine]]
+                hit = ordinal >= 0
                 if hit.any():
-                    held.append((group[mine[hit]], found[hit] + base, np.ones(int(hit.sum()), np.int64)))
+                    held.append((group[mine[hit]], ordinal[hit] + base, n[mine[hit]]))
             if sum(len(h[0]) for h in held) > HELD:
                 held[:] = [merged()]
                 if len(held[0][0]) > HELD // 2:

@@ -91,3 +91,30 @@ def test_transducer_is_minimal_and_in_order():
 def test_held_counters_are_passed_on(spark, monkeypatch):
     monkeypatch.setattr(v, "HELD", 50)
     assert told(v.audit(table(spark))) == plain(awkward())
+
+
+def test_each_word_of_a_chunk_takes_its_way_once(spark, monkeypatch):
+    """Repeated words are walked once for their chunk and language, and counted as often as they occur."""
+    import types
+
+    import numpy as np
+    import pyarrow as pa
+
+    from celltide.llm import divergence
+
+    asked = []
+    real = divergence.walk
+    monkeypatch.setattr(divergence, "walk", lambda a, d, s, e: asked.append(len(s)) or real(a, d, s, e))
+    parts = divergence.transducer([b"ab", b"b", b"c"])
+    shards = types.SimpleNamespace(value=[(lang, 10, tuple(x.tobytes() for x in parts)) for lang in ("de", "en")])
+    batch = pa.RecordBatch.from_pydict({
+        "lang": ["de", "en", "de", "de"], "source": ["x", "x", "y", "x"],
+        "text": ["ab AB ab zz b", "b b C", "c1c2ab", "ab zz zz"]})
+    told = [r for b in divergence._recount(shards)(iter([batch])) for r in b.to_pylist()]
+    counts = {}
+    for r in told:
+        key = (r["lang"], r["source"], r["ordinal"])
+        counts[key] = counts.get(key, 0) + r["n"]
+    assert counts == {("de", "x", 10): 4, ("de", "x", 11): 1, ("en", "x", 11): 2, ("en", "x", 12): 1,
+                      ("de", "y", 10): 1, ("de", "y", 12): 2}
+    assert sum(asked) == 6 and all(isinstance(n, int) for n in asked) and np.int64(sum(counts.values())) == 11
