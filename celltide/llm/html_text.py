@@ -13,7 +13,8 @@ of a host may have a paragraph in common that belongs to both articles, and line
 Copies of one page (one host and path, the same lines, other query strings) are one page in that order, so
 none is compared with another; each has the text that the page has.
 
-Pages are sorted by range over all tasks, so a host of any size is spread; neighbours meet by rank.
+Pages are sorted by range over all tasks, so a host of any size is spread; neighbours meet by rank. Only hashes of
+lines and places move for that: the lines are stored once, in buckets, and the places come to them.
 
 Defined cases: a null page is empty and has an empty text; a null or odd URL is a host of its own kind
 (the empty one); a page alone on its host has no neighbour and loses nothing by differencing; a page of
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from celltide.llm.frames import as_text, load, materialize, shuffles
+from celltide.llm.frames import as_text, bucketed, load, materialize, shuffles
 
 RAW = {"script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "noscript", "template"}
 VOID = {
@@ -57,6 +58,7 @@ HEAD = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 REST = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+BLOCK = 1024  # rows of one task, whose places meet them as one row; a power of two, as no block has rows of two tasks
 PARSED = ("uid BIGINT, page_id BIGINT, url STRING, host STRING, path STRING, marked BOOLEAN, lines ARRAY<STRING>, "
           "inside ARRAY<BOOLEAN>, keys ARRAY<BIGINT>")
 
@@ -235,8 +237,8 @@ def read_pages(pages: DataFrame, id_column="page_id", url="url", html="html") ->
     rows = pages.select(
         F.col(id_column).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"),
         as_text(pages, html).alias("html"))
-    parsed = materialize(rows.mapInArrow(_parsed, PARSED), "parsed")
-    return parsed.withColumn("same", F.xxhash64("host", F.lit("\n"), "path", F.lit("\n"), "keys"))
+    parsed = rows.mapInArrow(_parsed, PARSED).withColumn("block", F.expr(f"uid div {BLOCK}"))
+    return bucketed(parsed, "block", "parsed").withColumn("same", F.xxhash64("host", F.lit("\n"), "path", F.lit("\n"), "keys"))
 
 
 def shared_lines(parsed: DataFrame) -> DataFrame:
@@ -264,6 +266,18 @@ def shared_lines(parsed: DataFrame) -> DataFrame:
         _shared, "same BIGINT, places ARRAY<INT>")
 
 
+def with_places(parsed: DataFrame, shared: DataFrame) -> DataFrame:
+    """The pages with `places`, those of their lines that are shared.
+
+    The lines stay where they were stored, in buckets of blocks. Only places move: one row for each block, with the
+    places of its rows in their order; the rows of a block are numbered without gaps.
+    """
+    each = parsed.select("uid", "block", "same").join(shared, "same").groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("uid", "places"))).alias("each"))
+    own = F.get("each", (F.col("uid") % BLOCK).cast("int"))["places"]
+    return parsed.join(each.hint("shuffle_hash"), "block").withColumn("places", own).drop("each")
+
+
 def main_text(pages: DataFrame, id_column="page_id", url="url", html="html") -> DataFrame:
     """page_id, url, text, n_chars of each page."""
     parsed = read_pages(pages, id_column, url, html)
@@ -274,7 +288,7 @@ def main_text(pages: DataFrame, id_column="page_id", url="url", html="html") ->
         return (article | ~F.array_contains("places", i)) & (article | ~marked)
 
     text = F.array_join(F.filter("lines", kept), " ").alias("text")
-    told = parsed.join(shared_lines(parsed), "same").select("page_id", "url", text)
+    told = with_places(parsed, shared_lines(parsed)).select("page_id", "url", text)
     return told.withColumn("n_chars", F.length("text").cast("bigint"))
 
 

@@ -116,3 +116,37 @@ def test_marked_pages_are_differenced_too(spark):
     assert {r.page_id: r.places for r in found} == {1: [0, 2, 3], 2: [0, 2, 3], 3: [0, 2, 3], 4: [], 5: [], 6: []}
     told = {r.page_id: r.text for r in h.main_text(_pages(spark, rows)).collect()}
     assert told == {1: "one both", 2: "two both", 3: "two both", 4: "alone both", 5: "", 6: ""}
+
+
+def _nodes(plan):
+    """All nodes of a physical plan, those of adaptive stages too."""
+    yield plan
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        yield from _nodes(plan.initialPlan())
+    below = plan.children()
+    for i in range(below.size()):
+        yield from _nodes(below.apply(i))
+
+
+def test_lines_are_stored_once_and_not_shuffled(spark):
+    """Places come to the lines; the lines of a page are in no exchange."""
+    told = h.main_text(_pages(spark, [(1, "http://h.org/a", "<p>one"), (2, "http://h.org/b", "<p>one<p>two")]))
+    nodes = list(_nodes(told._jdf.queryExecution().executedPlan()))
+    moved = [n.output().mkString(" ") for n in nodes if n.nodeName() == "Exchange"]
+    assert moved and not any("lines#" in columns or "html#" in columns for columns in moved)
+    assert {r.page_id: r.text for r in told.collect()} == {1: "", 2: "two"}
+
+
+def test_places_meet_their_rows_in_blocks_of_any_size(spark, monkeypatch):
+    def page(i):
+        return f"<body><div>Top</div><div>own {i}</div>" + "<p>more" * (i % 3) + "<div>End</div></body>"
+
+    rows = [(i, f"http://h.org/{i % 7}/{i}", page(i)) for i in range(40)] + [(3, "http://h.org/3/3", page(3)), (None, None, None)]
+    expected = None
+    for size in (1, 4, 1024):
+        monkeypatch.setattr(h, "BLOCK", size)
+        pages = _pages(spark, rows).repartition(3, "page_id")
+        got = sorted(map(tuple, h.main_text(pages).collect()), key=str)
+        assert len(got) == len(rows) and (expected is None or got == expected)
+        assert {t for i, _, t, _ in got if i == 3} == {"own 3"}
+        expected = got
