@@ -42,11 +42,12 @@ from celltide.llm.frames import (
     packed,
     passing,
 )
-from celltide.session import drop_scratch, scratch_paths
+from celltide.session import drop_scratch, scratch_paths, small_batches
 
 WORDS, PERCENT = 5, 80
 SLOTS = 22  # 2**22 slots tell how common a shingle is (4 MB); they order the lists, no more
 WINDOW, OFTEN = 1 << 20, 3  # a task tells of shingles that this many of so many shingles in a row are
+CHUNK = 1 << 18  # bytes of text worked on at a time; the arrays made of it are many times as large
 FILTER = 24  # hash bits of the fixed-size filters (2 MB) that keep rows out of shuffles
 LIST_COST = 20  # what a row of an inverted list costs, in rows of enumerated subsets
 MOST_SUBSETS = 20_000  # no size is enumerated that takes more subsets
@@ -114,7 +115,7 @@ def _describe(size):
             return pa.record_batch({
                 "doc_id": _signed(token), "text_id": none, "set_id": none, "n": pa.array(n, pa.int64())})
 
-        for rows, data, at in textops.texts(batches):
+        for rows, data, at in textops.texts(batches, chunk=CHUNK):
             row, h = textops.shingles(data, at, size, hasher, spaces, fold)
             ids, n = textops.set_hash(row, h, len(rows))
             for lo in range(0, len(h), WINDOW):
@@ -141,7 +142,7 @@ def _subsets_of(size, most, percent, wanted):
 
     def fn(batches):
         hasher, spaces, fold = _tools()
-        for rows, data, at in textops.texts(_in_filter("text_id", None, FILTER, wanted)(batches)):
+        for rows, data, at in textops.texts(_in_filter("text_id", None, FILTER, wanted)(batches), chunk=CHUNK):
             row, h = textops.shingles(data, at, size, hasher, spaces, fold)
             ids, n = textops.set_hash(row, h, len(rows))
             ends = textops.runs(row, len(rows))
@@ -176,7 +177,7 @@ def _rarest(size, level, least, percent, wanted=None):
         hasher, spaces, fold = _tools()
         common = level.value
         bits = wanted.value if wanted is not None else None
-        for rows, data, at in textops.texts(batches):
+        for rows, data, at in textops.texts(batches, chunk=CHUNK):
             row, h = textops.shingles(data, at, size, hasher, spaces, fold)
             if not len(h):
                 continue
@@ -224,7 +225,7 @@ def _sketches(size, wanted):
 
     def fn(batches):
         hasher, spaces, fold = _tools()
-        for rows, data, at in textops.texts(_in_filter("text_id", None, FILTER, wanted)(batches)):
+        for rows, data, at in textops.texts(_in_filter("text_id", None, FILTER, wanted)(batches), chunk=CHUNK):
             row, h = textops.shingles(data, at, size, hasher, spaces, fold)
             ids, n = textops.set_hash(row, h, len(rows))
             ends = textops.runs(row, len(rows))
@@ -260,9 +261,9 @@ def _linked(size, percent):
         for batch in batches:
             good = []
             b = pa.RecordBatch.from_arrays([batch.column(3)], ["text"])
-            others = list(textops.texts([b]))
+            others = list(textops.texts([b], chunk=CHUNK))
             i = 0
-            for rows, data, at in textops.texts([batch], "text_a"):
+            for rows, data, at in textops.texts([batch], "text_a", CHUNK):
                 ra, ha = textops.shingles(data, at, size, hasher, spaces, fold)
                 ends = textops.runs(ra, len(rows))
                 for j in range(len(rows)):
@@ -285,7 +286,7 @@ class JaccardJoin:
     """The join of one table. `result()` has a row for each document; `links()` the links tested."""
 
     def __init__(self, docs: DataFrame, id_column="doc_id", text="text", words=WORDS, percent=PERCENT):
-        self.spark: SparkSession = docs.sparkSession
+        self.spark: SparkSession = small_batches(docs.sparkSession)
         self.words, self.percent = words, percent
         body = as_text(docs, text)
         self.docs = docs.select(

@@ -17,7 +17,7 @@ from celltide.llm.line_dedup import without_lines
 from celltide.llm.mixing import mixed
 from celltide.llm.packing import pack
 from celltide.llm.quality import accepted
-from celltide.session import drop_scratch, scratch_paths
+from celltide.session import drop_scratch, scratch_paths, small_batches
 
 _left: list[str] = []  # intermediate tables of the last stage
 
@@ -26,6 +26,7 @@ def staged(stage):
     """The stage, without what the one before it needed no longer."""
     @wraps(stage)
     def fn(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
         drop_scratch(spark, _left)
         before = set(scratch_paths())
         out = stage(spark, docs, sf_dir)
