@@ -29,6 +29,7 @@ SAMPLE, TOPICS, NEIGHBOURS, POWER = 2000, 48, 15, 4
 WORD_BITS, SHAPE_BITS = 12, 11
 WIDTH = (1 << WORD_BITS) + (1 << SHAPE_BITS) + 16
 THRESHOLD, FOLDS = 0.3, 5
+ROWS, BLOCK = 4096, 64  # texts scored, and texts counted, at a time: one has `WIDTH` counts, however short it is
 MODEL = "kind STRING, rows INT, data BINARY"
 
 
@@ -76,13 +77,33 @@ def features(data, offsets, hasher, spaces, fold, classes):
     return out
 
 
-def _weighted(counts, idf):
-    """Logarithmic counts by rarity; words and shapes have equal length, then the whole has 1."""
-    x = np.log1p(counts) * idf
+def _parts(batches, most):
+    """As `textops.texts`, of at most so many texts each."""
+    for rows, data, offsets in textops.texts(batches):
+        for lo in range(0, len(rows), most):
+            at = offsets[lo : lo + most + 1]
+            yield rows.slice(lo, most), data[at[0] : at[-1]], at - at[0]
+
+
+def _counts(data, offsets, tools):
+    """The features of all texts, made of a block of them at a time."""
+    out = np.zeros((len(offsets) - 1, WIDTH), np.float32)
+    for lo in range(0, len(out), BLOCK):
+        at = offsets[lo : lo + BLOCK + 1]
+        out[lo : lo + BLOCK] = features(data[at[0] : at[-1]], at - at[0], *tools)
+    return out
+
+
+def _weighted(x, idf):
+    """Logarithmic counts by rarity, in place; words and shapes have equal length, then the whole has 1."""
     cut = 1 << WORD_BITS
-    for part, size in ((x[:, :cut], 0.5), (x[:, cut:], 1.0)):
-        norm = np.sqrt((part * part).sum(axis=1, keepdims=True))
-        part *= size / np.maximum(norm, 1e-12)
+    for lo in range(0, len(x), BLOCK):
+        some = x[lo : lo + BLOCK]
+        np.log1p(some, out=some)
+        some *= idf
+        for part, size in ((some[:, :cut], 0.5), (some[:, cut:], 1.0)):
+            norm = np.sqrt((part * part).sum(axis=1, keepdims=True))
+            part *= size / np.maximum(norm, 1e-12)
     return x
 
 
@@ -96,12 +117,18 @@ def _fit(topics):
     def fn(batches):
         tools = textops.Hasher(), textops.is_space(), textops.lower(), _classes()
         counts, labels = [], []
-        for rows, data, offsets in textops.texts(batches):
-            counts.append(features(data, offsets, *tools))
+        for rows, data, offsets in _parts(batches, BLOCK):
+            part = features(data, offsets, *tools)
+            at = np.flatnonzero(part)  # most counts are 0
+            counts.append((len(rows), at, part.ravel()[at]))
             labels.append(rows.column(1).to_numpy())
         if not counts:
             return
-        x, y = np.concatenate(counts), np.concatenate(labels).astype(np.float64)
+        x, y = np.zeros((sum(n for n, _, _ in counts), WIDTH), np.float32), np.concatenate(labels).astype(np.float64)
+        lo = 0
+        for n, at, some in counts:
+            x[lo : lo + n].ravel()[at] = some
+            lo += n
         idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + np.float32(0.05)
         x = _weighted(x, idf)
         k = min(topics, len(x))
@@ -122,19 +149,24 @@ def _scored(model, neighbours, power):
     def fn(batches):
         m = model.value
         tools = textops.Hasher(), textops.is_space(), textops.lower(), _classes()
-        for rows, data, offsets in textops.texts(batches):
+        for rows, data, offsets in _parts(batches, ROWS):
             scores = np.full(len(rows), m["prior"])
-            counts = features(data, offsets, *tools)
-            full = np.flatnonzero(counts.any(axis=1))
+            x = _counts(data, offsets, tools)
+            full = np.flatnonzero(x.any(axis=1))
             if len(m["labels"]) and len(full):
-                near = _unit(_weighted(counts[full], m["idf"]) @ m["space"]) @ m["vectors"].T
+                if len(full) < len(x):
+                    x = x[full]
+                near = _unit(_weighted(x, m["idf"]) @ m["space"]) @ m["vectors"].T
+                x = None
                 k = min(neighbours, near.shape[1])
-                top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-                weight = np.maximum(np.take_along_axis(near, top, axis=1), 0).astype(np.float64) ** power
-                weight *= m["weights"][top]
-                total = weight.sum(axis=1)
-                vote = (weight * m["labels"][top]).sum(axis=1) / np.maximum(total, 1e-300)
-                scores[full] = np.where(total > 0, vote, m["prior"])
+                for lo in range(0, len(full), BLOCK):
+                    some = near[lo : lo + BLOCK]
+                    top = np.argpartition(-some, k - 1, axis=1)[:, :k]
+                    weight = np.maximum(np.take_along_axis(some, top, axis=1), 0).astype(np.float64) ** power
+                    weight *= m["weights"][top]
+                    total = weight.sum(axis=1)
+                    vote = (weight * m["labels"][top]).sum(axis=1) / np.maximum(total, 1e-300)
+                    scores[full[lo : lo + BLOCK]] = np.where(total > 0, vote, m["prior"])
             yield rows.select([0]).append_column("score", pa.array(np.clip(scores, 0, 1)))
 
     return fn

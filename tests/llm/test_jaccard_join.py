@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from math import comb
 
 import numpy as np
+import pyarrow as pa
 
 from celltide.llm import jaccard_join as j
 from celltide.llm.components import components as connected
@@ -111,3 +113,18 @@ def test_many_texts_with_one_passage(spark):
     rows = [(k, prose(100 + k, 60) + " " + shared, "en", "a", 0, (1,), "x") for k in range(60)]
     rows += [(100 + k, rows[k][1] + " end", "en", "a", 0, (1,), "x") for k in range(3)]
     same(_found(spark, rows), components(rows))
+
+
+def test_memory_of_a_batch():
+    """What is made of a few MB of text at a time does not grow with them."""
+    n = 400
+    ids = pa.array(range(n), pa.int64())
+    batch = pa.record_batch({
+        "doc_id": ids, "text_id": ids, "text": pa.array([prose(i, 1000, 10**6) for i in range(n)])})
+    tracemalloc.start()
+    try:
+        for _ in j._describe(5)([batch]):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 30 << 20
+    finally:
+        tracemalloc.stop()

@@ -1,7 +1,12 @@
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 import __spark_entry__
 import corpus_pipeline
+from celltide.llm.jaccard_join import JaccardJoin
 from celltide.llm.queries import ORACLES, QUERIES
-from tests.llm.helpers import components
+from celltide.session import BATCH_BYTES, small_batches
+from tests.llm.helpers import awkward, components, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,3 +53,25 @@ def test_stages(spark, tmp_path):
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF).columns == [
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 6000, 1, 1).select("id", F.repeat(F.lit("word "), 500).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"n": pa.array([batch.nbytes], pa.int64())})
+
+    try:
+        spark.conf.unset(key)
+        stage = corpus_pipeline.staged(lambda session, rows, sf_dir: rows.mapInArrow(sizes, "n BIGINT"))
+        assert max(r.n for r in stage(spark, docs, SF).collect()) <= BATCH_BYTES + (1 << 20)
+        spark.conf.set(key, "1m")
+        small_batches(spark)
+        assert spark.conf.get(key) == "1m"
+        spark.conf.unset(key)
+        JaccardJoin(table(spark, awkward()))
+        assert spark.conf.get(key) == str(BATCH_BYTES)
+    finally:
+        spark.conf.unset(key)

@@ -1,5 +1,9 @@
+import tracemalloc
+from types import SimpleNamespace
 from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from celltide.llm import quality as q
@@ -73,3 +77,27 @@ def test_accepted_keeps_columns(spark):
     kept = q.accepted(table(spark, rows), labels)
     assert kept.schema == table(spark, rows).schema
     assert {r.doc_id for r in kept.collect()} == {i for i in range(160) if i % 4}
+
+
+def _peak(make):
+    tracemalloc.start()
+    try:
+        for _ in make():
+            pass
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_many_short_texts():
+    texts = pa.array([prose(i, 20) for i in range(2000)])
+    batch = pa.record_batch({"doc_id": pa.array(range(2000), pa.int64()), "text": texts})
+    learn = pa.record_batch({"text": texts, "y": pa.array([i % 2 for i in range(2000)], pa.int32())})
+    matrix = 2000 * q.WIDTH * 4
+    assert _peak(lambda: q._fit(8)([learn])) < 2 * matrix
+    parts = {b["kind"][0].as_py(): b["data"][0].as_py() for b in q._fit(8)([learn.slice(0, 100)])}
+    model = SimpleNamespace(value={
+        "prior": 0.5, "idf": np.frombuffer(parts["idf"], np.float32), "labels": np.ones(100), "weights": np.ones(100),
+        "space": np.frombuffer(parts["space"], np.float32).reshape(q.WIDTH, -1),
+        "vectors": np.frombuffer(parts["vectors"], np.float32).reshape(100, -1)})
+    assert _peak(lambda: q._scored(model, 15, 4)([batch])) < 2 * matrix
