@@ -20,6 +20,7 @@ import json
 import os
 import zlib
 from bisect import bisect_left, insort
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from celltide.llm import textops
-from celltide.llm.frames import as_text, load, materialize
+from celltide.llm.frames import as_text, load, materialize, shuffles
+from celltide.session import small_batches
 
 CAPACITY, END = 2048, 0
 VOCABULARY = "byte_bpe_50k.json"
-KNOWN_WORDS = 500_000  # words whose ids a task remembers before it begins anew
+KNOWN_WORDS = 500_000  # words whose ids a worker remembers before it begins anew
+CHUNK = 1 << 18  # bytes of text worked on at a time; the arrays made of it are many times as large
 PIECES = (
     "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT, part INT, nth BIGINT"
 )
@@ -121,7 +124,7 @@ def _by_rank(path):
 
 
 class Encoder:
-    """Ids of whole texts. Each distinct word is merged once for a task."""
+    """Ids of whole texts. Each distinct word is merged once for a worker."""
 
     def __init__(self, vocabulary=VOCABULARY):
         from tokenizers import Tokenizer
@@ -223,12 +226,18 @@ class Encoder:
         return out, ends
 
 
+@lru_cache(maxsize=1)
+def _encoder(vocabulary):
+    """The encoder of this worker: it outlives a task, since short tasks would each read the vocabulary anew."""
+    return Encoder(vocabulary)
+
+
 def _tokenized(capacity, vocabulary):
     def fn(batches):
-        encoder = Encoder(vocabulary)
+        encoder = _encoder(vocabulary)
         last = np.array([END], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for rows, data, offsets in textops.texts(batches):
+        for rows, data, offsets in textops.texts(batches, chunk=CHUNK):
             ids, ends = encoder.encode(data, offsets)
             ids = ids.astype("<u4")
             out = [[], [], [], [], [], []]
@@ -368,9 +377,12 @@ def _find(table, starts, length, rank):
 
 def pack(docs: DataFrame, id_column="doc_id", text="text", capacity=CAPACITY, vocabulary=VOCABULARY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row for each piece."""
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     pieces = tokenize(docs, id_column, text, capacity, vocabulary)
-    parts = materialize(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "counts")
+    counted = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
+    # A few rows for each part: no more files than tasks run at a time.
+    files = min(shuffles(spark), spark.sparkContext.defaultParallelism)
+    parts = materialize(counted.coalesce(files), "counts")
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     # No more rows than the capacity.

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ from tokenizers import Tokenizer
 
 from celltide.llm import packing as p
 from celltide.llm import textops
+from celltide.session import materialize
 from tests.llm.helpers import awkward, empty, table
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path(p.VOCABULARY))
@@ -110,3 +112,62 @@ def test_other_vocabularies_by_path(spark):
     a = p.pack(table(spark), vocabulary=path).drop("sequence_id", "offset").collect()
     b = p.pack(table(spark)).drop("sequence_id", "offset").collect()
     assert sorted(map(repr, a)) == sorted(map(repr, b))
+
+
+class _Task:
+    def partitionId(self):
+        return 0
+
+
+def _tokenized_here(monkeypatch, texts):
+    """The rows that a task makes of a batch of texts, in this process."""
+    monkeypatch.setattr(p.TaskContext, "get", staticmethod(_Task))
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    return [x.to_pylist() for x in p._tokenized(p.CAPACITY, p.VOCABULARY)(iter([batch]))]
+
+
+def test_tasks_of_a_worker_share_the_encoder(monkeypatch):
+    made, encoder = [], p.Encoder
+    monkeypatch.setattr(p, "Encoder", lambda *a: made.append(a) or encoder(*a))
+    first = _tokenized_here(monkeypatch, ["one two", "x <|endoftext|>", None])
+    other = _tokenized_here(monkeypatch, ["more words", "two 漢字"])
+    assert first == _tokenized_here(monkeypatch, ["one two", "x <|endoftext|>", None])
+    assert other == _tokenized_here(monkeypatch, ["more words", "two 漢字"])
+    assert len(made) <= 1
+
+
+def test_a_task_holds_little_beside_its_batch(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(str(rng.randrange(10**4)) for _ in range(400)) for _ in range(2000)]
+    _tokenized_here(monkeypatch, texts)
+    tracemalloc.start()
+    try:
+        rows = sum(_tokenized_here(monkeypatch, texts), [])
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [(r["doc_id"], r["piece"], r["length"]) for r in rows] == [(i, 0, len(_ids(t)) + 1) for i, t in enumerate(texts)]
+    assert most < 24 << 20
+
+
+def test_counts_are_written_to_few_files(spark, monkeypatch):
+    written = {}
+
+    def noted(df, name="stage"):
+        out = materialize(df, name)
+        written[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(p, "materialize", noted)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    rows = [(i, "word " * i, "en", "web", 5 * i, (1,), "") for i in range(60)]
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = p.pack(table(spark, rows)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((x.doc_id, x.length) for x in found) == [(i, len(_ids("word " * i)) + 1) for i in range(60)]
+    assert written["counts"] <= spark.sparkContext.defaultParallelism
